@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.values import IMAGE_EXTENSIONS, id_from_key, id_from_name
 
@@ -116,7 +117,10 @@ def _probe(data: bytes) -> tuple[int | None, int | None, str | None]:
         return None, None, "truncated_image"
 
 
-@F.pandas_udf("width int, height int, error string")
+_PROBED = T.StructType([T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType()), T.StructField("error", T.StringType())])
+
+
+@F.pandas_udf(_PROBED)
 def image_probe(content: pd.Series) -> pd.DataFrame:
     """Size of an image from its header bytes, or why it can't be told."""
     return pd.DataFrame([_probe(bytes(c)) if c is not None else (None, None, "not_found") for c in content], columns=["width", "height", "error"])
