@@ -26,24 +26,28 @@ vocabulary is an error; other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_path, materialise, read_blobs, write_blobs
+from .common import fresh_path, materialise, read_blobs, word_spans, write_blobs
 
 MAGIC = b"BPK1"
 HEAD = struct.Struct("<4sHHQQQq24x")
 #: Ids in one shard file, and documents in one block.
 SHARD_IDS, BLOCK_DOCS = 1 << 22, 64
 #: Words whose ids a worker remembers; the memo is emptied beyond it.
-MEMO_WORDS = 600_000
+MEMO_WORDS = 2_000_000
 _NULL_ID = -(1 << 63)
+#: Unknown words that go to the tokenizers library in one call.
+LEARN_WORDS = 64
 
 
 # ----------------------------------------------------------------------- packing
@@ -119,28 +123,75 @@ class Shard:
 
 # --------------------------------------------------------------------- tokenising
 class WordMemo:
-    """Ids of blank-separated words as uint16/uint32 bytes, by a tokenizers file."""
+    """Ids of blank-separated words, by a tokenizers file.
+
+    Words are looked up by their 64-bit hash (A-Z lower-cased, as the tokenizer
+    does, and cut from a mark like a full stop, where it always splits) in sorted
+    arrays and their ids gathered with numpy; unknown words go to the library, many
+    to a call. A text that holds "<|" could contain a
+    special token's string and is encoded whole.
+    """
 
     def __init__(self, spec: bytes, limit: int = MEMO_WORDS):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one task, one core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.memo = Tokenizer.from_str(spec.decode()), limit, {}
+        self.tokenizer, self.limit = Tokenizer.from_str(spec.decode()), limit
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.kind = "<u2" if self.vocabulary <= 1 << 16 else "<u4"
-
-    def encode(self, texts: list[str | None], end_id: int) -> list[np.ndarray]:
-        split = [(t or "").encode().split() for t in texts]
-        memo = self.memo
-        new = list({w for words in split for w in words if w not in memo})
-        if len(memo) + len(new) > self.limit:
-            memo.clear()
-            new = list({w for words in split for w in words})
-        for at in range(0, len(new), 50_000):
-            some = new[at : at + 50_000]
-            for word, e in zip(some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
-                memo[word] = np.array(e.ids, self.kind).tobytes()
-        end = np.array([end_id], self.kind).tobytes()
-        return [np.frombuffer(b"".join([*map(memo.__getitem__, words), end]), self.kind) for words in split]
+        self.kind = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.first, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, self.kind)
+
+    def _known(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(self.keys, keys)
+        inside = np.minimum(at, max(len(self.keys) - 1, 0))
+        return inside, (self.keys[inside] == keys if len(self.keys) else np.zeros(len(keys), bool))
+
+    def encode(self, texts: pa.Array, end_id: int) -> list[np.ndarray]:
+        hashes, counts, starts, stops, data = word_spans(texts, cut_marks=True)
+        keys, where, back = np.unique(hashes, return_index=True, return_inverse=True)
+        known = self._known(keys)[1]
+        if len(self.keys) + int((~known).sum()) > self.limit:
+            self._forget()
+            known[:] = False
+        new = np.flatnonzero(~known)
+        if len(new):
+            self._learn(keys[new], [data[starts[i] : stops[i]].tobytes().decode() for i in where[new]])
+        at, _ = self._known(keys)
+        size, first = self.size[at][back], self.first[at][back]
+        ends = np.cumsum(size)
+        ids = self.flat[np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+        cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        end = np.array([end_id], self.kind)
+        out = [np.concatenate([ids[i:j], end]) for i, j in zip(cuts[:-1], cuts[1:])]
+        for i in np.flatnonzero(pc.fill_null(pc.match_substring(texts, "<|"), False).to_numpy(zero_copy_only=False)):
+            out[i] = np.array([*self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, end_id], self.kind)
+        return out
+
+    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
+        # a lone digit is a token of its own: "0" parts the words of one call
+        mark = self.tokenizer.encode("0", add_special_tokens=False).ids
+        plain = [i for i, w in enumerate(words) if "0" not in w] if len(mark) == 1 else []
+        found: list[np.ndarray | None] = [None] * len(words)
+        for at in range(0, len(plain), LEARN_WORDS):
+            some = plain[at : at + LEARN_WORDS]
+            ids = np.array(self.tokenizer.encode(" 0 ".join([words[i] for i in some]), add_special_tokens=False).ids, self.kind)
+            cuts = np.flatnonzero(ids == mark[0])
+            for i, first, last in zip(some, [0, *(cuts + 1)], [*cuts, len(ids)]):
+                found[i] = ids[first:last]
+        for i, ids in enumerate(found):
+            if ids is None:
+                found[i] = np.array(self.tokenizer.encode(words[i], add_special_tokens=False).ids, self.kind)
+        size = np.array([len(x) for x in found])
+        flat = [self.flat, *found]
+        first = len(self.flat) + np.cumsum(size) - size
+        order = np.argsort(np.concatenate([self.keys, keys]), kind="stable")
+        self.keys = np.concatenate([self.keys, keys])[order]
+        self.first, self.size = np.concatenate([self.first, first])[order], np.concatenate([self.size, size])[order]
+        self.flat = np.concatenate(flat)
 
 
 _MEMOS: dict[int, WordMemo] = {}
@@ -160,7 +211,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                for i, tokens in zip(batch.column(0).to_pylist(), memo.encode(batch.column(1).to_pylist(), end_id)):
+                for i, tokens in zip(batch.column(0).to_pylist(), memo.encode(batch.column(1), end_id)):
                     ids.append(_NULL_ID if i is None else i)
                     arrays.append(tokens)
                     held += len(tokens)

@@ -139,6 +139,10 @@ _WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 #: Words of letters, digits and any non-ASCII byte: punctuation separates.
 _ALNUM = np.zeros(256, bool)
 _ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
+#: ASCII letters and digits, and the marks that may end a word.
+_PLAIN, _MARK = _ALNUM.copy(), np.zeros(256, bool)
+_PLAIN[0x80:] = False
+_MARK[list(b".,;:!?")] = True
 _LOW = np.arange(256, dtype=np.uint64) + np.uint64(1)
 _LOW[0x41:0x5B] += np.uint64(32)
 _POW: list[np.ndarray] = []
@@ -167,10 +171,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 END_TOKEN = mix(np.array([10 + 1], np.uint64))[0]
 
 
-def _slab(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _slab(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, cut_marks: bool = False) -> tuple[np.ndarray, ...]:
     n = len(data)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64), none, none
     power, inverse = _powers(n)
     word = is_word[data]
     first, last = word.copy(), word.copy()
@@ -180,11 +185,15 @@ def _slab(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[n
     first[inner] = word[inner]
     ends = offsets[1:][offsets[1:] > 0] - 1
     last[ends] = word[ends]
+    if cut_marks:
+        cut = _MARK[data[1:]] & _PLAIN[data[:-1]]
+        first[1:] |= cut
+        last[:-1] |= cut
     starts, stops = np.flatnonzero(first), np.flatnonzero(last) + 1
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(_LOW[data] * power[:n], out=total[1:])
     hashes = mix((total[stops] - total[starts]) * inverse[starts])
-    return hashes, np.diff(np.searchsorted(starts, offsets))
+    return hashes, np.diff(np.searchsorted(starts, offsets)), starts, stops
 
 
 def word_hashes(texts: pa.Array, letters_only: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -194,21 +203,30 @@ def word_hashes(texts: pa.Array, letters_only: bool = False) -> tuple[np.ndarray
     of letters, digits and non-ASCII bytes. Work goes on in slabs of whole
     texts, so memory follows the slab (or the longest text), not the batch.
     """
+    hashes, counts, *_ = word_spans(texts, letters_only)
+    return hashes, counts
+
+
+def word_spans(texts: pa.Array, letters_only: bool = False, cut_marks: bool = False) -> tuple[np.ndarray, ...]:
+    """word_hashes, then where each word starts and stops in the returned bytes.
+
+    ``cut_marks`` also cuts between an ASCII letter or digit and one of .,;:!?
+    """
     texts = pc.fill_null(texts, "").cast(pa.large_string())
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if not len(texts):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), none, none, none, np.zeros(0, np.uint8)
     _, off, buf = texts.buffers()
     offsets = np.frombuffer(off, np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(buf, np.uint8) if buf is not None and buf.size else np.zeros(0, np.uint8)
     is_word = _ALNUM if letters_only else _WORD
-    hashes, counts, i = [], [], 0
+    parts, i = [], 0
     while i < len(texts):
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + _SLAB, "right")) - 1)
         j = min(j, len(texts))
-        h, c = _slab(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], is_word)
-        hashes.append(h)
-        counts.append(c)
+        h, c, first, last = _slab(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], is_word, cut_marks)
+        parts.append((h, c, first + offsets[i], last + offsets[i]))
         i = j
-    return np.concatenate(hashes), np.concatenate(counts)
+    return (*map(np.concatenate, zip(*parts)), data)
