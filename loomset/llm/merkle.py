@@ -106,11 +106,23 @@ def differing(a: Tree, b: Tree) -> list[tuple[int, int]]:
     """Leaf ranges of ``a`` below branches that ``b`` lacks: where the edits are."""
     if a.root == b.root:
         return []
-    sections, paragraphs = {h for h, *_ in b.sections}, {h for h, *_ in b.paragraphs}
+    mine, theirs = Counter(s[0] for s in a.sections), Counter(s[0] for s in b.sections)
+    more, less = mine - theirs, theirs - mine  # sections one side has more often
+    known: Counter = Counter()
+    for h, first, last in b.sections:
+        if less[h] > 0:
+            less[h] -= 1
+            known.update(p for p, i, j in b.paragraphs if first <= i and j <= last)
     out = []
     for h, first, last in a.sections:
-        if h not in sections:
-            out += [(i, j) for p, i, j in a.paragraphs if first <= i and j <= last and p not in paragraphs]
+        if more[h] > 0:
+            more[h] -= 1
+            for p, i, j in a.paragraphs:
+                if first <= i and j <= last:
+                    if known[p] > 0:
+                        known[p] -= 1
+                    else:
+                        out.append((i, j))
     return out
 
 
