@@ -21,7 +21,10 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Insert all documents under two tokenizer versions, delete those of low
-    quality, revise toxic ones to their first line, and replay the delete."""
+    quality, revise toxic ones to their first line, and replay the delete.
+
+    Texts are only scanned: both forms of every document are counted before the
+    labels are joined, so what is shuffled is counts."""
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     path, version = public_tokenizers.path(RANKS), "byte_bpe_multi_50k"
@@ -30,13 +33,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         return token_rollup.count_words(rows).unionByName(token_rollup.count_bpe(rows, path, public_tokenizers.PATTERN, version))
 
     ledger = materialise(both(docs), "token_ledger")
+    # written as well, or the join below would be pushed under the word count
+    firsts = materialise(both(docs.withColumn("text", F.substring_index("text", "\n", 1))), "first_line_ledger")
     rollup = token_rollup.Rollup(spark, fresh_path(spark, "token_rollup"))
     gone = ledger.join(labels.where("quality = 0"), "doc_id", "left_semi")
     flagged = labels.where("toxic = 1 AND quality = 1")
-    cut = docs.join(flagged, "doc_id", "left_semi").withColumn("text", F.substring_index("text", "\n", 1))
     rollup.commit("0001-insert", token_rollup.inserts(ledger))
     rollup.commit("0002-delete", token_rollup.deletes(gone))
-    rollup.commit("0003-revise", token_rollup.revisions(ledger.join(flagged, "doc_id", "left_semi"), both(cut)))
+    rollup.commit("0003-revise", token_rollup.revisions(ledger.join(flagged, "doc_id", "left_semi"), firsts.join(flagged, "doc_id", "left_semi")))
     rollup.commit("0002-delete", token_rollup.deletes(gone))
     return rollup.totals()
 
