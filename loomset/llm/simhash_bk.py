@@ -16,6 +16,14 @@ over ``shard_rows`` fingerprints is cut into trees of that size and its members
 query each of them, in blocks. Only edges that span a shard's components leave
 it; components are then joined up by distributed star contraction.
 
+With ``similarity`` a link must also hold for a second print: 128 bits over
+shingles of ``verify_shingle`` words, carried along with the fingerprint. The
+share of differing bits estimates the angle between the shingle sets, and a
+link stays if it is at most the angle of two sets of that Jaccard similarity,
+plus ``SLACK`` standard errors. Texts of one fingerprint whose second print is
+too far from that of its smallest id are linked only by equal prints. So the radius may be wide enough for edited
+copies without linking texts that only share words.
+
 Defined cases: null or empty text has fingerprint zero, linked like any other;
 a text of fewer words than a shingle is one shingle; null ids get the component
 of their fingerprint's other documents (null if there are none); repeated rows
@@ -24,6 +32,7 @@ are returned once each; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import accumulate, combinations
 
@@ -38,22 +47,29 @@ from .components import connected_components
 
 #: Fingerprints in one tree; also the floor of what counts as a hot shard.
 SHARD_ROWS = 20_000
+#: Standard errors allowed when a second print is compared with a similarity.
+SLACK = 1.0
 #: At most so many (query, node) pairs are open at once.
 _OPEN_PAIRS = 1 << 21
 
 
 # ----------------------------------------------------------------- fingerprints
-def fingerprint(text: str | None, shingle: int = 3) -> int:
+def _shingles(text: str | None, shingle: int) -> list[bytes]:
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return []
     joined = b" ".join(words)
     if len(words) <= shingle:
-        parts: list[bytes] = [joined]
-    else:
-        ends = list(accumulate(map(len, words), lambda a, b: a + b + 1))
-        starts = [0, *[e + 1 for e in ends]]
-        parts = [joined[a:b] for a, b in zip(starts, ends[shingle - 1 :])]
+        return [joined]
+    ends = list(accumulate(map(len, words), lambda a, b: a + b + 1))
+    starts = [0, *[e + 1 for e in ends]]
+    return [joined[a:b] for a, b in zip(starts, ends[shingle - 1 :])]
+
+
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    parts = _shingles(text, shingle)
+    if not parts:
+        return 0
     digest, counts = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
     for at in range(0, len(parts), 1 << 16):
         some = parts[at : at + (1 << 16)]
@@ -63,17 +79,41 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) per row; fp is the fingerprint's 64 bits as a signed long."""
+def second_print(text: str | None, shingle: int) -> tuple[int, int]:
+    """128 majority bits over the distinct shingles' XXH3, as two signed longs."""
+    parts = list(set(_shingles(text, shingle)))
+    if not parts:
+        return 0, 0
+    counts = np.zeros(128, np.int64)
+    for at in range(0, len(parts), 1 << 15):
+        h = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts[at : at + (1 << 15)])), np.uint8)
+        counts += np.unpackbits(h.reshape(-1, 16), axis=1).sum(0, dtype=np.int64)
+    low, high = np.packbits(counts * 2 > len(parts)).view("<i8").tolist()
+    return low, high
+
+
+def most_bits(similarity: float) -> int:
+    """Bits of a second print that may differ for sets of that Jaccard similarity."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(128 * share + SLACK * math.sqrt(128 * share * (1 - share)))
+
+
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", verify_shingle: int = 0) -> DataFrame:
+    """(doc_id, fp [, va, vb]) per row; fp is the fingerprint's 64 bits as a signed
+    long, va and vb the second print if ``verify_shingle`` is given."""
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = picked.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "fp": pa.array(out.view(np.int64))})
+            columns = {"doc_id": batch.column(0), "fp": pa.array(out.view(np.int64))}
+            if verify_shingle:
+                prints = [second_print(t.as_py(), verify_shingle) for t in batch.column(1)]
+                columns |= {name: pa.array([x[i] for x in prints], pa.int64()) for i, name in enumerate(("va", "vb"))}
+            yield pa.RecordBatch.from_pydict(columns)
 
-    return picked.mapInArrow(run, f"doc_id {id_type}, fp long")
+    return picked.mapInArrow(run, f"doc_id {id_type}, fp long" + ", va long, vb long" * bool(verify_shingle))
 
 
 # -------------------------------------------------------------------- BK-forest
@@ -154,7 +194,7 @@ def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[off], values[label[off]]
 
 
-def _links(fp: np.ndarray, tree: np.ndarray, shard: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def _links(fp: np.ndarray, tree: np.ndarray, shard: np.ndarray, radius: int, second: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray]:
     a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
     if not tree.any():
         return a, b
@@ -165,6 +205,10 @@ def _links(fp: np.ndarray, tree: np.ndarray, shard: np.ndarray, radius: int) ->
     for q, node in forest.search(query, shard, radius):
         other = members[node].view(np.int64)
         differ = fp[q] != other
+        if second:
+            # unsigned: a bit count of signed numbers is that of their absolute value
+            bits = sum(np.bitwise_count(v[q] ^ v[tree][node]).astype(np.int64) for v in (x.view(np.uint64) for x in second))
+            differ &= bits <= most
         held.append((fp[q][differ], other[differ]))
         size += int(differ.sum())
         if size > _OPEN_PAIRS:
@@ -173,39 +217,41 @@ def _links(fp: np.ndarray, tree: np.ndarray, shard: np.ndarray, radius: int) ->
     return spanning(*map(np.concatenate, zip(*held)))
 
 
-def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(a, b): edges that span the links of at most ``radius`` bits between distinct fps."""
+def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS, most: int = 128) -> DataFrame:
+    """(a, b): edges that span the links of at most ``radius`` bits between distinct
+    fps (and of at most ``most`` bits between their second prints, if they have any)."""
     n = distinct.count()
-    # more, narrower keys once the mean shard would pass some dozens of rows
-    blocks = radius + (1 if n <= 1 << 22 else 2 if n <= 1 << 31 else 3)
+    extra = [c for c in ("va", "vb") if c in distinct.columns]
+    # longer keys in more tables once the mean shard would pass 64 rows
+    blocks = radius + next((e for e in (1, 2) if n <= 64 << 64 * e // (radius + e)), 3)
     edges = [round(64 * i / blocks) for i in range(blocks + 1)]
     masks = []
     for kept in combinations(range(blocks), blocks - radius):
         m = sum(((1 << (edges[i + 1] - edges[i])) - 1) << edges[i] for i in kept)
         masks.append(m - (1 << 64) if m >> 63 else m)
-    keyed = distinct.select("fp", F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key")) for t, m in enumerate(masks)])).alias("s")).select("fp", "s.t", "s.key")
+    keyed = distinct.select("fp", *extra, F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key")) for t, m in enumerate(masks)])).alias("s")).select("fp", *extra, "s.t", "s.key")
     # with this floor at most 10,000 shards are hot, which bounds the broadcast
     limit = max(shard_rows, -(-n * len(masks) // 10_000))
     hot = keyed.groupBy("t", "key").count().where(F.col("count") > limit)
     hot = hot.select("t", "key", F.ceil(F.col("count") / limit).cast("int").alias("cuts"))
     dealt = keyed.join(F.broadcast(hot), ["t", "key"], "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
     dealt = dealt.withColumn("cut", F.explode_outer(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    dealt = dealt.select("t", "key", "cut", "fp", (F.col("cut") == F.pmod(F.xxhash64("fp"), F.col("cuts"))).alias("tree"))
+    dealt = dealt.select("t", "key", "cut", "fp", (F.col("cut") == F.pmod(F.xxhash64("fp"), F.col("cuts"))).alias("tree"), *extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left: list[np.ndarray] = []
 
         def solve(cols: list[np.ndarray]) -> pa.RecordBatch:
-            t, key, cut, fp, tree = cols
+            t, key, cut, fp, tree, *second = cols
             new = np.ones(len(t), bool)
             new[1:] = (t[1:] != t[:-1]) | (key[1:] != key[:-1]) | (cut[1:] != cut[:-1])
             shard = np.cumsum(new)
             many = np.bincount(shard)[shard] > 1
-            a, b = _links(fp[many], tree[many], shard[many], radius)
+            a, b = _links(fp[many], tree[many], shard[many], radius, [v[many] for v in second], most)
             return pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
 
         for batch in batches:
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5 + len(extra))]
             left = [np.concatenate(x) for x in zip(left, cols)] if left else cols
             if len(left[0]) >= 200_000:
                 same = (left[0] == left[0][-1]) & (left[1] == left[1][-1]) & (left[2] == left[2][-1])
@@ -221,12 +267,24 @@ def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_RO
     return placed.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text", shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(doc_id, fingerprint as 16 hex digits, component_id) per row."""
-    prints = materialise(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = connected_components(shard_edges(distinct.select("fp"), radius, shard_rows))
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text", shard_rows: int = SHARD_ROWS, verify_shingle: int = 0, similarity: float = 0.8) -> DataFrame:
+    """(doc_id, fingerprint as 16 hex digits, component_id) per row; with
+    ``verify_shingle`` links also need that similarity of the second print."""
+    prints = materialise(fingerprints(docs, shingle, id_col, text_col, verify_shingle), "fingerprints")
+    second = [F.min_by(c, F.struct("doc_id", "va", "vb")).alias(c) for c in ("va", "vb") if verify_shingle]
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), *second)
+    roots = connected_components(shard_edges(distinct.drop("least"), radius, shard_rows, most_bits(similarity)))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    if not verify_shingle:
+        found = prints.join(classes, "fp")
+    else:
+        # texts of one fingerprint whose second prints differ: classes of equal prints
+        seconds = distinct.select("fp", F.col("va").alias("ra"), F.col("vb").alias("rb"))
+        apart = F.bit_count(F.col("va").bitwiseXOR(F.col("ra"))) + F.bit_count(F.col("vb").bitwiseXOR(F.col("rb")))
+        variants = prints.groupBy("fp", "va", "vb").agg(F.min("doc_id").alias("own"))
+        far = variants.join(seconds, "fp").where(apart > most_bits(similarity)).select("fp", "va", "vb", "own", F.lit(True).alias("far"))
+        found = prints.join(classes, "fp").join(far, ["fp", "va", "vb"], "left")
+        found = found.withColumn("component_id", F.when(F.col("far"), F.col("own")).otherwise(F.col("component_id")))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -227,6 +227,31 @@ def test_simhash_against_brute_force(spark):
         assert all(int(r.fingerprint, 16) == f[r.doc_id] for r in got if r.doc_id is not None) and len(got) == len(rows)
 
 
+def test_verified_links_against_brute_force(spark):
+    rng = np.random.default_rng(5)
+    words = [f"w{k}" for k in range(3000)]
+    rows = [(i, " ".join(rng.choice(words, 200))) for i in range(40)]
+    for i in range(40):  # two words of 200 changed: similar; twenty changed: not
+        edited = rows[i][1].split()
+        for at in rng.choice(200, 2 if i % 2 else 20, replace=False):
+            edited[at] = "changed"
+        rows.append((100 + i, " ".join(edited)))
+    rows += [(300, None), (301, ""), (302, "one two"), (303, "one two"), (None, "one two")]
+    got = {r.doc_id: r.component_id for r in simhash_bk.near_duplicates(frame(spark, rows), shingle=2, radius=6, verify_shingle=5).collect()}
+    prints = {i: (simhash_bk.fingerprint(t, 2), *(x & (1 << 64) - 1 for x in simhash_bk.second_print(t, 5))) for i, t in rows if i is not None}
+    most = simhash_bk.most_bits(0.8)
+    label = {i: i for i in prints}
+    for _ in range(3):
+        for a in prints:
+            for b in prints:
+                (f, x, y), (g, u, v) = prints[a], prints[b]
+                if (f ^ g).bit_count() <= 6 and (x ^ u).bit_count() + (y ^ v).bit_count() <= most:
+                    label[a] = label[b] = min(label[a], label[b])
+    assert {i: c for i, c in got.items() if i is not None} == label
+    assert got[None] == 302 and sum(got[100 + i] == i for i in range(1, 40, 2)) >= 18
+    assert all(got[100 + i] == 100 + i for i in range(0, 40, 2))
+
+
 def test_merkle(spark):
     docs = frame(spark, EDGE)
     got = sorted(merkle.compare_with_next(docs).collect(), key=lambda r: (r.doc_id or -1, r.fingerprint))
