@@ -16,13 +16,17 @@ over ``shard_rows`` fingerprints is cut into trees of that size and its members
 query each of them, in blocks. Only edges that span a shard's components leave
 it; components are then joined up by distributed star contraction.
 
-With ``similarity`` a link must also hold for a second print: 128 bits over
-shingles of ``verify_shingle`` words, carried along with the fingerprint. The
-share of differing bits estimates the angle between the shingle sets, and a
-link stays if it is at most the angle of two sets of that Jaccard similarity,
-plus ``SLACK`` standard errors. Texts of one fingerprint whose second print is
-too far from that of its smallest id are linked only by equal prints. So the radius may be wide enough for edited
-copies without linking texts that only share words.
+With ``verify_shingle`` a link must also hold for a second print over the
+distinct shingles of that many words: their number and ``PRINT_WORDS`` * 64
+majority bits. Sets whose sizes alone rule out the Jaccard similarity are not
+linked; the share of differing bits estimates the angle between the sets, and a
+link stays if it is at most the angle of two sets of that similarity, plus
+``SLACK`` standard errors. Texts of one fingerprint whose second print is too
+far from that of its smallest id are not linked through that fingerprint. So the
+radius may be wide enough for edited copies without linking texts that only
+share words. ``families`` fingerprints per text, of the same shingles under
+independent hashes, are searched one after the other; a link that one of them
+misses by a few bits is found by another, and the components are joined up.
 
 Defined cases: null or empty text has fingerprint zero, linked like any other;
 a text of fewer words than a shingle is one shingle; null ids get the component
@@ -34,23 +38,33 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, mix
 from .components import connected_components
 
 #: Fingerprints in one tree; also the floor of what counts as a hot shard.
 SHARD_ROWS = 20_000
+#: 64-bit words of a second print.
+PRINT_WORDS = 8
 #: Standard errors allowed when a second print is compared with a similarity.
 SLACK = 1.0
 #: At most so many (query, node) pairs are open at once.
 _OPEN_PAIRS = 1 << 21
+_GOLDEN = 0x9E3779B97F4A7C15
+#: Columns of a second print.
+PRINT = ["n", *[f"p{i}" for i in range(PRINT_WORDS)]]
+
+
+def fp_names(families: int) -> list[str]:
+    return ["fp", *[f"fp{i}" for i in range(1, families)]]
 
 
 # ----------------------------------------------------------------- fingerprints
@@ -66,54 +80,61 @@ def _shingles(text: str | None, shingle: int) -> list[bytes]:
     return [joined[a:b] for a, b in zip(starts, ends[shingle - 1 :])]
 
 
+def majority(parts: list[bytes], words: int = 1, ties: bool = False) -> np.ndarray:
+    """``words`` times 64 bits, each set if set in over half the shingles' hashes.
+
+    The first word's hash is XXH64 (seed 42), the others are derived from it.
+    With ``ties`` every second bit is also set by just half of the hashes, or
+    sets of even size would have few bits set and look alike.
+    """
+    digest, counts = xxhash.xxh64_intdigest, np.zeros(64 * words, np.int64)
+    for at in range(0, len(parts), 255):  # so many fit a sum of bytes
+        some = parts[at : at + 255]
+        h = np.fromiter((digest(p, 42) for p in some), np.uint64, len(some))
+        x = np.stack([h, *[mix(h + np.uint64(i * _GOLDEN & (1 << 64) - 1)) for i in range(1, words)]], axis=1)
+        bits = np.unpackbits(x.astype("<u8", copy=False).view(np.uint8).reshape(len(h), -1), axis=1, bitorder="little")
+        counts += np.add.reduce(bits, axis=0, dtype=np.uint8)
+    out = counts * 2 > len(parts)
+    if ties and parts:
+        out |= (counts * 2 == len(parts)) & (np.arange(64 * words) % 2 == 1)
+    return np.packbits(out, bitorder="little").view("<u8")
+
+
 def fingerprint(text: str | None, shingle: int = 3) -> int:
-    parts = _shingles(text, shingle)
-    if not parts:
-        return 0
-    digest, counts = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
-    for at in range(0, len(parts), 1 << 16):
-        some = parts[at : at + (1 << 16)]
-        h = np.fromiter((digest(p, 42) for p in some), "<u8", len(some))
-        counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    bits = np.packbits(counts * 2 > len(parts), bitorder="little")
-    return int(bits.view("<u8")[0])
-
-
-def second_print(text: str | None, shingle: int) -> tuple[int, int]:
-    """128 majority bits over the distinct shingles' XXH3, as two signed longs."""
+    return int(majority(_shingles(text, shingle))[0])
+
+
+def second_print(text: str | None, shingle: int) -> tuple[int, np.ndarray]:
+    """The number of distinct shingles and their PRINT_WORDS * 64 majority bits."""
     parts = list(set(_shingles(text, shingle)))
-    if not parts:
-        return 0, 0
-    counts = np.zeros(128, np.int64)
-    for at in range(0, len(parts), 1 << 15):
-        h = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts[at : at + (1 << 15)])), np.uint8)
-        counts += np.unpackbits(h.reshape(-1, 16), axis=1).sum(0, dtype=np.int64)
-    low, high = np.packbits(counts * 2 > len(parts)).view("<i8").tolist()
-    return low, high
+    return len(parts), majority(parts, PRINT_WORDS, ties=True)
 
 
 def most_bits(similarity: float) -> int:
     """Bits of a second print that may differ for sets of that Jaccard similarity."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(128 * share + SLACK * math.sqrt(128 * share * (1 - share)))
+    bits, share = 64 * PRINT_WORDS, math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(bits * share + SLACK * math.sqrt(bits * share * (1 - share)))
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", verify_shingle: int = 0) -> DataFrame:
-    """(doc_id, fp [, va, vb]) per row; fp is the fingerprint's 64 bits as a signed
-    long, va and vb the second print if ``verify_shingle`` is given."""
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", verify_shingle: int = 0, families: int = 1) -> DataFrame:
+    """(doc_id, fp [, fp1 ...] [, n, p0 ...]) per row; the fps are the fingerprints'
+    64 bits as signed longs, n and the p's the second print if ``verify_shingle`` is given."""
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = picked.schema["doc_id"].dataType.simpleString()
+    names = [*fp_names(families), *(PRINT if verify_shingle else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, batch.num_rows)
-            columns = {"doc_id": batch.column(0), "fp": pa.array(out.view(np.int64))}
-            if verify_shingle:
-                prints = [second_print(t.as_py(), verify_shingle) for t in batch.column(1)]
-                columns |= {name: pa.array([x[i] for x in prints], pa.int64()) for i, name in enumerate(("va", "vb"))}
-            yield pa.RecordBatch.from_pydict(columns)
+            out = np.zeros((batch.num_rows, len(names)), np.uint64)
+            for i, text in enumerate(batch.column(1)):
+                text = text.as_py()
+                out[i, :families] = majority(_shingles(text, shingle), families)
+                if verify_shingle:
+                    out[i, families], out[i, families + 1 :] = second_print(text, verify_shingle)
+            columns = {name: pa.array(np.ascontiguousarray(out[:, j]).view(np.int64)) for j, name in enumerate(names)}
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), **columns})
 
-    return picked.mapInArrow(run, f"doc_id {id_type}, fp long" + ", va long, vb long" * bool(verify_shingle))
+    return picked.mapInArrow(run, f"doc_id {id_type}, " + ", ".join(f"{name} long" for name in names))
 
 
 # -------------------------------------------------------------------- BK-forest
@@ -194,21 +215,32 @@ def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[off], values[label[off]]
 
 
-def _links(fp: np.ndarray, tree: np.ndarray, shard: np.ndarray, radius: int, second: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray]:
+def _links(fp: np.ndarray, tree: np.ndarray, shard: np.ndarray, radius: int, second: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
     a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
     if not tree.any():
         return a, b
     members = fp[tree].view(np.uint64)
     forest, query = Forest(members, shard[tree]), fp.view(np.uint64)
+    tree_sizes, *tree_prints = [v[tree] for v in second] or [a]
+    most = most_bits(similarity)
     held = [(a, b)]
     size = 0
     for q, node in forest.search(query, shard, radius):
         other = members[node].view(np.int64)
         differ = fp[q] != other
         if second:
+            q, node, other = q[differ], node[differ], other[differ]
+            sizes, *prints = second
+            n, m = sizes[q], tree_sizes[node]
+            keep = np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-9
+            q, node, other = q[keep], node[keep], other[keep]
             # unsigned: a bit count of signed numbers is that of their absolute value
-            bits = sum(np.bitwise_count(v[q] ^ v[tree][node]).astype(np.int64) for v in (x.view(np.uint64) for x in second))
-            differ &= bits <= most
+            bits = np.zeros(len(q), np.int64)
+            for mine, theirs in zip(prints, tree_prints):
+                bits += np.bitwise_count(mine[q].view(np.uint64) ^ theirs[node].view(np.uint64))
+            near = bits <= most
+            q, other = q[near], other[near]
+            differ = np.ones(len(q), bool)
         held.append((fp[q][differ], other[differ]))
         size += int(differ.sum())
         if size > _OPEN_PAIRS:
@@ -217,11 +249,11 @@ def _links(fp: np.ndarray, tree: np.ndarray, shard: np.ndarray, radius: int, sec
     return spanning(*map(np.concatenate, zip(*held)))
 
 
-def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS, most: int = 128) -> DataFrame:
+def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS, similarity: float = 0.8) -> DataFrame:
     """(a, b): edges that span the links of at most ``radius`` bits between distinct
-    fps (and of at most ``most`` bits between their second prints, if they have any)."""
+    fps (whose second prints, if they have any, agree with that similarity)."""
     n = distinct.count()
-    extra = [c for c in ("va", "vb") if c in distinct.columns]
+    extra = [c for c in PRINT if c in distinct.columns]
     # longer keys in more tables once the mean shard would pass 64 rows
     blocks = radius + next((e for e in (1, 2) if n <= 64 << 64 * e // (radius + e)), 3)
     edges = [round(64 * i / blocks) for i in range(blocks + 1)]
@@ -247,7 +279,7 @@ def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_RO
             new[1:] = (t[1:] != t[:-1]) | (key[1:] != key[:-1]) | (cut[1:] != cut[:-1])
             shard = np.cumsum(new)
             many = np.bincount(shard)[shard] > 1
-            a, b = _links(fp[many], tree[many], shard[many], radius, [v[many] for v in second], most)
+            a, b = _links(fp[many], tree[many], shard[many], radius, [v[many] for v in second], similarity)
             return pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
 
         for batch in batches:
@@ -267,24 +299,52 @@ def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_RO
     return placed.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text", shard_rows: int = SHARD_ROWS, verify_shingle: int = 0, similarity: float = 0.8) -> DataFrame:
+def _agree(similarity: float) -> Column:
+    """The second print against the one in the columns whose names end in _0."""
+    bits = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_0"))) for c in PRINT[1:]), F.lit(0))
+    sizes = F.least("n", "n_0") >= similarity * F.greatest("n", "n_0") - 1e-9
+    return sizes & (bits <= most_bits(similarity))
+
+
+def _classes(distinct: DataFrame, radius: int, shard_rows: int, similarity: float) -> DataFrame:
+    """(fp, component_id) from (fp, least [, second print]), one row per fp."""
+    roots = connected_components(shard_edges(distinct.drop("least"), radius, shard_rows, similarity))
+    rooted = distinct.select("fp", "least").join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text", shard_rows: int = SHARD_ROWS, verify_shingle: int = 0, similarity: float = 0.8, families: int = 1) -> DataFrame:
     """(doc_id, fingerprint as 16 hex digits, component_id) per row; with
     ``verify_shingle`` links also need that similarity of the second print."""
-    prints = materialise(fingerprints(docs, shingle, id_col, text_col, verify_shingle), "fingerprints")
-    second = [F.min_by(c, F.struct("doc_id", "va", "vb")).alias(c) for c in ("va", "vb") if verify_shingle]
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), *second)
-    roots = connected_components(shard_edges(distinct.drop("least"), radius, shard_rows, most_bits(similarity)))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id")
-    if not verify_shingle:
-        found = prints.join(classes, "fp")
-    else:
-        # texts of one fingerprint whose second prints differ: classes of equal prints
-        seconds = distinct.select("fp", F.col("va").alias("ra"), F.col("vb").alias("rb"))
-        apart = F.bit_count(F.col("va").bitwiseXOR(F.col("ra"))) + F.bit_count(F.col("vb").bitwiseXOR(F.col("rb")))
-        variants = prints.groupBy("fp", "va", "vb").agg(F.min("doc_id").alias("own"))
-        far = variants.join(seconds, "fp").where(apart > most_bits(similarity)).select("fp", "va", "vb", "own", F.lit(True).alias("far"))
-        found = prints.join(classes, "fp").join(far, ["fp", "va", "vb"], "left")
-        found = found.withColumn("component_id", F.when(F.col("far"), F.col("own")).otherwise(F.col("component_id")))
+    prints = materialise(fingerprints(docs, shingle, id_col, text_col, verify_shingle, families), "fingerprints")
+    fps = fp_names(families)
+    second = PRINT if verify_shingle else []
+    if families == 1 and not second:
+        distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+        found = prints.join(_classes(distinct, radius, shard_rows, similarity), "fp")
+        return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    # texts of equal prints are one variant, named by its smallest id
+    variant = [*fps, *second]
+    variants = materialise(prints.groupBy(*variant).agg(F.min("doc_id").alias("own")), "variants")
+    stars = []
+    for fp in fps:
+        some = variants.select(F.col(fp).alias("fp"), "own", *second)
+        order = F.struct("own", *second)
+        distinct = some.groupBy("fp").agg(F.min("own").alias("least"), *[F.min_by(c, order).alias(c) for c in second])
+        distinct = materialise(distinct, "distinct")
+        classes = _classes(distinct, radius, shard_rows, similarity).withColumnRenamed("fp", "_fp")
+        joined = variants.withColumn("_fp", F.col(fp)).join(classes, "_fp")
+        if second:
+            firsts = distinct.select(F.col("fp").alias("_fp"), *[F.col(c).alias(f"{c}_0") for c in second])
+            joined = joined.join(firsts, "_fp").where(_agree(similarity))
+        stars.append(joined.select(*variant, "own", "component_id"))
+    links = materialise(reduce(DataFrame.unionByName, stars), "links")
+    edges = links.where(F.col("own") != F.col("component_id")).select(F.col("own").alias("a"), F.col("component_id").alias("b"))
+    roots = connected_components(edges)
+    # a variant without any id takes the component of the texts it is linked with
+    nameless = links.where(F.col("own").isNull()).groupBy(*variant).agg(F.min("component_id").alias("met"))
+    named = variants.join(nameless, variant, "left").withColumn("node", F.coalesce("own", "met"))
+    named = named.join(roots, "node", "left").select(*variant, F.coalesce("root", "node").alias("component_id"))
+    found = prints.join(named, variant)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

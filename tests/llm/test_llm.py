@@ -237,16 +237,21 @@ def test_verified_links_against_brute_force(spark):
             edited[at] = "changed"
         rows.append((100 + i, " ".join(edited)))
     rows += [(300, None), (301, ""), (302, "one two"), (303, "one two"), (None, "one two")]
-    got = {r.doc_id: r.component_id for r in simhash_bk.near_duplicates(frame(spark, rows), shingle=2, radius=6, verify_shingle=5).collect()}
-    prints = {i: (simhash_bk.fingerprint(t, 2), *(x & (1 << 64) - 1 for x in simhash_bk.second_print(t, 5))) for i, t in rows if i is not None}
-    most = simhash_bk.most_bits(0.8)
+    got = {r.doc_id: r.component_id for r in simhash_bk.near_duplicates(frame(spark, rows), shingle=2, radius=6, verify_shingle=5, families=2).collect()}
+    prints = {i: (simhash_bk.majority(simhash_bk._shingles(t, 2), 2), *simhash_bk.second_print(t, 5)) for i, t in rows if i is not None}
+
+    def linked(a, b):
+        (f, n, v), (g, m, w) = prints[a], prints[b]
+        alike = min(n, m) >= 0.8 * max(n, m) and np.bitwise_count(v ^ w).sum() <= simhash_bk.most_bits(0.8)
+        return alike and np.bitwise_count(f ^ g).min() <= 6
+
     label = {i: i for i in prints}
     for _ in range(3):
         for a in prints:
             for b in prints:
-                (f, x, y), (g, u, v) = prints[a], prints[b]
-                if (f ^ g).bit_count() <= 6 and (x ^ u).bit_count() + (y ^ v).bit_count() <= most:
+                if linked(a, b):
                     label[a] = label[b] = min(label[a], label[b])
+    assert all(simhash_bk.fingerprint(t, 2) == int(prints[i][0][0]) for i, t in rows if i in prints)
     assert {i: c for i, c in got.items() if i is not None} == label
     assert got[None] == 302 and sum(got[100 + i] == i for i in range(1, 40, 2)) >= 18
     assert all(got[100 + i] == 100 + i for i in range(0, 40, 2))
