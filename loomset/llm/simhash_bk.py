@@ -346,5 +346,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col:
     nameless = links.where(F.col("own").isNull()).groupBy(*variant).agg(F.min("component_id").alias("met"))
     named = variants.join(nameless, variant, "left").withColumn("node", F.coalesce("own", "met"))
     named = named.join(roots, "node", "left").select(*variant, F.coalesce("root", "node").alias("component_id"))
+    # written, so that the join's partitioning is its own and adaptive execution may split a hot variant
+    named = materialise(named, "named")
     found = prints.join(named, variant)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
