@@ -254,8 +254,9 @@ def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_RO
     fps (whose second prints, if they have any, agree with that similarity)."""
     n = distinct.count()
     extra = [c for c in PRINT if c in distinct.columns]
-    # longer keys in more tables once the mean shard would pass 64 rows
-    blocks = radius + next((e for e in (1, 2) if n <= 64 << 64 * e // (radius + e)), 3)
+    # longer keys in more tables once the mean shard would pass 64 rows, or 512
+    # where the step is to three free blocks: tables then cost more disk than trees cost time
+    blocks = radius + next((e for e, mean in ((1, 64), (2, 512)) if n <= mean << 64 * e // (radius + e)), 3)
     edges = [round(64 * i / blocks) for i in range(blocks + 1)]
     masks = []
     for kept in combinations(range(blocks), blocks - radius):
