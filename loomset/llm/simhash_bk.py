@@ -21,12 +21,18 @@ distinct shingles of that many words: their number and ``PRINT_WORDS`` * 64
 majority bits. Sets whose sizes alone rule out the Jaccard similarity are not
 linked; the share of differing bits estimates the angle between the sets, and a
 link stays if it is at most the angle of two sets of that similarity, plus
-``SLACK`` standard errors. Texts of one fingerprint whose second print is too
-far from that of its smallest id are not linked through that fingerprint. So the
-radius may be wide enough for edited copies without linking texts that only
-share words. ``families`` fingerprints per text, of the same shingles under
-independent hashes, are searched one after the other; a link that one of them
-misses by a few bits is found by another, and the components are joined up.
+``SLACK`` standard errors. So the radius may be wide enough for edited copies
+without linking texts that only share words. ``families`` fingerprints per text,
+of the same shingles under independent hashes, are searched one after the other;
+a link that one of them misses by a few bits is found by another.
+
+There the nodes are variants, the distinct rows of all prints of a text, not
+fingerprints: trees are of distinct fingerprints, and for two of them within the
+radius (or one with itself) every variant of the one is compared with every
+variant of the other, in the first table only whose key the two share. The second
+print's radius is too wide for trees or blocks to be selective, so variants of
+one fingerprint cost time with the square of their number; texts dominated by a
+repeated phrase share one. Shards are cut by variants, which spreads that work.
 
 Defined cases: null or empty text has fingerprint zero, linked like any other;
 a text of fewer words than a shingle is one shingle; null ids get the component
@@ -44,7 +50,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, mix
@@ -58,6 +64,8 @@ PRINT_WORDS = 8
 SLACK = 1.0
 #: At most so many (query, node) pairs are open at once.
 _OPEN_PAIRS = 1 << 21
+#: Pairs of variants of two fingerprints from which on they are compared in tiles.
+_TILE = 1 << 12
 _GOLDEN = 0x9E3779B97F4A7C15
 #: Columns of a second print.
 PRINT = ["n", *[f"p{i}" for i in range(PRINT_WORDS)]]
@@ -215,32 +223,17 @@ def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[off], values[label[off]]
 
 
-def _links(fp: np.ndarray, tree: np.ndarray, shard: np.ndarray, radius: int, second: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+def _links(fp: np.ndarray, tree: np.ndarray, shard: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
     if not tree.any():
         return a, b
     members = fp[tree].view(np.uint64)
     forest, query = Forest(members, shard[tree]), fp.view(np.uint64)
-    tree_sizes, *tree_prints = [v[tree] for v in second] or [a]
-    most = most_bits(similarity)
     held = [(a, b)]
     size = 0
     for q, node in forest.search(query, shard, radius):
         other = members[node].view(np.int64)
         differ = fp[q] != other
-        if second:
-            q, node, other = q[differ], node[differ], other[differ]
-            sizes, *prints = second
-            n, m = sizes[q], tree_sizes[node]
-            keep = np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-9
-            q, node, other = q[keep], node[keep], other[keep]
-            # unsigned: a bit count of signed numbers is that of their absolute value
-            bits = np.zeros(len(q), np.int64)
-            for mine, theirs in zip(prints, tree_prints):
-                bits += np.bitwise_count(mine[q].view(np.uint64) ^ theirs[node].view(np.uint64))
-            near = bits <= most
-            q, other = q[near], other[near]
-            differ = np.ones(len(q), bool)
         held.append((fp[q][differ], other[differ]))
         size += int(differ.sum())
         if size > _OPEN_PAIRS:
@@ -249,11 +242,85 @@ def _links(fp: np.ndarray, tree: np.ndarray, shard: np.ndarray, radius: int, sec
     return spanning(*map(np.concatenate, zip(*held)))
 
 
+def _variant_links(table: np.ndarray, shard: np.ndarray, fp: np.ndarray, tree: np.ndarray, node: np.ndarray, second: list[np.ndarray], masks: list[int], radius: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """The same between variants: rows sorted by shard and fp, several per fp.
+
+    Two fps within the radius may meet in several tables: the first one counts.
+    """
+    inside = np.flatnonzero(tree)
+    if not len(inside):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def groups(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        new = np.ones(len(rows), bool)
+        new[1:] = (shard[rows][1:] != shard[rows][:-1]) | (fp[rows][1:] != fp[rows][:-1])
+        start = np.flatnonzero(new)
+        return start, np.diff(start, append=len(rows))
+
+    (q_at, q_size), (n_at, n_size) = groups(np.arange(len(fp))), groups(inside)
+    query, members = fp[q_at].view(np.uint64), fp[inside[n_at]].view(np.uint64)
+    sizes, prints = (second[0], np.stack(second[1:]).view(np.uint64)) if second else (np.zeros(len(fp), np.int64), np.zeros((0, len(fp)), np.uint64))
+    most, label = most_bits(similarity), np.arange(len(fp))
+
+    def compare(q: np.ndarray, r: np.ndarray) -> None:
+        """Join the rows q and r, of shapes that broadcast, where they agree."""
+        n, m = sizes[q], sizes[r]
+        near = (np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-9) & (label[q] != label[r])
+        if not near.any():
+            return
+        if near.ndim == 1:
+            q, r = q[near], r[near]
+            near = np.ones(len(q), bool)
+        bits = np.zeros(near.shape, np.uint16)
+        for p in prints:
+            bits += np.bitwise_count(p[q] ^ p[r])
+        near &= bits <= most
+        q, r = np.broadcast_to(q, near.shape)[near], np.broadcast_to(r, near.shape)[near]
+        while len(q):
+            a, b = label[q], label[r]
+            apart = a != b
+            q, r, a, b = q[apart], r[apart], a[apart], b[apart]
+            np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+            while (label[label] != label).any():
+                label[:] = label[label]
+
+    for qs, ns in Forest(members, shard[inside[n_at]]).search(query, shard[q_at], radius):
+        x = query[qs] ^ members[ns]
+        at = table[q_at[qs]]
+        # one of the two directions; a fingerprint meets itself in table 0
+        first = (query[qs] > members[ns]) | ((x == 0) & (at == 0))
+        qs, ns, x, at = qs[first], ns[first], x[first], at[first]
+        first = np.ones(len(x), bool)
+        for t, mask in enumerate(masks):
+            first &= (at <= t) | ((x & np.uint64(mask & (1 << 64) - 1)) != 0)
+        qs, ns = qs[first], ns[first]
+        pairs = q_size[qs] * n_size[ns]
+        few = pairs <= _TILE
+        a, b, pairs_few = qs[few], ns[few], pairs[few]
+        sums, cut = np.cumsum(pairs_few), 0
+        while cut < len(a):
+            stop = max(cut + 1, int(np.searchsorted(sums, (sums[cut - 1] if cut else 0) + _OPEN_PAIRS, "right")))
+            wide = pairs_few[cut:stop]
+            off = np.arange(int(wide.sum())) - np.repeat(np.cumsum(wide) - wide, wide)
+            begin, start, width = (np.repeat(v[cut:stop], wide) for v in (q_at[a], n_at[b], n_size[b]))
+            compare(begin + off // width, inside[start + off % width])
+            cut = stop
+        for i, j in zip(qs[~few].tolist(), ns[~few].tolist()):
+            rows, others = np.arange(q_at[i], q_at[i] + q_size[i]), inside[n_at[j] : n_at[j] + n_size[j]]
+            for u in range(0, len(rows), 512):
+                for v in range(0, len(others), 1024):
+                    compare(rows[u : u + 512, None], others[None, v : v + 1024])
+    off = label != np.arange(len(label))
+    return spanning(node[off], node[label[off]])
+
+
 def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS, similarity: float = 0.8) -> DataFrame:
     """(a, b): edges that span the links of at most ``radius`` bits between distinct
-    fps (whose second prints, if they have any, agree with that similarity)."""
+    fps; or, with a column ``node``, between the nodes of such fps whose second
+    prints, if they have any, agree with that similarity."""
     n = distinct.count()
-    extra = [c for c in PRINT if c in distinct.columns]
+    extra = [c for c in ["node", *PRINT] if c in distinct.columns]
+    named = "node" in extra
     # longer keys in more tables once the mean shard would pass 64 rows, or 512
     # where the step is to three free blocks: tables then cost more disk than trees cost time
     blocks = radius + next((e for e, mean in ((1, 64), (2, 512)) if n <= mean << 64 * e // (radius + e)), 3)
@@ -269,7 +336,7 @@ def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_RO
     hot = hot.select("t", "key", F.ceil(F.col("count") / limit).cast("int").alias("cuts"))
     dealt = keyed.join(F.broadcast(hot), ["t", "key"], "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
     dealt = dealt.withColumn("cut", F.explode_outer(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    dealt = dealt.select("t", "key", "cut", "fp", (F.col("cut") == F.pmod(F.xxhash64("fp"), F.col("cuts"))).alias("tree"), *extra)
+    dealt = dealt.select("t", "key", "cut", "fp", (F.col("cut") == F.pmod(F.xxhash64("node" if named else "fp"), F.col("cuts"))).alias("tree"), *extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left: list[np.ndarray] = []
@@ -280,7 +347,11 @@ def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_RO
             new[1:] = (t[1:] != t[:-1]) | (key[1:] != key[:-1]) | (cut[1:] != cut[:-1])
             shard = np.cumsum(new)
             many = np.bincount(shard)[shard] > 1
-            a, b = _links(fp[many], tree[many], shard[many], radius, [v[many] for v in second], similarity)
+            if named:
+                node, *second = (v[many] for v in second)
+                a, b = _variant_links(t[many], shard[many], fp[many], tree[many], node, second, masks, radius, similarity)
+            else:
+                a, b = _links(fp[many], tree[many], shard[many], radius)
             return pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
 
         for batch in batches:
@@ -300,16 +371,9 @@ def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_RO
     return placed.mapInArrow(run, "a long, b long")
 
 
-def _agree(similarity: float) -> Column:
-    """The second print against the one in the columns whose names end in _0."""
-    bits = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_0"))) for c in PRINT[1:]), F.lit(0))
-    sizes = F.least("n", "n_0") >= similarity * F.greatest("n", "n_0") - 1e-9
-    return sizes & (bits <= most_bits(similarity))
-
-
-def _classes(distinct: DataFrame, radius: int, shard_rows: int, similarity: float) -> DataFrame:
-    """(fp, component_id) from (fp, least [, second print]), one row per fp."""
-    roots = connected_components(shard_edges(distinct.drop("least"), radius, shard_rows, similarity))
+def _classes(distinct: DataFrame, radius: int, shard_rows: int) -> DataFrame:
+    """(fp, component_id) from (fp, least), one row per fp."""
+    roots = connected_components(shard_edges(distinct.drop("least"), radius, shard_rows))
     rooted = distinct.select("fp", "least").join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id")
@@ -323,30 +387,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col:
     second = PRINT if verify_shingle else []
     if families == 1 and not second:
         distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-        found = prints.join(_classes(distinct, radius, shard_rows, similarity), "fp")
+        found = prints.join(_classes(distinct, radius, shard_rows), "fp")
         return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-    # texts of equal prints are one variant, named by its smallest id
+    # texts of equal prints are one variant; its number is written, so it stays
     variant = [*fps, *second]
-    variants = materialise(prints.groupBy(*variant).agg(F.min("doc_id").alias("own")), "variants")
-    stars = []
+    variants = prints.groupBy(*variant).agg(F.min("doc_id").alias("own")).withColumn("node", F.monotonically_increasing_id())
+    variants = materialise(variants, "variants")
+    links = []
     for fp in fps:
-        some = variants.select(F.col(fp).alias("fp"), "own", *second)
-        order = F.struct("own", *second)
-        distinct = some.groupBy("fp").agg(F.min("own").alias("least"), *[F.min_by(c, order).alias(c) for c in second])
-        distinct = materialise(distinct, "distinct")
-        classes = _classes(distinct, radius, shard_rows, similarity).withColumnRenamed("fp", "_fp")
-        joined = variants.withColumn("_fp", F.col(fp)).join(classes, "_fp")
-        if second:
-            firsts = distinct.select(F.col("fp").alias("_fp"), *[F.col(c).alias(f"{c}_0") for c in second])
-            joined = joined.join(firsts, "_fp").where(_agree(similarity))
-        stars.append(joined.select(*variant, "own", "component_id"))
-    links = materialise(reduce(DataFrame.unionByName, stars), "links")
-    edges = links.where(F.col("own") != F.col("component_id")).select(F.col("own").alias("a"), F.col("component_id").alias("b"))
-    roots = connected_components(edges)
-    # a variant without any id takes the component of the texts it is linked with
-    nameless = links.where(F.col("own").isNull()).groupBy(*variant).agg(F.min("component_id").alias("met"))
-    named = variants.join(nameless, variant, "left").withColumn("node", F.coalesce("own", "met"))
-    named = named.join(roots, "node", "left").select(*variant, F.coalesce("root", "node").alias("component_id"))
+        some = variants.select(F.col(fp).alias("fp"), "node", *second)
+        links.append(materialise(shard_edges(some, radius, shard_rows, similarity), "links"))
+    roots = connected_components(reduce(DataFrame.unionByName, links))
+    rooted = variants.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    smallest = rooted.groupBy("root").agg(F.min("own").alias("component_id"))
+    named = rooted.join(smallest, "root").select(*variant, "component_id")
     # written, so that the join's partitioning is its own and adaptive execution may split a hot variant
     named = materialise(named, "named")
     found = prints.join(named, variant)

@@ -257,6 +257,34 @@ def test_verified_links_against_brute_force(spark):
     assert all(got[100 + i] == 100 + i for i in range(0, 40, 2))
 
 
+def test_variants_of_one_fingerprint(spark):
+    rng = np.random.default_rng(7)
+    words = [f"w{k}" for k in range(3000)]
+    rows = []
+    for i in range(50):  # one word rules both fingerprints; tails differ, the second of each pair by a word
+        tail = list(rng.choice(words, 40))
+        rows.append((i, "click " * 300 + " ".join(tail)))
+        rows.append((100 + i, "click " * 300 + " ".join([*tail[:-1], "changed"])))
+    prints = {i: (simhash_bk.majority(simhash_bk._shingles(t, 2), 2), *simhash_bk.second_print(t, 5)) for i, t in rows}
+    assert len({tuple(f.tolist()) for f, _, _ in prints.values()}) < 10
+
+    def linked(a, b):
+        (f, n, v), (g, m, w) = prints[a], prints[b]
+        alike = min(n, m) >= 0.8 * max(n, m) and np.bitwise_count(v ^ w).sum() <= simhash_bk.most_bits(0.8)
+        return alike and np.bitwise_count(f ^ g).min() <= 6
+
+    label = {i: i for i in prints}
+    for _ in range(3):
+        for a in prints:
+            for b in prints:
+                if linked(a, b):
+                    label[a] = label[b] = min(label[a], label[b])
+    assert sum(label[100 + i] == i for i in range(50)) > 40
+    for shard_rows in (simhash_bk.SHARD_ROWS, 7):
+        got = simhash_bk.near_duplicates(frame(spark, rows), shingle=2, radius=6, verify_shingle=5, families=2, shard_rows=shard_rows).collect()
+        assert {r.doc_id: r.component_id for r in got} == label
+
+
 def test_merkle(spark):
     docs = frame(spark, EDGE)
     got = sorted(merkle.compare_with_next(docs).collect(), key=lambda r: (r.doc_id or -1, r.fingerprint))
