@@ -7,9 +7,9 @@ The model is an interpolated bigram model with absolute discounting:
     gamma(c) = 1 - sum over kept w of (n(c, w) - D) / (n(c) + MU)
 
 over the training documents, each text followed by one end token, which is also
-the context of a first word. Bigrams seen ``MIN_COUNT`` times or more are kept;
-gamma gives the mass of the others back, so every context sums to one (up to
-quantisation, which rounds probabilities down).
+the context of a first word. Bigrams seen ``MIN_COUNT`` times or more are kept,
+which is all of them; gamma gives the mass of others, if any, back, so every
+context sums to one (up to quantisation, which rounds probabilities down).
 
 Levels are files in the shared folder that workers memory-map:
 
@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from .common import END_TOKEN, fold, fresh_path, list_blobs, map_blob, materialise, word_hashes, write_blobs
 
 MAGIC = b"EFT1"
-D, MU, MIN_COUNT = 0.75, 12.0, 2
+D, MU, MIN_COUNT = 0.75, 12.0, 1
 #: log10 probabilities from -16 to 0 in 65,535 steps.
 _STEP = 16 / 65535
 #: Rows in one level file.
@@ -398,7 +398,7 @@ def train(docs: DataFrame, text_col: str = "text", min_count: int = MIN_COUNT, d
                 distinct, back = np.unique(tokens, return_inverse=True)
                 ids = level.ids(distinct)
                 # a pair seen min_count times has both words seen as often
-                often = (level.counts(ids) >= min_count)[back]
+                often = (level.counts(ids) >= min_count)[back] if min_count > 1 else np.ones(len(tokens), bool)
                 ids = ids[back]
                 context = np.concatenate([ids[-1:], ids[:-1]])  # the last token is an end token
                 keep = often & np.concatenate([often[-1:], often[:-1]])

@@ -84,6 +84,17 @@ def test_lm_against_brute_force(spark):
     assert ngram_trie.train_and_score(frame(spark, EDGE)).count() == len(EDGE)
 
 
+def test_lm_keeps_bigrams_seen_once(spark):
+    texts = ["p q", "r s", "p s"]
+    n, v, uni = 9, 5, {"p": 2, "q": 1, "r": 1, "s": 2, "\n": 3}
+    model = ngram_trie.train(frame(spark, list(enumerate(texts))))
+    got = ngram_trie.score(frame(spark, [(9, "p q")]), model).first().score
+    bi = {("\n", "p"): 2, ("\n", "r"): 1, ("p", "q"): 1, ("p", "s"): 1, ("r", "s"): 1, ("q", "\n"): 1, ("s", "\n"): 2}
+    gamma = lambda c: 1 - sum(k - 0.75 for (a, _), k in bi.items() if a == c) / (uni[c] + 12)
+    prob = lambda c, x: (bi[c, x] - 0.75) / (uni[c] + 12) + gamma(c) * (uni[x] + 1) / (n + v + 1)
+    assert got == pytest.approx(sum(np.log10(prob(c, x)) for c, x in [("\n", "p"), ("p", "q"), ("q", "\n")]), abs=3e-3)
+
+
 # ---------------------------------------------------------------- op2, the rollup
 def test_rollup(spark):
     docs = frame(spark, [(1, "a b"), (2, None), (3, "c")])
