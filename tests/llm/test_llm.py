@@ -339,3 +339,17 @@ def test_pipeline(spark):
     texts = {r.doc_id: r.text for r in before.collect()}
     assert all(codec.decode(r.ids).decode() == texts[r.doc_id] and r.n_tokens == len(r.ids) for r in docs.collect())
     assert before.select(F.max("n_chars")).first() is not None
+
+
+def test_pipeline_rows_without_id_and_repeated_ids(spark):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rng = np.random.default_rng(3)
+    a, b, c, d = (" ".join(rng.choice([f"w{k}" for k in range(3000)], 200)) for _ in range(4))
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    rows = [(5, a), (7, a), (7, b), (None, a), (None, c), (None, c), (8, d), (8, d), (9, item), (9, b + " own"), (None, item + " end")]
+    docs = frame(spark, rows)
+    got = pipeline.one_of_near_copies(spark, docs, SF).collect()
+    firsts = sorted((str(r.doc_id), r.text) for r in got if not r.text.startswith((b, item)))
+    assert firsts == sorted([("5", a), ("8", d), ("8", d), ("None", c)])
+    got = pipeline.drop_contaminated(spark, docs, SF).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == sorted((str(i), t) for i, t in rows if not t.startswith(item))
