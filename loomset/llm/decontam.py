@@ -13,8 +13,12 @@ Documents are read once and never shuffled: the benchmark's seeds are the small
 side, broadcast in blocks of at most ``BLOCK_SEEDS`` (a fixed size); a larger
 benchmark is taken in several blocks, each against all documents.
 
-Defined cases: null and empty texts have no windows; benchmark items under 13
-tokens can't be matched; null and repeated document ids are reported under that
+Benchmark items of 1 to 12 tokens are matched whole and exactly: for each length
+that occurs, the hash of that many tokens at each position is joined with the
+items' hashes, and equal hashes are verified token by token.
+
+Defined cases: null and empty texts have no windows and, as items, match nothing;
+null and repeated document ids are reported under that
 id; repeated items are reported under each item id; other columns are ignored.
 """
 
@@ -78,11 +82,33 @@ def _hits(docs: DataFrame, seeds: DataFrame) -> DataFrame:
     )
 
 
+def _short_items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(hash, item_id, item): the items too short for a window."""
+    items = benchmark.select(F.col(id_col).alias("item_id"), tokens(F.col(text_col)).alias("item")).distinct()
+    return items.where(F.size("item").between(1, WINDOW - 1)).select(F.xxhash64("item").alias("hash"), "item_id", "item")
+
+
+def _whole(docs: DataFrame, items: DataFrame, lengths: list[int]) -> DataFrame:
+    w = F.col("words")
+
+    def at(x: Column, i: Column) -> Column:
+        return F.array(*[F.when(i + n <= F.size(w), F.xxhash64(F.slice(w, i + 1, n))) for n in lengths])
+
+    places = docs.withColumn("hashes", F.transform(w, at)).select("doc_id", "words", F.posexplode_outer("hashes").alias("p", "some"))
+    rows = places.select("doc_id", "words", "p", F.explode_outer("some").alias("hash"))
+    joined = rows.join(F.broadcast(items), "hash").where(F.slice(w, F.col("p") + 1, F.size("item")) == F.col("item"))
+    return joined.select("doc_id", "item_id", F.size("item").alias("matched"), F.col("p").alias("first_word"))
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """doc_id, item_id, matched (most equal tokens of 13), first_word (where the first such window starts)."""
+    """doc_id, item_id, matched (most equal tokens of 13, or all of a shorter item), first_word (where the first such window starts)."""
     seeds = benchmark_seeds(benchmark, item_col, item_text_col)
     blocks = max(1, -(-seeds.count() // BLOCK_SEEDS))
     picked = docs.select(F.col(id_col).alias("doc_id"), tokens(F.col(text_col)).alias("words"))
     parts = [_hits(picked, seeds.where(F.pmod(F.xxhash64("item_id", "k"), F.lit(blocks)) == b) if blocks > 1 else seeds) for b in range(blocks)]
+    short = _short_items(benchmark, item_col, item_text_col)
+    sizes = {r.n: r["count"] for r in short.groupBy(F.size("item").alias("n")).count().collect()}
+    blocks = -(-sum(sizes.values()) // BLOCK_SEEDS)
+    parts += [_whole(picked, short.where(F.pmod(F.xxhash64("hash", "item_id"), F.lit(blocks)) == b), sorted(sizes)) for b in range(blocks)]
     found = reduce(DataFrame.unionByName, parts)
     return found.groupBy("doc_id", "item_id").agg(F.max("matched").cast("int").alias("matched"), F.min("first_word").cast("int").alias("first_word"))

@@ -156,6 +156,14 @@ def test_decontamination_edges(spark):
     assert decontam.find_contamination(frame(spark, docs), bench.where("false")).count() == 0
 
 
+def test_decontamination_by_short_items(spark):
+    twelve = " ".join(f"t{i}" for i in range(12))
+    docs = [(1, "so Too, SHORT it is: too short"), (2, "short too"), (3, "x " + twelve), (4, twelve.replace("t7", "u")), (5, "too"), (None, "too short"), (6, None), (7, "世界")]
+    bench = spark.createDataFrame([(1, "too short"), (2, None), (3, twelve), (4, "..."), (5, "世界"), (6, "Too-short!")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.matched, r.first_word) for r in decontam.find_contamination(frame(spark, docs), bench).collect()}
+    assert got == {(1, 1): (2, 1), (1, 6): (2, 1), (None, 1): (2, 0), (None, 6): (2, 0), (3, 3): (12, 1), (7, 5): (1, 0)}
+
+
 def test_warc_edges(spark):
     body = "x" * 100
     rows = [(1, "u", body), (2, None, body), (3, "u\nv", None), (4, "u", "é"), (5, "u", "é"), (None, "u", body), (1, "w", body)]
