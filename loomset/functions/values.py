@@ -19,7 +19,8 @@ def lenient_int(col: Column) -> Column:
 
 
 def strict_int(col: Column, missing: int) -> Column:
-    """Null becomes ``missing``; text that is no integer becomes null."""
+    """Null becomes ``missing``; text that is no integer becomes null; numbers lose
+    their fraction (NaN and what no long holds become null)."""
     return F.when(col.isNull(), F.lit(missing).cast("bigint")).otherwise(col.try_cast("bigint"))
 
 
@@ -77,8 +78,14 @@ def id_from_name(path: Column) -> Column:
     return F.coalesce(stem.try_cast("bigint"), F.regexp_extract(stem, r"(\d{4,})", 1).try_cast("bigint"))
 
 
+def floor_div(number: Column, by: int) -> Column:
+    """Whole division rounded down, in long arithmetic: exact beyond 2**53."""
+    number = number.cast("bigint")
+    return F.call_function("div", number - F.pmod(number, F.lit(by).cast("bigint")), F.lit(by).cast("bigint"))
+
+
 def shard_name(item_id: Column, files_per_shard: int) -> Column:
-    return F.format_string("shard_%05d", F.floor(item_id / files_per_shard))
+    return F.format_string("shard_%05d", floor_div(item_id, files_per_shard))
 
 
 def archive_in_url(url: Column) -> tuple[Column, Column]:

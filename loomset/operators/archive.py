@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import values
@@ -10,7 +10,7 @@ from ..functions import values
 
 def resolve(items: DataFrame, index: DataFrame, url_col: str = "url", key: str = "id") -> DataFrame:
     """Items with archive and inner_path from the index, else from a .tar in the URL; null where neither has it."""
-    last = index.groupBy(F.col("image_id").alias(key)).agg(F.max_by(F.struct("archive", "inner_path"), F.struct("archive_rank", "archive")).alias("_at"))
+    last = index.groupBy(F.col("image_id").alias(key)).agg(F.max_by(F.struct("archive", "inner_path"), F.struct("archive_rank", "archive", "inner_path")).alias("_at"))
     archive, inner = values.archive_in_url(F.col(url_col))
     return items.join(last, key, "left").withColumns(
         {"archive": F.coalesce("_at.archive", archive), "inner_path": F.when(F.col("_at").isNotNull(), F.col("_at.inner_path")).otherwise(inner)}
@@ -48,27 +48,35 @@ def extraction_order(resolved: DataFrame) -> DataFrame:
     return resolved.repartition("archive").sortWithinPartitions("archive", "id")
 
 
-def match_members(wanted: DataFrame, members: DataFrame, extensions: list[str] = values.IMAGE_EXTENSIONS, substring: bool = False) -> DataFrame:
-    """The member for each wanted (id, archive, inner_path): exact name, then the
-    base name with any extension, then the id with any extension; the first
-    extension in the list, then the first position, wins."""
-    stem = lambda c: F.regexp_replace(F.regexp_extract(c, r"([^/]*)\z", 1), r"(?<=.)\.[^.]*\z", "")
-    rank = F.coalesce(F.array_position(F.array(*map(F.lit, extensions)), F.lower(F.regexp_extract("member", r"(\.[^./]*)\z", 1))), F.lit(0))
-    m = members.select("archive", "member", "pos", F.regexp_replace("member", r"\.[^./]*\z", "").alias("_stem"), rank.alias("_ext"))
-    known = m.where(F.col("_ext") > 0)
-    keys = wanted.select("id", "archive", "inner_path")
-    found = [
-        keys.join(m, (keys.archive == m.archive) & (keys.inner_path == m.member)).select("id", keys.archive, "member", F.lit(1).alias("r"), F.lit(0).cast("bigint").alias("e"), "pos"),
-        keys.join(known, (keys.archive == known.archive) & (stem(keys.inner_path) == F.col("_stem"))).select("id", keys.archive, "member", F.lit(2).alias("r"), F.col("_ext").cast("bigint").alias("e"), "pos"),
-        keys.join(known, (keys.archive == known.archive) & (keys.id.cast("string") == F.col("_stem"))).select("id", keys.archive, "member", F.lit(3).alias("r"), F.col("_ext").cast("bigint").alias("e"), "pos"),
-    ]
-    if substring:
-        near = keys.join(m, (keys.archive == m.archive) & F.contains("member", keys.id.cast("string")))
-        found.append(near.select("id", keys.archive, "member", F.lit(4).alias("r"), F.lit(0).cast("bigint").alias("e"), "pos"))
-    every = found[0]
-    for f in found[1:]:
-        every = every.unionByName(f)
-    return every.groupBy("id", "archive").agg(F.min_by("member", F.struct("r", "e", "pos")).alias("member"), F.min("r").alias("strategy"))
+def _digit_pieces(text: Column) -> Column:
+    """Distinct digit strings of up to 19 digits inside a text."""
+    runs = F.regexp_extract_all(text, F.lit(r"(\d+)"), 1)
+    cuts = lambda r: F.flatten(F.transform(F.sequence(F.lit(1), F.length(r)), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(19), F.length(r) - i + 1)), lambda n: F.substring(r, i, n))))
+    return F.array_distinct(F.flatten(F.transform(runs, cuts)))
+
+
+def match_members(wanted: DataFrame, members: DataFrame, extensions: list[str] = values.IMAGE_EXTENSIONS, substring: bool = True) -> DataFrame:
+    """(id, archive, member, strategy) for each wanted (id, archive, inner_path) with a member.
+
+    In order: the full name; the full name with each extension instead of its
+    own; the id with each extension; with ``substring`` the first member by
+    position whose name holds the id's digits. A null inner path is the id with
+    .jpg. All are equi-joins: digit pieces of names meet ids, not all pairs.
+    """
+    text = F.col("id").cast("string")
+    name = F.coalesce("inner_path", F.concat(text, F.lit(".jpg")))
+    stem = F.regexp_replace(name, r"([^/.][^/]*)\.[^./]*\z", "$1")
+    tries = [(1, 0, name), *[(r, e, F.concat(base, F.lit(x))) for r, base in ((2, stem), (3, text)) for e, x in enumerate(extensions)]]
+    keys = wanted.select("id", "archive", F.explode(F.array(*[F.struct(F.lit(r).alias("r"), F.lit(e).alias("e"), n.alias("member")) for r, e, n in tries])).alias("t")).select("id", "archive", "t.*")
+    there = members.groupBy("archive", "member").agg(F.min("pos").alias("pos"))
+    found = keys.join(there, ["archive", "member"]).groupBy("id", "archive").agg(F.min_by(F.struct("member", F.col("r").alias("strategy")), F.struct("r", "e")).alias("m"))
+    found = found.select("id", "archive", "m.member", "m.strategy")
+    if not substring:
+        return found
+    pieces = there.select("archive", "member", "pos", F.explode(_digit_pieces(F.col("member"))).alias("text"))
+    first = pieces.groupBy("archive", "text").agg(F.min_by("member", "pos").alias("member"))
+    rest = wanted.select("id", "archive", text.alias("text")).distinct().join(found, ["id", "archive"], "left_anti")
+    return found.unionByName(rest.join(first, ["archive", "text"]).select("id", "archive", "member", F.lit(4).alias("strategy")))
 
 
 def last_writer(rows: DataFrame, key: str, value: str, order: str) -> DataFrame:

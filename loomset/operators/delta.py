@@ -11,13 +11,16 @@ from ..functions import tags, values
 def _side(df: DataFrame, tag_cols: tuple[str, ...], order: str | None) -> DataFrame:
     text = next((F.col(c) for c in tag_cols if c in df.columns), F.lit(""))
     name = F.col("file_name")
-    rank = F.col(order) if order else F.monotonically_increasing_id()
-    rows = df.select(values.base_name(name).alias("file_norm"), name.alias("file_name"), rank.alias("_r"), F.explode_outer(tags.token_set(text)).alias("_t"))
-    return rows.groupBy("file_norm").agg(F.min_by("file_name", "_r").alias("file_name"), F.sort_array(F.collect_set("_t")).alias("tokens"))
+    first = F.struct((F.col(order) if order else F.lit(0)).alias("at"), name.alias("file_name"))
+    rows = df.select(values.base_name(name).alias("file_norm"), first.alias("_f"), F.explode_outer(tags.token_set(text)).alias("_t"))
+    # each token of a name once, in native aggregates, before names gather theirs
+    once = rows.groupBy("file_norm", "_t").agg(F.min("_f").alias("_f"))
+    return once.groupBy("file_norm").agg(F.min("_f")["file_name"].alias("file_name"), F.sort_array(F.collect_list("_t")).alias("tokens"))
 
 
 def tag_delta(a: DataFrame, b: DataFrame, order: str | None = None) -> DataFrame:
-    """file_name, original_tags, added, removed per normalised file name of either side."""
+    """file_name, original_tags, added, removed per normalised file name of either side;
+    the name shown is the first in ``order``, else the smallest."""
     left, right = _side(a, ("tags",), order), _side(b, ("tag", "tags"), order)
     both = left.join(right.select("file_norm", F.col("tokens").alias("other")), "file_norm", "full_outer")
     none = F.array().cast("array<string>")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.values import shard_name
+from ..functions.values import floor_div, shard_name
 
 
 def by_id(items: DataFrame, files_per_shard: int, key: str = "id") -> DataFrame:
@@ -14,15 +16,22 @@ def by_id(items: DataFrame, files_per_shard: int, key: str = "id") -> DataFrame:
 
 def global_rank(df: DataFrame, key: str, name: str = "rank") -> DataFrame:
     """Rank from 0 in ascending key order without a one-partition window: buckets
-    of the sorted key are counted first and their offsets joined back."""
+    of the sorted key are counted first and their offsets joined back.
+
+    Buckets are ranges between quantiles of the key, so outliers don't crowd the
+    rest into one; the bounds are constants of the plan, the same in both uses."""
     spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # equal-width buckets of the key's range; ranks inside a bucket by a window
-    lo, hi = df.agg(F.min(key), F.max(key)).first()
-    if lo is None:
+    side = max(2, math.isqrt(4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    found = df.approxQuantile(key, [i / side**2 for i in range(1, side**2)], 1 / (4 * side**2))
+    if not found:
         return df.withColumn(name, F.lit(0).cast("bigint"))
-    width = max(1, -(-(hi - lo + 1) // (parts * 4)))
-    bucketed = df.withColumn("_b", F.floor((F.col(key) - F.lit(lo)) / width))
+    bounds = sorted({int(x) for x in found})
+    # two short searches instead of one long one
+    runs = [bounds[i : i + side] for i in range(0, len(bounds), side)]
+    above = lambda among: F.size(F.filter(among, lambda x: x <= F.col(key)))
+    bucketed = df.withColumn("_run", above(F.array(*[F.lit(r[0]).cast("bigint") for r in runs])))
+    inner = F.get(F.array(*[F.array(*[F.lit(x).cast("bigint") for x in r]) for r in runs]), F.col("_run") - 1)
+    bucketed = bucketed.withColumn("_b", F.when(F.col("_run") == 0, 0).otherwise(F.col("_run") * (side + 1) + above(inner))).drop("_run")
     sizes = bucketed.groupBy("_b").agg(F.count("*").alias("_n"))
     # as many rows as buckets, a fixed number
     before = sizes.withColumn("_o", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
@@ -37,7 +46,7 @@ def by_count(items: DataFrame, assigned: DataFrame, files_per_shard: int, curren
     known = items.join(assigned.select(key, "shard"), key, "left")
     old = known.where(F.col("shard").isNotNull())
     new = global_rank(known.where(F.col("shard").isNull()).drop("shard"), key)
-    shard = F.lit(current_index) + F.floor((F.col("rank") + current_count) / files_per_shard)
+    shard = F.lit(current_index) + floor_div(F.col("rank") + current_count, files_per_shard)
     return old.withColumn("shard", F.col("shard").cast("bigint")).unionByName(new.withColumn("shard", shard.cast("bigint")).drop("rank"))
 
 

@@ -45,8 +45,10 @@ class ColumnBinding:
             elif name == "rating":
                 col = F.coalesce(F.lower(col.cast("string")), F.lit(""))
             elif name in ("score", "width", "height"):
-                text = col.cast("string")
-                col = values.lenient_int(text) if number_policy == "zero" else values.strict_int(text, -1 if name == "score" else 0)
+                if number_policy == "zero":
+                    col = values.lenient_int(col.cast("string"))
+                else:
+                    col = values.strict_int(col, -1 if name == "score" else 0)
             out.append(col.alias(name))
         return df.select(*out)
 
@@ -84,6 +86,7 @@ class FilterSpec:
     min_height: int = 0
     max_height: int = 0
     exclude_extensions: tuple[str, ...] = ()
+    exclude_video: bool = True
     exclude_gif: bool = False
     extension_case: bool = True
     keep_null_url: bool = True
@@ -118,6 +121,8 @@ class FilterSpec:
                 if high > 0:
                     parts.append(need(name) <= high)
         endings = [*self.exclude_extensions, *([".gif"] if self.exclude_gif else [])]
+        if self.exclude_video and have is not None and "url" in have:
+            endings += values.VIDEO_EXTENSIONS
         if endings and (have is None or "url" in have):
             col = F_("url") if self.extension_case else F.lower("url")
             bad = _any([col.endswith(e) for e in endings])
@@ -147,18 +152,3 @@ def _any(parts: list[Column]) -> Column:
     for p in parts[1:]:
         out = out | p
     return out
-
-
-def url_column(columns: list[str]) -> str | None:
-    """The column that most likely holds the file's place, by ordered name patterns."""
-    # fixed values: words that mark a column as something else
-    skip = ("ext", "extension", "size", "count", "type")
-    rules = [
-        lambda c: c == "file_url", lambda c: "media_asset" in c, lambda c: "file_path" in c,
-        lambda c: "url" in c and "file" in c, lambda c: "path" in c and "file" in c, lambda c: "url" in c,
-    ]
-    for rule in rules:
-        for c in columns:
-            if rule(c.lower()) and not any(s in c.lower() for s in skip):
-                return c
-    return None

@@ -132,9 +132,14 @@ def dims_range(spark, sf_dir):
     return FilterSpec(min_width=200, max_width=1600, min_height=400).apply(_sized(spark, sf_dir))
 
 
-@query("SELECT page_id, url FROM pages WHERE NOT (ends_with(coalesce(url, ''), '5') OR ends_with(coalesce(url, ''), '#top'))")
+_CLIP = "CASE page_id % 6 WHEN 0 THEN url || '.mp4' WHEN 1 THEN url || '.swf' WHEN 2 THEN url || '.ZIP' ELSE url END"
+
+
+@query(f"""SELECT page_id, url FROM (SELECT page_id, {_CLIP} AS url FROM pages) WHERE NOT (ends_with(coalesce(url, ''), '5') OR ends_with(coalesce(url, ''), '#top')
+ OR ends_with(coalesce(url, ''), '.zip') OR ends_with(coalesce(url, ''), '.mp4') OR ends_with(coalesce(url, ''), '.webm') OR ends_with(coalesce(url, ''), '.swf'))""")
 def ext_exclude(spark, sf_dir):
-    return FilterSpec(exclude_extensions=("5", "#top")).apply(read(spark, sf_dir, "pages").select("page_id", "url"))
+    """The given endings, and those of videos and archives, which are always left out."""
+    return FilterSpec(exclude_extensions=("5", "#top")).apply(read(spark, sf_dir, "pages").select("page_id", F.expr(_CLIP).alias("url")))
 
 
 @query(_where(f"score >= 200 AND rating IN ('s', 'safe', 'q', 'questionable') AND {_m(_SB + 'the' + _SE)} AND NOT {_m(_SB + '(by|clown)' + _SE)}"))
@@ -157,6 +162,14 @@ def lenient_int_a(spark, sf_dir):
     return _loose(spark, sf_dir).select("event_id", values.lenient_int(F.col("text")).alias("n"))
 
 
+@query("""SELECT l_orderkey AS id, l_linenumber AS line, trunc(l_quantity * 1.5)::BIGINT AS score, CASE WHEN l_linenumber % 2 = 0 THEN 0 ELSE trunc(l_extendedprice)::BIGINT END AS width FROM lineitem""")
+def strict_numbers(spark, sf_dir):
+    """The null policy over double columns: fractions are cut, null is -1 for a score and 0 for a side."""
+    rows = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_quantity").cast("double") * 1.5).alias("q"), F.when(F.col("l_linenumber") % 2 == 1, F.col("l_extendedprice").cast("double")).alias("p"))
+    bound = ColumnBinding("l_orderkey", None, None, None, None, None, "q", "l_linenumber", "p", None, None).canonical(rows, "null")
+    return bound.select("id", F.col("rating").cast("int").alias("line"), "score", "width")
+
+
 @query(f"SELECT event_id, CASE WHEN t IS NULL THEN -1 WHEN regexp_matches(t, '^-?[0-9]+$') THEN t::BIGINT END AS n FROM (SELECT event_id, {_TXT} AS t FROM events)")
 def lenient_int_b(spark, sf_dir):
     return _loose(spark, sf_dir).select("event_id", values.strict_int(F.col("text"), -1).alias("n"))
@@ -217,8 +230,7 @@ _L = f"(SELECT image_id, archive, inner_path FROM (SELECT *, row_number() OVER (
 
 def _resolved(spark, sf_dir) -> DataFrame:
     items = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.lit("").alias("url"))
-    one = archive.numbered(_index(spark, sf_dir), ["image_id"], [F.desc("archive_rank"), F.desc("archive"), F.desc("inner_path")], "rn").where("rn = 0").drop("rn")
-    return archive.resolve(items, one)
+    return archive.resolve(items, _index(spark, sf_dir))
 
 
 @query(f"SELECT o_orderkey AS id, archive, inner_path FROM orders LEFT JOIN {_L} ON o_orderkey = image_id")
@@ -240,16 +252,26 @@ def archive_group_counts(spark, sf_dir):
     return archive.group_counts(_resolved(spark, sf_dir))
 
 
-@query("""WITH w AS (SELECT page_id AS id, 't' || page_id % 5 || '.tar' AS archive, CASE page_id % 4 WHEN 0 THEN 'd/' || page_id || '.png' WHEN 1 THEN 'd/n' || page_id || '.bmp' ELSE 'zz' END AS ip FROM pages)
- SELECT id, archive, CASE id % 4 WHEN 0 THEN 'd/' || id || '.png' WHEN 1 THEN 'n' || id || '.jpg' ELSE id || '.webp' END AS member,
- CASE id % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 3 END AS strategy FROM w WHERE id % 4 <> 3""")
+_WANTED = "CASE page_id % 5 WHEN 0 THEN 'd/' || page_id || '.png' WHEN 1 THEN 'd/n' || page_id || '.bmp' WHEN 2 THEN 'zz' WHEN 3 THEN 'd/n' || page_id || '.bmp' END"
+_MEMBER = "CASE page_id % 5 WHEN 0 THEN 'd/' || page_id || '.png' WHEN 1 THEN 'd/n' || page_id || '.jpg' WHEN 2 THEN page_id || '.webp' ELSE 'n' || page_id || '.jpg' END"
+
+
+@query(f"""WITH w AS (SELECT page_id AS id, 't' || page_id % 5 || '.tar' AS archive, coalesce({_WANTED}, page_id || '.jpg') AS ip FROM pages),
+ m AS (SELECT 't' || page_id % 5 || '.tar' AS archive, {_MEMBER} AS member, page_id AS pos FROM pages WHERE page_id % 5 <> 4
+ UNION ALL SELECT 't4.tar', 'x' || page_id || '.png', page_id FROM pages WHERE page_id % 10 = 3),
+ x AS (SELECT unnest(['.jpg', '.jpeg', '.png', '.webp', '.gif']) AS ext, unnest([0, 1, 2, 3, 4]) AS e),
+ tries AS (SELECT id, archive, ip AS member, 1 AS r, 0 AS e FROM w
+ UNION ALL SELECT id, archive, regexp_replace(ip, '\\.[a-z]+$', '') || ext, 2, e FROM w, x UNION ALL SELECT id, archive, id || ext, 3, e FROM w, x),
+ hits AS (SELECT t.id, t.archive, m.member, t.r, t.e, m.pos FROM tries t JOIN m ON t.archive = m.archive AND t.member = m.member
+ UNION ALL SELECT w.id, w.archive, m.member, 4, 0, m.pos FROM w JOIN m ON w.archive = m.archive AND contains(m.member, w.id::VARCHAR))
+ SELECT id, archive, member, r AS strategy FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY r, e, pos) AS k FROM hits) WHERE k = 1""")
 def member_priority_match(spark, sf_dir):
-    i, k = F.col("id"), F.col("id") % 4
-    text = i.cast("string")
-    base = read(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.concat(F.lit("t"), (F.col("page_id") % 5).cast("string"), F.lit(".tar")).alias("archive"))
-    inner = F.when(k == 0, F.concat(F.lit("d/"), text, F.lit(".png"))).when(k == 1, F.concat(F.lit("d/n"), text, F.lit(".bmp"))).otherwise("zz")
-    member = F.when(k == 0, F.concat(F.lit("d/"), text, F.lit(".png"))).when(k == 1, F.concat(F.lit("n"), text, F.lit(".jpg"))).otherwise(F.concat(text, F.lit(".webp")))
-    return archive.match_members(base.withColumn("inner_path", inner), base.where(k != 3).select("archive", member.alias("member"), i.alias("pos")))
+    pages = read(spark, sf_dir, "pages")
+    place = F.concat(F.lit("t"), (F.col("page_id") % 5).cast("string"), F.lit(".tar"))
+    wanted = pages.select(F.col("page_id").alias("id"), place.alias("archive"), F.expr(_WANTED).alias("inner_path"))
+    members = pages.where("page_id % 5 <> 4").select(place.alias("archive"), F.expr(_MEMBER).alias("member"), F.col("page_id").alias("pos"))
+    more = pages.where("page_id % 10 = 3").select(F.lit("t4.tar").alias("archive"), F.concat(F.lit("x"), F.col("page_id").cast("string"), F.lit(".png")).alias("member"), F.col("page_id").alias("pos"))
+    return archive.match_members(wanted, members.unionByName(more))
 
 
 @query("SELECT doc_id, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -319,9 +341,11 @@ def corruption_top10(spark, sf_dir):
     return audit.top_reasons(rows)
 
 
-@query("SELECT o_orderkey AS id, printf('shard_%05d', o_orderkey // 5000) AS shard FROM orders")
+@query("SELECT id, printf('shard_%05d', id // 5000) AS shard FROM (SELECT o_orderkey + CASE WHEN o_orderkey % 3 = 0 THEN 9007199254740993 ELSE 0 END AS id FROM orders)")
 def shard_by_id(spark, sf_dir):
-    return shards.by_id(read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")), 5000)
+    """Ids above 2**53 are among them."""
+    big = F.when(F.col("o_orderkey") % 3 == 0, F.lit(9007199254740993)).otherwise(F.lit(0))
+    return shards.by_id(read(spark, sf_dir, "orders").select((F.col("o_orderkey") + big).alias("id")), 5000)
 
 
 _ASSIGNED = "(SELECT id, CASE WHEN id % 10 = 0 THEN id // 2000 ELSE 3 + floor((rank + 700) / 1000)::BIGINT END AS shard FROM (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 10 <> 0 THEN row_number() OVER (PARTITION BY o_orderkey % 10 <> 0 ORDER BY o_orderkey) - 1 END AS rank FROM orders))"

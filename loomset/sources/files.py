@@ -71,11 +71,8 @@ def manifest_entries(texts: DataFrame, archive: Column) -> DataFrame:
     """
     v = F.try_parse_json("text")
     base = texts.select(archive.alias("archive"), F.coalesce(F.try_variant_get(v, "$.files", "variant"), v).alias("_v"))
-    base.createOrReplaceTempView("_manifest_texts")
-    rows = base.sparkSession.sql(
-        "SELECT m.archive, e.key AS key, try_variant_get(e.value, '$', 'string') AS text, schema_of_variant(e.value) AS kind"
-        " FROM _manifest_texts m, LATERAL variant_explode(m._v) e"
-    )
+    entries = base.lateralJoin(base.sparkSession.tvf.variant_explode(F.col("_v").outer()))
+    rows = entries.select("archive", "key", F.try_variant_get("value", "$", "string").alias("text"), F.schema_of_variant("value").alias("kind"))
     listed_name = F.col("key").isNull()
     path = F.when(listed_name, F.col("text")).when(F.col("kind") == "STRING", F.col("text")).otherwise(F.col("key"))
     image_id = F.when(listed_name, id_from_name(F.col("text"))).otherwise(F.coalesce(id_from_key(F.col("key")), id_from_name(F.col("key"))))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomset.functions import tags, values
 from loomset.operators import archive, audit, delta, geometry, jsonops, project, reconcile, shards
-from loomset.plans.filters import ColumnBinding, FilterSpec, TagRule, url_column
+from loomset.plans.filters import ColumnBinding, FilterSpec, TagRule
 
 
 def column(spark, rows, make, kind="string"):
@@ -70,7 +70,6 @@ def test_filter_spec(spark):
     assert ids(tags=TagRule(("dog",), exclude=("cat",))) == [3] and ids(ratings=("explicit",)) == [2]
     with pytest.raises(ValueError):
         FilterSpec(artist=TagRule(("x",))).apply(c)
-    assert url_column(["file_ext", "media_asset_url", "url"]) == "media_asset_url"
 
 
 @settings(max_examples=30, deadline=None)
