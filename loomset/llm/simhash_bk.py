@@ -12,9 +12,11 @@ built and searched level by level with numpy.
 
 Trees are of bounded size and travel to the tasks that query them by shuffle,
 not through the driver: together they are as large as the corpus. A shard with
-over ``shard_rows`` fingerprints is cut into trees of that size and its members
-query each of them, in blocks. Only edges that span a shard's components leave
-it; components are then joined up by distributed star contraction.
+over ``shard_rows`` fingerprints is dealt to blocks of that size; every two of
+its blocks meet once, one as a tree and the other as its queries, so a task
+holds two blocks however hot the shard is. Only edges that span the components
+of a shard, or of two blocks, leave it; components are then joined up by
+distributed star contraction.
 
 With ``verify_shingle`` a link must also hold for a second print over the
 distinct shingles of that many words: their number and ``PRINT_WORDS`` * 64
@@ -22,7 +24,9 @@ majority bits. Sets whose sizes alone rule out the Jaccard similarity are not
 linked; the share of differing bits estimates the angle between the sets, and a
 link stays if it is at most the angle of two sets of that similarity, plus
 ``SLACK`` standard errors. So the radius may be wide enough for edited copies
-without linking texts that only share words. ``families`` fingerprints per text,
+without linking texts that only share words; with ``distinct`` each shingle of a
+text counts once in the fingerprint, so that common words don't rule it.
+``families`` fingerprints per text,
 of the same shingles under independent hashes, are searched one after the other;
 a link that one of them misses by a few bits is found by another.
 
@@ -56,8 +60,10 @@ from pyspark.sql import functions as F
 from .common import materialise, mix
 from .components import connected_components
 
-#: Fingerprints in one tree; also the floor of what counts as a hot shard.
+#: Fingerprints in one tree; shards with more are hot.
 SHARD_ROWS = 20_000
+#: Hot shards that are broadcast (24 bytes each); more are joined by a shuffle.
+BROADCAST_ROWS = 100_000
 #: 64-bit words of a second print.
 PRINT_WORDS = 8
 #: Standard errors allowed when a second print is compared with a similarity.
@@ -124,7 +130,7 @@ def most_bits(similarity: float) -> int:
     return int(bits * share + SLACK * math.sqrt(bits * share * (1 - share)))
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", verify_shingle: int = 0, families: int = 1) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", verify_shingle: int = 0, families: int = 1, distinct: bool = False) -> DataFrame:
     """(doc_id, fp [, fp1 ...] [, n, p0 ...]) per row; the fps are the fingerprints'
     64 bits as signed longs, n and the p's the second print if ``verify_shingle`` is given."""
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -136,7 +142,8 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             out = np.zeros((batch.num_rows, len(names)), np.uint64)
             for i, text in enumerate(batch.column(1)):
                 text = text.as_py()
-                out[i, :families] = majority(_shingles(text, shingle), families)
+                parts = _shingles(text, shingle)
+                out[i, :families] = majority(list(set(parts)) if distinct else parts, families)
                 if verify_shingle:
                     out[i, families], out[i, families + 1 :] = second_print(text, verify_shingle)
             columns = {name: pa.array(np.ascontiguousarray(out[:, j]).view(np.int64)) for j, name in enumerate(names)}
@@ -223,18 +230,25 @@ def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[off], values[label[off]]
 
 
+def _asking(tree: np.ndarray, shard: np.ndarray) -> np.ndarray:
+    """Rows that query their shard's tree: all of them, or where two blocks meet those of the second."""
+    two = np.zeros(int(shard[-1]) + 1 if len(shard) else 0, bool)
+    two[shard[~tree]] = True
+    return np.flatnonzero(~tree | ~two[shard])
+
+
 def _links(fp: np.ndarray, tree: np.ndarray, shard: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
     if not tree.any():
         return a, b
-    members = fp[tree].view(np.uint64)
-    forest, query = Forest(members, shard[tree]), fp.view(np.uint64)
+    members, asking = fp[tree].view(np.uint64), _asking(tree, shard)
+    forest, mine = Forest(members, shard[tree]), fp[asking]
     held = [(a, b)]
     size = 0
-    for q, node in forest.search(query, shard, radius):
+    for q, node in forest.search(mine.view(np.uint64), shard[asking], radius):
         other = members[node].view(np.int64)
-        differ = fp[q] != other
-        held.append((fp[q][differ], other[differ]))
+        differ = mine[q] != other
+        held.append((mine[q][differ], other[differ]))
         size += int(differ.sum())
         if size > _OPEN_PAIRS:
             held = [spanning(*map(np.concatenate, zip(*held)))]
@@ -257,8 +271,10 @@ def _variant_links(table: np.ndarray, shard: np.ndarray, fp: np.ndarray, tree: n
         start = np.flatnonzero(new)
         return start, np.diff(start, append=len(rows))
 
-    (q_at, q_size), (n_at, n_size) = groups(np.arange(len(fp))), groups(inside)
-    query, members = fp[q_at].view(np.uint64), fp[inside[n_at]].view(np.uint64)
+    asking = _asking(tree, shard)
+    (q_at, q_size), (n_at, n_size) = groups(asking), groups(inside)
+    query, members = fp[asking[q_at]].view(np.uint64), fp[inside[n_at]].view(np.uint64)
+    alone = tree[asking[q_at]]
     sizes, prints = (second[0], np.stack(second[1:]).view(np.uint64)) if second else (np.zeros(len(fp), np.int64), np.zeros((0, len(fp)), np.uint64))
     most, label = most_bits(similarity), np.arange(len(fp))
 
@@ -284,11 +300,11 @@ def _variant_links(table: np.ndarray, shard: np.ndarray, fp: np.ndarray, tree: n
             while (label[label] != label).any():
                 label[:] = label[label]
 
-    for qs, ns in Forest(members, shard[inside[n_at]]).search(query, shard[q_at], radius):
+    for qs, ns in Forest(members, shard[inside[n_at]]).search(query, shard[asking[q_at]], radius):
         x = query[qs] ^ members[ns]
-        at = table[q_at[qs]]
-        # one of the two directions; a fingerprint meets itself in table 0
-        first = (query[qs] > members[ns]) | ((x == 0) & (at == 0))
+        at = table[asking[q_at[qs]]]
+        # one of the two directions, if both are asked; a fingerprint meets itself in table 0
+        first = np.where(x == 0, at == 0, ~alone[qs] | (query[qs] > members[ns]))
         qs, ns, x, at = qs[first], ns[first], x[first], at[first]
         first = np.ones(len(x), bool)
         for t, mask in enumerate(masks):
@@ -303,10 +319,10 @@ def _variant_links(table: np.ndarray, shard: np.ndarray, fp: np.ndarray, tree: n
             wide = pairs_few[cut:stop]
             off = np.arange(int(wide.sum())) - np.repeat(np.cumsum(wide) - wide, wide)
             begin, start, width = (np.repeat(v[cut:stop], wide) for v in (q_at[a], n_at[b], n_size[b]))
-            compare(begin + off // width, inside[start + off % width])
+            compare(asking[begin + off // width], inside[start + off % width])
             cut = stop
         for i, j in zip(qs[~few].tolist(), ns[~few].tolist()):
-            rows, others = np.arange(q_at[i], q_at[i] + q_size[i]), inside[n_at[j] : n_at[j] + n_size[j]]
+            rows, others = asking[q_at[i] : q_at[i] + q_size[i]], inside[n_at[j] : n_at[j] + n_size[j]]
             for u in range(0, len(rows), 512):
                 for v in range(0, len(others), 1024):
                     compare(rows[u : u + 512, None], others[None, v : v + 1024])
@@ -330,13 +346,16 @@ def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_RO
         m = sum(((1 << (edges[i + 1] - edges[i])) - 1) << edges[i] for i in kept)
         masks.append(m - (1 << 64) if m >> 63 else m)
     keyed = distinct.select("fp", *extra, F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key")) for t, m in enumerate(masks)])).alias("s")).select("fp", *extra, "s.t", "s.key")
-    # with this floor at most 10,000 shards are hot, which bounds the broadcast
-    limit = max(shard_rows, -(-n * len(masks) // 10_000))
-    hot = keyed.groupBy("t", "key").count().where(F.col("count") > limit)
-    hot = hot.select("t", "key", F.ceil(F.col("count") / limit).cast("int").alias("cuts"))
-    dealt = keyed.join(F.broadcast(hot), ["t", "key"], "left").withColumn("cuts", F.coalesce("cuts", F.lit(1)))
-    dealt = dealt.withColumn("cut", F.explode_outer(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    dealt = dealt.select("t", "key", "cut", "fp", (F.col("cut") == F.pmod(F.xxhash64("node" if named else "fp"), F.col("cuts"))).alias("tree"), *extra)
+    hot = keyed.groupBy("t", "key").count().where(F.col("count") > shard_rows)
+    hot = materialise(hot.select("t", "key", F.ceil(F.col("count") / shard_rows).cast("long").alias("cuts")), "hot_shards")
+    if hot.count() <= BROADCAST_ROWS:
+        hot = F.broadcast(hot)
+    dealt = keyed.join(hot, ["t", "key"], "left").withColumn("cuts", F.coalesce("cuts", F.lit(1).cast("long")))
+    # block b of a hot shard goes to all pairs (b, other): as the tree if it is the first of the two
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node" if named else "fp"), F.col("cuts")))
+    dealt = dealt.withColumn("other", F.explode_outer(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
+    cut = F.least("block", "other") * F.col("cuts") + F.greatest("block", "other")
+    dealt = dealt.select("t", "key", cut.alias("cut"), "fp", (F.col("block") <= F.col("other")).alias("tree"), *extra)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left: list[np.ndarray] = []
@@ -379,15 +398,15 @@ def _classes(distinct: DataFrame, radius: int, shard_rows: int) -> DataFrame:
     return rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text", shard_rows: int = SHARD_ROWS, verify_shingle: int = 0, similarity: float = 0.8, families: int = 1) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text", shard_rows: int = SHARD_ROWS, verify_shingle: int = 0, similarity: float = 0.8, families: int = 1, distinct: bool = False) -> DataFrame:
     """(doc_id, fingerprint as 16 hex digits, component_id) per row; with
     ``verify_shingle`` links also need that similarity of the second print."""
-    prints = materialise(fingerprints(docs, shingle, id_col, text_col, verify_shingle, families), "fingerprints")
+    prints = materialise(fingerprints(docs, shingle, id_col, text_col, verify_shingle, families, distinct), "fingerprints")
     fps = fp_names(families)
     second = PRINT if verify_shingle else []
     if families == 1 and not second:
-        distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-        found = prints.join(_classes(distinct, radius, shard_rows), "fp")
+        once = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct_fingerprints")
+        found = prints.join(_classes(once, radius, shard_rows), "fp")
         return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
     # texts of equal prints are one variant; its number is written, so it stays
     variant = [*fps, *second]
