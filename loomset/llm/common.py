@@ -1,8 +1,8 @@
 """Helpers shared by the operators of this subpackage.
 
 Two things live here: the shared folder (tables and files that any executor
-can read again after another one is lost) and a vectorised word hasher that
-works on the raw Arrow buffers of a text column.
+can read again after another one is lost) and splitting of text columns into
+words, in chunks of bounded size.
 """
 
 from __future__ import annotations
@@ -11,11 +11,13 @@ import mmap
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,7 +81,8 @@ def write_blobs(df: DataFrame, column: str, path: str, magic: bytes) -> None:
 
 def read_blobs(spark: SparkSession, path: str) -> DataFrame:
     """(path, length, content) of the files that :func:`write_blobs` made."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    # an empty first partition leaves an empty file
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).where(F.col("length") > 0)
 
 
 def list_blobs(spark: SparkSession, path: str) -> list[str]:
@@ -130,103 +133,92 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# ------------------------------------------------------------- vectorised words
-_P = np.uint64(0x9E3779B97F4A7C15 | 1)
-_PINV = np.uint64(pow(int(_P), -1, 1 << 64))
-_SLAB = 1 << 21
-_WORD = np.ones(256, bool)
-_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
-#: Words of letters, digits and any non-ASCII byte: punctuation separates.
-_ALNUM = np.zeros(256, bool)
-_ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
-#: ASCII letters and digits, and the marks that may end a word.
-_PLAIN, _MARK = _ALNUM.copy(), np.zeros(256, bool)
-_PLAIN[0x80:] = False
-_MARK[list(b".,;:!?")] = True
-_LOW = np.arange(256, dtype=np.uint64) + np.uint64(1)
-_LOW[0x41:0x5B] += np.uint64(32)
-_POW: list[np.ndarray] = []
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POW or len(_POW[0]) < n:
-        size = max(n, _SLAB)
-        out = []
-        for base in (_P, _PINV):
-            x = np.full(size, base, np.uint64)
-            x[0] = 1
-            out.append(np.multiply.accumulate(x))
-        _POW[:] = out
-    return _POW[0], _POW[1]
+# ------------------------------------------------------------------------- words
+#: Bytes of text worked on at once: memory follows this, not a batch or a text.
+CHUNK_BYTES = 1 << 21
+_BLANK = np.zeros(256, bool)
+_BLANK[list(BLANKS.encode())] = True
+#: Bytes with A-Z lower-cased; and with all ASCII but letters and digits blanked as well.
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
+_LETTERS = _LOWER.copy()
+_LETTERS[[*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = 0x20
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser: every input bit reaches every output bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-#: The token after the last word of a text; no word can contain a line feed.
-END_TOKEN = mix(np.array([10 + 1], np.uint64))[0]
-
+def text_chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray, bool, bool]]:
+    """(number of the first text, offsets, bytes, opens, closes) of pieces, one per text from it on.
 
-def _slab(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, cut_marks: bool = False) -> tuple[np.ndarray, ...]:
-    n = len(data)
+    A text over the limit comes in several chunks of one piece each, cut after a
+    blank; only a single word that long is kept whole. ``opens`` and ``closes`` tell
+    whether the chunk begins and ends with its texts. Null is empty.
+    """
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    n = len(texts)
     if not n:
-        none = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64), none, none
-    power, inverse = _powers(n)
-    word = is_word[data]
-    first, last = word.copy(), word.copy()
-    first[1:] &= ~word[:-1]
-    last[:-1] &= ~word[1:]
-    inner = offsets[:-1][(offsets[:-1] < n)]
-    first[inner] = word[inner]
-    ends = offsets[1:][offsets[1:] > 0] - 1
-    last[ends] = word[ends]
-    if cut_marks:
-        cut = _MARK[data[1:]] & _PLAIN[data[:-1]]
-        first[1:] |= cut
-        last[:-1] |= cut
-    starts, stops = np.flatnonzero(first), np.flatnonzero(last) + 1
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_LOW[data] * power[:n], out=total[1:])
-    hashes = mix((total[stops] - total[starts]) * inverse[starts])
-    return hashes, np.diff(np.searchsorted(starts, offsets)), starts, stops
+        return
+    _, off, buf = texts.buffers()
+    offsets = np.frombuffer(off, np.int64)[texts.offset : texts.offset + n + 1]
+    data = np.frombuffer(buf, np.uint8) if buf is not None and buf.size else np.zeros(0, np.uint8)
+    i = 0
+    while i < n:
+        j = min(n, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1)
+        if j > i:
+            yield i, offsets[i : j + 1] - offsets[i], data[offsets[i] : offsets[j]], True, True
+            i = j
+            continue
+        start, end = int(offsets[i]), int(offsets[i + 1])
+        while start < end:
+            stop = min(start + limit, end)
+            if stop < end:
+                before = np.flatnonzero(_BLANK[data[max(start, stop - (1 << 16)) : stop]])
+                if len(before):
+                    stop = max(start, stop - (1 << 16)) + int(before[-1]) + 1
+                else:
+                    while stop < end and not _BLANK[data[stop]]:
+                        after = np.flatnonzero(_BLANK[data[stop : min(end, stop + (1 << 16))]])
+                        stop = stop + int(after[0]) if len(after) else min(end, stop + (1 << 16))
+            yield i, np.array([0, stop - start], np.int64), data[start:stop], start == offsets[i], stop == end
+            start = stop
+        i += 1
+
+
+def split_words(offsets: np.ndarray, data: np.ndarray, letters_only: bool = False) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """(number of each word's form in order, the distinct forms, words per piece).
+
+    Words are runs of anything but the six blanks, A-Z lower-cased, or with
+    ``letters_only`` runs of letters, digits and non-ASCII bytes. Forms are told
+    apart by their bytes, never by a hash alone.
+    """
+    table = _LETTERS if letters_only else _LOWER
+    pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(np.ascontiguousarray(offsets)), pa.py_buffer(table[data])])
+    lists = pc.ascii_split_whitespace(pieces.view(pa.large_string()))
+    words = lists.flatten()
+    full = pc.greater(pc.binary_length(words), 0)
+    sums = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+    bounds = lists.offsets.to_numpy()
+    coded = words.filter(full).dictionary_encode()
+    forms = coded.dictionary.view(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+    return coded.indices.to_numpy(), forms, np.diff(sums[bounds - bounds[0]])
 
 
 def word_hashes(texts: pa.Array, letters_only: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all lower-cased words in order, words per text); null is empty.
-
-    Words are runs of anything but the six blanks, or with ``letters_only`` runs
-    of letters, digits and non-ASCII bytes. Work goes on in slabs of whole
-    texts, so memory follows the slab (or the longest text), not the batch.
-    """
-    hashes, counts, *_ = word_spans(texts, letters_only)
-    return hashes, counts
+    """(64-bit XXH3 of all words in order, words per text), for features that are hashed anyway."""
+    hashes, counts = [np.zeros(0, np.uint64)], np.zeros(len(texts), np.int64)
+    for first, offsets, data, *_ in text_chunks(texts):
+        index, forms, sizes = split_words(offsets, data, letters_only)
+        known = np.fromiter(map(xxhash.xxh3_64_intdigest, forms), np.uint64, len(forms))
+        hashes.append(known[index])
+        counts[first : first + len(sizes)] += sizes
+    return np.concatenate(hashes), counts
 
 
-def word_spans(texts: pa.Array, letters_only: bool = False, cut_marks: bool = False) -> tuple[np.ndarray, ...]:
-    """word_hashes, then where each word starts and stops in the returned bytes.
+def mix(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser: every input bit reaches every output bit."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
-    ``cut_marks`` also cuts between an ASCII letter or digit and one of .,;:!?
-    """
-    texts = pc.fill_null(texts, "").cast(pa.large_string())
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
-    if not len(texts):
-        none = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), none, none, none, np.zeros(0, np.uint8)
-    _, off, buf = texts.buffers()
-    offsets = np.frombuffer(off, np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    data = np.frombuffer(buf, np.uint8) if buf is not None and buf.size else np.zeros(0, np.uint8)
-    is_word = _ALNUM if letters_only else _WORD
-    parts, i = [], 0
-    while i < len(texts):
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + _SLAB, "right")) - 1)
-        j = min(j, len(texts))
-        h, c, first, last = _slab(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], is_word, cut_marks)
-        parts.append((h, c, first + offsets[i], last + offsets[i]))
-        i = j
-    return (*map(np.concatenate, zip(*parts)), data)
+#: The token after the last word of a text; no word can contain a line feed.
+END_TOKEN = mix(np.array([10 + 1], np.uint64))[0]
