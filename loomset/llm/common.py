@@ -219,6 +219,3 @@ def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
-
-#: The token after the last word of a text; no word can contain a line feed.
-END_TOKEN = mix(np.array([10 + 1], np.uint64))[0]
