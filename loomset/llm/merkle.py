@@ -1,13 +1,19 @@
-"""Document fingerprints: a Merkle tree over sections, paragraphs and clauses.
+"""Document fingerprints: a Merkle tree over sections, paragraphs and spans.
 
 A text is cut into paragraphs at line feeds; runs of paragraphs form sections,
-closed by an empty paragraph or where a paragraph's hash says so (content-
-defined, so an edit moves no later boundary); paragraphs are cut into clauses
-after punctuation, and clauses of over 160 characters after words whose CRC is
-0 modulo 8. Leaves hash clause bytes; inner nodes hash their children in order.
-Roots test equality. Where roots differ, only differing branches are descended
-to locate the edit, and the likeness of two trees is the share of text, in
-characters, that their equal leaves cover: 2 * common / (a + b), from 0 to 1.
+closed by an empty paragraph or where a paragraph's hash says so. Paragraphs are
+cut into spans of ``SPAN`` characters on average, after each character where a
+hash of the last four says so, in any script and without need of blanks or
+marks; a span of ``LONGEST`` characters is cut as it stands. All of these cuts
+are made by content, so an edit moves no cut but those next to it. Leaves hash
+spans, inner nodes hash their children in order.
+
+Roots test equality. Otherwise two trees are compared from the root down: equal
+sections are matched (occurrence by occurrence), only the others are opened and
+their paragraphs matched, and only the spans of those without a match are looked
+at. Likeness is the share of text, in characters, below matched branches:
+2 * common / (a + b), from 0 to 1. Branches without a match, and those matched
+out of order, locate the edits.
 
 To compare each document with the next one, documents are range-partitioned and
 sorted by id once; a task streams pairs and hands only its first and last
@@ -22,40 +28,37 @@ other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import zlib
-from collections import Counter
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, mix
 
-_CLAUSE = regex.compile(r"[^.,;:!?|\n]*(?:[.,;:!?|]+ *|\n|$)")
-_WORD = regex.compile(r"\s*\S+\s*|\s+")
-LONG_CLAUSE = 160
+SPAN, LONGEST = 16, 256
+#: Odd multipliers of the last four characters.
+_WINDOW = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
 
-def _clauses(paragraph: str) -> list[str]:
-    out = []
-    for clause in _CLAUSE.findall(paragraph):
-        if len(clause) <= LONG_CLAUSE:
-            if clause:
-                out.append(clause)
-            continue
-        start = at = 0
-        for word in _WORD.findall(clause):
-            at += len(word)
-            if zlib.crc32(word.strip().encode()) & 7 == 0 or at - start >= 4 * LONG_CLAUSE:
-                out.append(clause[start:at])
-                start = at
-        if start < at:
-            out.append(clause[start:at])
-    return out
+def span_ends(codes: np.ndarray) -> np.ndarray:
+    """Where spans end (exclusive), ascending; every line feed ends one."""
+    n = len(codes)
+    wide, h = codes.astype(np.uint64), np.zeros(n, np.uint64)
+    for back, k in enumerate(_WINDOW):
+        h[back:] += wide[: n - back] * k
+    ends = np.flatnonzero((mix(h) >> np.uint64(32)) % np.uint64(SPAN) == 0) + 1
+    ends = np.union1d(ends, np.append(np.flatnonzero(codes == 10) + 1, n))
+    gaps = np.diff(ends, prepend=0)
+    long = np.flatnonzero(gaps > LONGEST)
+    if len(long):
+        ends = np.union1d(ends, np.concatenate([np.arange(ends[k] - gaps[k] + LONGEST, ends[k], LONGEST) for k in long]))
+    return ends
 
 
 def _node(children: list[bytes]) -> bytes:
@@ -63,67 +66,108 @@ def _node(children: list[bytes]) -> bytes:
 
 
 class Tree:
-    """leaves: (hash, characters); paragraphs and sections: (hash, first leaf, leaf after the last)."""
+    """leaves: hashes, ``at``: characters before each; paragraphs and sections: (hash, first leaf, leaf after the last)."""
 
-    __slots__ = ("leaves", "paragraphs", "root", "sections")
+    __slots__ = ("at", "leaves", "paragraphs", "root", "sections")
 
     def __init__(self, text: str | None):
-        self.leaves: list[tuple[int, int]] = []
+        self.leaves: list[bytes] = []
+        self.at = [0]
         self.paragraphs: list[tuple[bytes, int, int]] = []
         self.sections: list[tuple[bytes, int, int]] = []
-        digest, leaves = xxhash.xxh3_128_digest, self.leaves
         held: list[bytes] = []
-        opened = 0
-        for paragraph in [p + "\n" for p in (text or "").split("\n")] if text else []:
-            first = len(leaves)
-            hashes = []
-            for clause in _clauses(paragraph):
-                h = digest(clause.encode())
-                hashes.append(h)
-                leaves.append((int.from_bytes(h[:8], "little"), len(clause)))
-            node = _node(hashes)
-            self.paragraphs.append((node, first, len(leaves)))
-            held.append(node)
-            if paragraph == "\n" or node[0] & 7 == 0:
-                self.sections.append((_node(held), opened, len(leaves)))
-                held, opened = [], len(leaves)
+        opened = first = 0
+        if text:
+            raw = (text + "\n").encode("utf-32-le")
+            codes = np.frombuffer(raw, "<u4")
+            ends = span_ends(codes)
+            self.at += ends.tolist()
+            digest = xxhash.xxh3_128_digest
+            self.leaves = [digest(raw[4 * i : 4 * j]) for i, j in zip(self.at, self.at[1:])]
+            for last in (np.flatnonzero(codes[ends - 1] == 10) + 1).tolist():
+                node = _node(self.leaves[first:last])
+                self.paragraphs.append((node, first, last))
+                held.append(node)
+                if self.at[last] - self.at[first] == 1 or node[0] & 7 == 0:
+                    self.sections.append((_node(held), opened, last))
+                    held, opened = [], last
+                first = last
         if held:
-            self.sections.append((_node(held), opened, len(leaves)))
+            self.sections.append((_node(held), opened, first))
         self.root = _node([s[0] for s in self.sections]).hex()
 
 
+def matched(a: list[tuple[bytes, int, int]], b: list[tuple[bytes, int, int]]) -> tuple[list[tuple[int, int]], list[int], list[int]]:
+    """(pairs of equal branches, the rest of a, the rest of b), as places in the lists."""
+    where: dict[bytes, list[int]] = defaultdict(list)
+    for j in range(len(b) - 1, -1, -1):
+        where[b[j][0]].append(j)
+    pairs, rest = [], []
+    for i, (h, _, _) in enumerate(a):
+        found = where.get(h)
+        if found:
+            pairs.append((i, found.pop()))
+        else:
+            rest.append(i)
+    return pairs, rest, sorted(j for left in where.values() for j in left)
+
+
 def likeness(a: Tree, b: Tree) -> float:
     if a.root == b.root:
         return 1.0
-    total = sum(n for _, n in a.leaves) + sum(n for _, n in b.leaves)
-    if not total:
-        return 1.0
-    common = Counter(a.leaves) & Counter(b.leaves)
-    return 2 * sum(n * k for (_, n), k in common.items()) / total
+    mine, theirs, common = a.sections, b.sections, 0
+    for level in range(3):
+        pairs, rest, others = matched(mine, theirs)
+        common += sum(a.at[mine[i][2]] - a.at[mine[i][1]] for i, _ in pairs)
+        if level < 2:
+            mine, theirs = _opened(a, mine, rest, level), _opened(b, theirs, others, level)
+    return 2 * common / (a.at[-1] + b.at[-1])
+
+
+def _opened(tree: Tree, branches: list[tuple[bytes, int, int]], some: list[int], level: int) -> list[tuple[bytes, int, int]]:
+    """The children of some branches: of sections (level 0) or of paragraphs."""
+    if level:
+        return [(tree.leaves[k], k, k + 1) for s in some for k in range(*branches[s][1:])]
+    starts = [p[1] for p in tree.paragraphs]
+    return [p for s in some for p in tree.paragraphs[bisect_left(starts, branches[s][1]) : bisect_left(starts, branches[s][2])]]
+
+
+def _moved(pairs: list[tuple[int, int]]) -> list[int]:
+    """Places in the first list outside a longest run of pairs that keeps the order of both."""
+    tails: list[int] = []
+    last: list[int] = []
+    before = [-1] * len(pairs)
+    for k, (_, j) in enumerate(pairs):
+        spot = bisect_left(tails, j)
+        before[k] = last[spot - 1] if spot else -1
+        tails[spot : spot + 1] = [j]
+        last[spot : spot + 1] = [k]
+    kept, k = set(), last[-1] if last else -1
+    while k >= 0:
+        kept.add(k)
+        k = before[k]
+    return [pairs[k][0] for k in range(len(pairs)) if k not in kept]
 
 
 def differing(a: Tree, b: Tree) -> list[tuple[int, int]]:
-    """Leaf ranges of ``a`` below branches that ``b`` lacks: where the edits are."""
+    """Leaf ranges of ``a`` that ``b`` lacks or has elsewhere; what ``b`` adds is in differing(b, a)."""
     if a.root == b.root:
         return []
-    mine, theirs = Counter(s[0] for s in a.sections), Counter(s[0] for s in b.sections)
-    more, less = mine - theirs, theirs - mine  # sections one side has more often
-    known: Counter = Counter()
-    for h, first, last in b.sections:
-        if less[h] > 0:
-            less[h] -= 1
-            known.update(p for p, i, j in b.paragraphs if first <= i and j <= last)
-    out = []
-    for h, first, last in a.sections:
-        if more[h] > 0:
-            more[h] -= 1
-            for p, i, j in a.paragraphs:
-                if first <= i and j <= last:
-                    if known[p] > 0:
-                        known[p] -= 1
-                    else:
-                        out.append((i, j))
-    return out
+    out, mine, theirs = [], a.sections, b.sections
+    for level in range(3):
+        pairs, rest, others = matched(mine, theirs)
+        out += [mine[i][1:] for i in _moved(pairs)]
+        if level < 2:
+            mine, theirs = _opened(a, mine, rest, level), _opened(b, theirs, others, level)
+        else:
+            out += [mine[i][1:] for i in rest]
+    joined: list[tuple[int, int]] = []
+    for i, j in sorted(out):
+        if joined and joined[-1][1] >= i:
+            joined[-1] = (joined[-1][0], max(j, joined[-1][1]))
+        else:
+            joined.append((i, j))
+    return joined
 
 
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
