@@ -57,6 +57,16 @@ def file_action(files: DataFrame, destination: DataFrame) -> DataFrame:
     return joined.withColumn("action", action).drop("_there")
 
 
+def removal_statistics(outcomes: DataFrame) -> DataFrame:
+    """One row over executed removals (id, kind image or json, size, outcome): what went, its bytes, its ids, failures."""
+    done, image = F.col("outcome") == "done", F.col("kind") == "image"
+    return outcomes.agg(
+        F.count(F.when(done & image, 1)).alias("removed_images"), F.count(F.when(done & (F.col("kind") == "json"), 1)).alias("removed_jsons"),
+        F.coalesce(F.sum(F.when(done & image, F.col("size"))), F.lit(0)).cast("bigint").alias("removed_size"),
+        F.countDistinct(F.when(done & image, F.col("id"))).alias("removed_ids"), F.count(F.when(F.col("outcome").startswith("failed"), 1)).alias("failures"),
+    )
+
+
 def removal_plan(classes: DataFrame, orphans: bool = True) -> DataFrame:
     gone = ["corrupt", *(["orphan_image", "orphan_json"] if orphans else [])]
     return classes.where(F.col("class").isin(*gone)).withColumn("action", F.lit("delete"))

@@ -28,6 +28,17 @@ def explode_crops(images: DataFrame, w: str = "w", h: str = "h", **options) -> D
     return out.withColumns({"crop": (F.col("_p") + 1).cast("int"), "x": F.col("_c.x"), "y": F.col("_c.y"), "side": F.col("_c.side")}).drop("_r", "_p", "_c")
 
 
+def crop_files(images: DataFrame, **options) -> DataFrame:
+    """A row per crop of images (dir, stem, ext, w, h, json_name): its file name, its region,
+    and the name of its copy of the sidecar, null where the original has none."""
+    rows = explode_crops(images, **options)
+    numbered = F.concat("stem", F.lit("_"), F.col("crop").cast("string"))
+    return rows.select(
+        "dir", "stem", "crop", F.concat(numbered, "ext").alias("image_name"), "x", "y", "side",
+        "json_name", F.when(F.col("json_name").isNotNull(), F.concat(numbered, F.lit(".json"))).alias("json_copy"),
+    )
+
+
 def crop_eligible(w: Column, h: Column, minimum: int = 1024) -> Column:
     """Not square at full size already, and not too small."""
     return ~((w == h) & (w >= minimum)) & (F.least(w, h) >= minimum)

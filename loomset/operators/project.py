@@ -34,6 +34,12 @@ def training_record(file_name: Column, artist: Column, tag_string: Column) -> li
     return [file_name.alias("file_name"), F.array_join(F.concat(first, rest), ", ").alias("tags"), F.lit("").alias("caption")]
 
 
+def with_sidecar(images: DataFrame, sidecars: DataFrame) -> DataFrame:
+    """Images (dir, stem, ext) with json_name, the .json of the same folder and stem, null without one."""
+    found = sidecars.where(F.col("ext") == ".json").select("dir", "stem", F.concat("stem", "ext").alias("json_name")).distinct()
+    return images.join(found, ["dir", "stem"], "left")
+
+
 def rename_plan(files: DataFrame, suffix: str) -> DataFrame:
     """(dir, stem, ext, json_name) with a sidecar -> new names; stems that end in the suffix stay out."""
     return files.where(~F.col("stem").endswith(suffix) & F.col("json_name").isNotNull()).select(

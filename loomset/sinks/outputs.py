@@ -71,6 +71,21 @@ def compact_parquet(df: DataFrame, path: str, target_bytes: int = 512 << 20, tot
     df.coalesce(files).write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
+def write_index_cache(index: DataFrame, path: str) -> None:
+    """The archive index as a table sorted by id, so that lookups prune row groups."""
+    index.select("image_id", "archive", "inner_path").repartitionByRange("image_id").sortWithinPartitions("image_id").write.mode("overwrite").parquet(path)
+
+
+def write_manifest(assigned: DataFrame, path: str) -> None:
+    """(id, shard) sorted by id; shard counts and the current shard follow from it."""
+    assigned.select("id", "shard").repartitionByRange("id").sortWithinPartitions("id").write.mode("overwrite").parquet(path)
+
+
+def write_progress(status: DataFrame, path: str) -> None:
+    """(status, id) in order of both: sorted id lists as a table, not as one row each."""
+    status.select("status", "id").distinct().repartitionByRange("status", "id").sortWithinPartitions("status", "id").write.mode("overwrite").parquet(path)
+
+
 def append_status(rows: DataFrame, path: str) -> None:
     """(id, status, batch) appended; the table is its own history."""
     rows.select("id", "status", "batch").write.mode("append").parquet(path)

@@ -8,6 +8,7 @@ import tarfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,19 +50,32 @@ def json_texts(spark: SparkSession, path: str, recursive: bool = True) -> DataFr
     return reader.text(path).select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "^﻿", "").alias("text"))
 
 
-def tar_members(spark: SparkSession, path: str, glob: str = "*.tar") -> DataFrame:
-    """(archive, member, size, pos, image_id) of each regular member, read archive by archive."""
-    archives = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
+def tar_members(spark: SparkSession, path: str, glob: str = "*.tar", stream: bool = True) -> DataFrame:
+    """(archive, member, size, pos, image_id) of each regular member, read archive by archive.
+
+    Executors open archives and skip from header to header, whatever their size.
+    ``stream=False`` hands whole archives (under 2 GB) over from Spark's reader, for
+    stores that only Spark reaches.
+    """
+    archives = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", *([] if stream else ["content"]))
+
+    def rows(at: str, source) -> pd.DataFrame:
+        with tarfile.open(fileobj=source) as tar:
+            found = [(at.rsplit("/", 1)[-1], m.name, m.size, i) for i, m in enumerate(tar) if m.isfile()]
+        return pd.DataFrame(found, columns=["archive", "member", "size", "pos"])
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at, content in zip(batch["path"], batch["content"]):
-                with tarfile.open(fileobj=io.BytesIO(content)) as tar:
-                    rows = [(at.rsplit("/", 1)[-1], m.name, m.size, i) for i, m in enumerate(tar) if m.isfile()]
-                yield pd.DataFrame(rows, columns=["archive", "member", "size", "pos"])
-
-    rows = archives.mapInPandas(members, "archive string, member string, size long, pos long")
-    return rows.withColumn("image_id", id_from_name(F.col("member")))
+            for at, *content in batch.itertuples(index=False):
+                if stream:
+                    store, name = fs.FileSystem.from_uri(at)
+                    with store.open_input_file(name) as source:
+                        yield rows(at, source)
+                else:
+                    yield rows(at, io.BytesIO(content[0]))
+
+    found = archives.mapInPandas(members, "archive string, member string, size long, pos long")
+    return found.withColumn("image_id", id_from_name(F.col("member")))
 
 
 def manifest_entries(texts: DataFrame, archive: Column) -> DataFrame:

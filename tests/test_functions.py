@@ -58,6 +58,22 @@ def test_numbers_and_names(spark):
         values.rating_words(["odd"])
 
 
+def test_lists_and_doubles(spark):
+    assert tags.parse_list("a, b  c") == ["a", "b", "c"] and tags.parse_list(None) == [] and tags.parse_list(["x y"]) == ["x y"]
+    assert column(spark, [12.0, 640.9, None, float("nan")], lambda c: values.strict_int(c, -1), "double") == [12, 640, -1, None]
+    assert column(spark, [2**53 + 1, -1], lambda c: values.shard_name(c, 1), "bigint") == [f"shard_{2**53 + 1}", "shard_-0001"]
+    df = spark.createDataFrame([(1, "u.mp4"), (2, "u.zip"), (3, "u.png"), (4, None)], "id long, url string")
+    assert sorted(r.id for r in FilterSpec().apply(df).collect()) == [3, 4]
+    assert FilterSpec(exclude_video=False).apply(df).count() == 4
+
+
+def test_ranks_with_outliers_and_ties(spark):
+    ids = [5, 5, -(2**60), 2**60, *range(100, 160)]
+    ranked = shards.global_rank(spark.createDataFrame([(i,) for i in ids], "id long"), "id").collect()
+    assert sorted(r["rank"] for r in ranked) == list(range(len(ids)))
+    assert [r.id for r in sorted(ranked, key=lambda r: r["rank"])] == sorted(ids)
+
+
 def test_filter_spec(spark):
     rows = [(1, "cat dog", 5, "s", 10, 10, "a.GIF"), (2, None, None, "E", 10, 20, None), (3, "dog", 9, "q", 5, 5, "b.gif")]
     df = spark.createDataFrame(rows, "id long, tag_string string, score long, rating string, image_width long, image_height long, file_url string")

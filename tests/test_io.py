@@ -1,6 +1,10 @@
 import io
 import json
+import os
+import shutil
 import struct
+import subprocess
+import sys
 import tarfile
 
 import duckdb
@@ -9,7 +13,7 @@ from pyarrow import fs
 from pyspark.sql import functions as F
 
 from loomset.plans.filters import ColumnBinding
-from loomset.queries import QUERIES, SQL
+from loomset.queries_io import QUERIES, SQL
 from loomset.sinks import outputs
 from loomset.sources import files, tables
 from loomset.streaming import progress_stream
@@ -86,6 +90,29 @@ def test_stream_counts_a_replay_once(spark, tmp_path):
     assert [(r.id, r.status) for r in got] == [(1, "completed")]
 
 
+def test_status_counts_of_a_stream(spark, tmp_path):
+    spark.sql("SELECT 1L AS id, 'failed' AS status, timestamp'2024-01-01 00:10:00' AS at UNION ALL SELECT 2L, 'failed', timestamp'2024-01-01 00:20:00'").write.parquet(str(tmp_path / "in"))
+    counts = progress_stream.status_counts(progress_stream.status_events(spark, str(tmp_path / "in")))
+    counts.writeStream.format("memory").queryName("status_counts_test").outputMode("complete").trigger(availableNow=True).start().awaitTermination()
+    assert [(r.status, r.n) for r in spark.table("status_counts_test").collect()] == [("failed", 2)]
+
+
+def test_entry_without_the_training_data_operators(tmp_path):
+    """The reference queries are listed with the subpackage deleted, the pipeline file still there or not."""
+    for name in ("__spark_entry__.py", "loomset", "corpus_pipeline.py"):
+        source = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), name)
+        if os.path.isdir(source):
+            shutil.copytree(source, tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
+        elif os.path.exists(source):
+            shutil.copy(source, tmp_path / name)
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), sum(k.startswith('op') or k == 'pipeline' for k in e.queries()))"
+    for _ in range(2):
+        env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+        out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, check=True).stdout.split()
+        assert out[-3:] == [str(len(QUERIES)), str(len(QUERIES)), "0"]
+        (tmp_path / "corpus_pipeline.py").unlink(missing_ok=True)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_against_sql(spark, name):
     con = duckdb.connect()
