@@ -1,12 +1,15 @@
+import base64
 import hashlib
 import io
+import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 import zstandard
@@ -16,7 +19,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from loomset.llm import bitpack, bpe_codec, decontam, line_dedup, merkle, ngram_trie, queries, simhash_bk, token_rollup, toxicity, warc_zst
-from loomset.llm.common import fresh_path, word_hashes
+from loomset.llm.common import fresh_path, split_words, text_chunks, word_hashes
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h1 string, pos string"
@@ -44,6 +47,25 @@ def test_word_hashes(texts):
     assert len(set(seen.values())) == len(seen)
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text("aBé \n\t.", max_size=30), max_size=6), st.integers(1, 12), st.booleans())
+def test_chunks_and_words(texts, limit, letters):
+    whole, opened, closed = [b""] * len(texts), [0] * len(texts), [0] * len(texts)
+    words = [[] for _ in texts]
+    for first, offsets, data, opens, closes in text_chunks(pa.array(texts, pa.string()), limit):
+        index, forms, counts = split_words(offsets, data, letters)
+        assert len(data) <= limit or len(offsets) == 2 and len(data.tobytes().split()) <= 1
+        found = iter(np.array(forms, object)[index] if len(index) else [])
+        for k in range(len(offsets) - 1):
+            whole[first + k] += data[offsets[k] : offsets[k + 1]].tobytes()
+            words[first + k] += [next(found) for _ in range(counts[k])]
+        opened[first] += opens
+        closed[first + len(counts) - 1] += closes
+    assert whole == [t.encode() for t in texts]
+    clean = [t.encode().lower().replace(b".", b" ") if letters else t.encode().lower() for t in texts]
+    assert words == [t.split() for t in clean]
+
+
 # -------------------------------------------------------------------- op1, the LM
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**63), min_size=1, max_size=300, unique=True), st.integers(0, 2**63))
@@ -56,43 +78,84 @@ def test_elias_fano(values, probe):
     assert ef.find(x).tolist() == want
 
 
-def test_lm_against_brute_force(spark):
-    texts = ["a b a b c", "a b d", "", None, "B A b", "new words here"] * 3
-    docs = frame(spark, list(enumerate(texts)))
-    got = {r.doc_id: r for r in ngram_trie.train_and_score(docs).collect()}
-    out = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))}
-    tok = [[*(t or "").encode().lower().split(), b"\n"] for t in texts]
-    uni, bi = defaultdict(int), defaultdict(int)
-    for i, w in enumerate(tok):
-        if not out[i]:
-            for c, x in zip([b"\n", *w], w):
-                uni[x] += 1
-                bi[c, x] += 1
+def brute_lm(texts, learn):
+    """p(c | a, b) of the documented model by plain counting, N and V."""
+    uni, two, three, kinds2, kinds3, n2, n3 = (defaultdict(int) for _ in range(7))
+    for t in (t for t, use in zip(texts, learn) if use):
+        s = [None, None, *(t or "").encode().lower().split(), b"\n"]
+        for a, b, c in zip(s, s[1:], s[2:]):
+            uni[c] += 1
+            kinds2[b] += (b, c) not in two
+            kinds3[a, b] += (a, b, c) not in three
+            two[b, c] += 1
+            three[a, b, c] += 1
+            n2[b] += 1
+            n3[a, b] += 1
     n, v = sum(uni.values()), len(uni)
-    kept = {k: c for k, c in bi.items() if c >= ngram_trie.MIN_COUNT}
-    single = lambda x: (uni[x] + 1) / (n + v + 1)
-    gamma = lambda c: 1 - sum(k - ngram_trie.D for (a, _), k in kept.items() if a == c) / (uni[c] + ngram_trie.MU)
-    prob = lambda c, x: max(kept.get((c, x), 0) - ngram_trie.D, 0) / (uni[c] + ngram_trie.MU) + gamma(c) * single(x)
-    for i, w in enumerate(tok):
+    d = ngram_trie.D
+
+    def prob(a, b, c):
+        p = (uni.get(c, 0) + 1) / (n + v + 1)
+        if b in n2:
+            p = max(two.get((b, c), 0) - d, 0) / n2[b] + d * kinds2[b] / n2[b] * p
+        if (a, b) in n3:
+            p = max(three.get((a, b, c), 0) - d, 0) / n3[a, b] + d * kinds3[a, b] / n3[a, b] * p
+        return p
+
+    return prob, uni, n, v
+
+
+def thue_morse(n, a, b):
+    word = a
+    while len(word) < n:
+        word += word.translate(str.maketrans(a + b, b + a))
+    return word
+
+
+@pytest.mark.parametrize("settings", [{}, {"HOT_SHARE": 20, "SALTS": 3}, {"TASK_TOKENS": 40, "SHARD_TOKENS": 30, "HOT_SHARE": 10}, {"SCORE_BYTES": 40}])
+def test_lm_against_brute_force(spark, monkeypatch, settings):
+    for name, value in settings.items():
+        monkeypatch.setattr(ngram_trie, name, value)
+    rng = np.random.default_rng(2)
+    left, right = thue_morse(2048, "a", "b"), thue_morse(2048, "b", "a")  # alike for many polynomial hashes
+    texts = ["a b a b c", "a b d", "", None, "B A b", "new words here", " \t ", f"{left} {right} {left}", right, "click click " * 60 + "x"] * 3
+    texts += [" ".join(f"w{int(k)}" for k in rng.zipf(1.6, 60) if k < 500) for _ in range(30)]
+    docs = frame(spark, [*enumerate(texts), (None, "a b unseen")])
+    rows = ngram_trie.train_and_score(docs).collect()
+    assert len(rows) == len(texts) + 1
+    got = {r.doc_id: r for r in rows if r.doc_id is not None}
+    out = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))]
+    prob, uni, n, v = brute_lm([*texts, "a b unseen"], [*(not x for x in out), True])
+    for i, t in enumerate(texts):
+        w = [*(t or "").encode().lower().split(), b"\n"]
         r = got[i]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (out[i], len(w), sum(uni.get(x, 0) > 0 for x in w), n)
-        assert r.base_score == pytest.approx(sum(np.log10(single(x)) for x in w))
-        assert r.score == pytest.approx(sum(np.log10(prob(c, x)) for c, x in zip([b"\n", *w], w)), abs=1e-3 * len(w))
-    for c in (b"a", b"b", b"\n"):
-        assert sum(prob(c, x) for x in [*[x for x in uni if uni[x]], b"unknown"]) == pytest.approx(1)
+        assert r.base_score == pytest.approx(sum(np.log10((uni.get(x, 0) + 1) / (n + v + 1)) for x in w))
+        assert r.score == pytest.approx(sum(np.log10(prob(a, b, c)) for a, b, c in zip([None, None, *w], [None, *w], w)), abs=1e-3 * len(w))
+    for a, b in ((None, None), (None, b"a"), (b"a", b"b"), (b"click", b"click"), (b"zz", b"b")):
+        assert sum(prob(a, b, x) for x in [*[x for x in uni if uni[x]], b"unknown"]) == pytest.approx(1)
+
+
+def test_lm_edges(spark):
+    docs = frame(spark, EDGE)
     assert ngram_trie.train_and_score(docs.where("false")).count() == 0
-    assert ngram_trie.train_and_score(frame(spark, EDGE)).count() == len(EDGE)
+    assert ngram_trie.train_and_score(docs).count() == len(EDGE)
+    none = ngram_trie.train(docs.where("false"))
+    assert {(r.n_known, r.train_tokens, r.base_score, r.score) for r in ngram_trie.score(docs, none).collect()} == {(0, 0, 0.0, 0.0)}
+    assert len(set(ngram_trie.digests([b"a", b"b", b"A"])[0].tolist())) == 3
 
 
-def test_lm_keeps_bigrams_seen_once(spark):
-    texts = ["p q", "r s", "p s"]
-    n, v, uni = 9, 5, {"p": 2, "q": 1, "r": 1, "s": 2, "\n": 3}
-    model = ngram_trie.train(frame(spark, list(enumerate(texts))))
-    got = ngram_trie.score(frame(spark, [(9, "p q")]), model).first().score
-    bi = {("\n", "p"): 2, ("\n", "r"): 1, ("p", "q"): 1, ("p", "s"): 1, ("r", "s"): 1, ("q", "\n"): 1, ("s", "\n"): 2}
-    gamma = lambda c: 1 - sum(k - 0.75 for (a, _), k in bi.items() if a == c) / (uni[c] + 12)
-    prob = lambda c, x: (bi[c, x] - 0.75) / (uni[c] + 12) + gamma(c) * (uni[x] + 1) / (n + v + 1)
-    assert got == pytest.approx(sum(np.log10(prob(c, x)) for c, x in [("\n", "p"), ("p", "q"), ("q", "\n")]), abs=3e-3)
+def test_lm_words_that_share_half_a_hash(spark, monkeypatch, tmp_path):
+    plain = ngram_trie.digests
+    monkeypatch.setattr(ngram_trie, "digests", lambda forms: (plain(forms)[0] & np.uint64(7 << 61), plain(forms)[1]))
+    forms = [b"w%d" % i for i in range(200)]
+    high, low = ngram_trie.digests(forms)
+    at = tmp_path / "part-00000-x-c000.txt"
+    at.write_bytes(ngram_trie.word_level(0, [np.frombuffer(ngram_trie._pack(high, low, np.arange(200) + 1), np.uint8)]) + ngram_trie.MAGIC)
+    words = ngram_trie.Words({0: str(at)}, 1, {0: (200, 20100)})
+    ids = words.ids(forms)
+    assert sorted(ids.tolist()) == list(range(200)) and words.counts(ids).tolist() == list(range(1, 201))
+    assert set(words.ids([b"other%d" % i for i in range(50)]).tolist()) == {-1}
 
 
 # ---------------------------------------------------------------- op2, the rollup
@@ -124,6 +187,38 @@ def test_op2_against_brute_force(spark):
     assert got == dict(want)
 
 
+def test_op2_edges(spark):
+    path = public_tokenizers.path(queries.RANKS)
+    rows = [(1, "a b", None, None), (1, "a b", None, None), (None, None, "s", "en"), (3, "", "s", None), (4, "w " * 50_000, "s", "en")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, source string, lang string, n_tokens string")
+    counts = token_rollup.count_words(docs).unionByName(token_rollup.count_bpe(docs, path, public_tokenizers.PATTERN, "bpe"))
+    rollup = token_rollup.Rollup(spark, fresh_path(spark, "r"))
+    rollup.commit("b1", token_rollup.inserts(counts))
+    got = {tuple(r)[:3]: tuple(r)[3:] for r in rollup.totals().collect()}
+    assert got[None, None, "words-1"] == (2, 4) and got["s", "en", "words-1"] == (2, 50_000) and got["s", None, "words-1"] == (1, 0)
+    assert got["s", None, "bpe"] == (1, 0) and got["s", "en", "bpe"][1] >= 50_000
+    rollup.commit("b2", token_rollup.inserts(counts.where("false")))
+    assert {tuple(r)[:3]: tuple(r)[3:] for r in rollup.totals().collect()} == got
+    rollup.commit("b3", token_rollup.deletes(counts))
+    assert {tuple(r)[3:] for r in rollup.totals().collect()} == {(0, 0)}
+
+
+def test_rollup_compaction_keeps_totals_and_idempotence(spark):
+    counts = token_rollup.count_words(frame(spark, [(1, "a b"), (2, None), (3, "c")]))
+    rollup = token_rollup.Rollup(spark, fresh_path(spark, "r"))
+    for k in range(4):
+        rollup.commit(f"b{k}", token_rollup.inserts(counts))
+    before = rollup.totals().collect()
+    rollup.compact()
+    rollup.compact()
+    assert rollup.totals().collect() == before and rollup.parts() == 1
+    assert not rollup.commit("b2", token_rollup.inserts(counts)) and rollup.totals().collect() == before
+    assert rollup.commit("b9", token_rollup.deletes(counts)) and rollup.parts() == 2
+    assert [tuple(r) for r in rollup.totals().collect()] == [("s", "en", "words-1", 9, 9)]
+    rollup.compact()
+    assert [tuple(r) for r in rollup.totals().collect()] == [("s", "en", "words-1", 9, 9)]
+
+
 # ------------------------------------------------------------- op3, 7, 8: the SQL
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_against_sql(spark, name):
@@ -156,6 +251,30 @@ def test_decontamination_edges(spark):
     assert decontam.find_contamination(frame(spark, docs), bench.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("block,filter_block", [(50_000, 2_000_000), (3, 2_000_000), (3, 7)])
+def test_decontamination_of_repetitive_texts_by_any_plan(spark, monkeypatch, block, filter_block):
+    monkeypatch.setattr(decontam, "BLOCK_SEEDS", block)
+    monkeypatch.setattr(decontam, "FILTER_SEEDS", filter_block)
+    rng = np.random.default_rng(8)
+    item = [f"w{i}" for i in range(30)]
+    near = [w if i % 7 else "x" for i, w in enumerate(item)]
+    docs = [(1, "click " * 400), (2, " ".join(near)), (2, " ".join(item)), (None, "a " + " ".join(item[5:19])), (4, " ".join(rng.choice(item, 200))), (5, ""), (6, None), (7, "pre " * 20_000 + " ".join(item))]
+    bench = spark.createDataFrame([(0, " ".join(item), "a"), (1, "click " * 60, "b"), (1, "click " * 60, "b"), (3, " ".join(item[10:24]), "c")], "item_id long, text string, words string")
+    got = {(r.doc_id, r.item_id): (r.matched, r.first_word) for r in decontam.find_contamination(frame(spark, docs), bench).collect()}
+    want = {}
+    for i, text in docs:
+        w = (text or "").split()
+        for k, b in ((0, item), (1, ["click"] * 60), (3, item[10:24])):
+            for shift in range(-len(b), len(w)) if len(w) < 3000 else range(len(w) - 40, len(w)):
+                same = [0 <= shift + q < len(w) and w[shift + q] == b[q] for q in range(len(b))]
+                for s in range(len(b) - 12):
+                    c = sum(same[s : s + 13])
+                    if c >= 11:
+                        most, first = want.get((i, k), (0, 1 << 40))
+                        want[i, k] = max(most, c), min(first, s + shift)
+    assert got == want
+
+
 def test_decontamination_by_short_items(spark):
     twelve = " ".join(f"t{i}" for i in range(12))
     docs = [(1, "so Too, SHORT it is: too short"), (2, "short too"), (3, "x " + twelve), (4, twelve.replace("t7", "u")), (5, "too"), (None, "too short"), (6, None), (7, "世界")]
@@ -176,7 +295,7 @@ def test_warc_edges(spark):
     assert all(r.payload_digest == hashlib.sha256((h or "").encode()).hexdigest() for r in got for i, u, h in rows if i == r.page_id and i != 1)
     out = warc_zst.BundleWriter()
     for i in range(3000):
-        out.add(str(i), warc_zst.record(i, "u", b"p%d" % i * 50, "d", 1, None))
+        out.add(str(i), warc_zst.record(str(i), "u", b"p%d" % i * 50, "d", 1, None))
     data = out.finish() + warc_zst.FOOTER_MAGIC
     bundle = warc_zst.Bundle(data)
     assert len(bundle.starts) > 2 and bundle.get("2500")[1] == b"p2500" * 50
@@ -184,6 +303,29 @@ def test_warc_edges(spark):
     assert whole.count(b"WARC/1.1") == 3000
 
 
+def test_warc_identifiers_and_random_access(spark):
+    body = "y" * 200
+    rows = [(1, "u", body), (1, "u", body), (1, "v", body), (None, "u", body), (None, "u", body), (2, "u", "small"), (2, "u", "small"), (3, "é", "<p>" + "z" * 300_000)]
+    pages = spark.createDataFrame([(*r, 5, "q") for r in rows], "page_id long, url string, html string, row int, nth string")
+    path = fresh_path(spark, "w2")
+    warc_zst.write_archives(pages, path)
+    got = warc_zst.read_archives(spark, path, True).collect()
+    assert len(got) == len(rows) == len({r.record_id for r in got})
+    same = [r for r in got if r.page_id == 1]
+    assert sorted(r.record_type for r in same) == ["response", "revisit", "revisit"] and {r.refers_to for r in same if r.record_type == "revisit"} == {1}
+    assert all(r.record_type == "response" for r in got if r.page_id != 1)
+    index = warc_zst.record_index(spark, path)
+    assert index.count() == len(rows)
+    for r in got:
+        (found,) = warc_zst.fetch_records(index.where(F.col("record_id") == r.record_id)).collect()
+        assert found == r
+    for uri in {r.uri for r in index.collect()}:
+        bundle = warc_zst.Bundle(warc_zst.map_blob(uri))
+        assert [h["WARC-Record-ID"] for h, _ in bundle.scan()] == [h["WARC-Record-ID"] for h, _ in bundle.records()]
+    warc_zst.write_archives(pages.where("false"), fresh_path(spark, "w3"))
+    assert warc_zst.archive_and_read(pages.where("false")).count() == 0
+
+
 # ----------------------------------------------------------------- op4, op5: ids
 def test_bpe(spark):
     ranks = bpe_codec.load_ranks(public_tokenizers.path(queries.RANKS))
@@ -199,6 +341,20 @@ def test_bpe(spark):
     assert sorted(bytes(r.decoded) for r in got) == sorted((t or "").encode() for _, t in EDGE)
 
 
+def test_op4_query_against_the_library(spark):
+    with open(public_tokenizers.path(queries.RANKS), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    docs = dict(duckdb.sql(f"SELECT doc_id, coalesce(text, '') FROM '{SF}/documents.parquet'").fetchall())
+    got = queries.op4_byte_bpe(spark, SF).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        ids = plain.encode_ordinary(docs[r.doc_id])
+        want = (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(docs[r.doc_id].encode()).hexdigest())
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == want
+    assert bpe_codec.encode_documents(frame(spark, EDGE).where("false"), public_tokenizers.path(queries.RANKS), public_tokenizers.PATTERN, decode=True).count() == 0
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(1, 24), st.data())
 def test_bit_packing(width, data):
@@ -223,6 +379,54 @@ def test_token_files(spark):
     assert all(r.ids_crc32 in {zlib.crc32(np.array(x, "<u4").tobytes()) for j, x in ids if j == r.doc_id} for r in got)
 
 
+def memo_ids(memo, texts):
+    out = [[] for _ in texts]
+    for first, sizes, ids in memo.encode(pa.array(texts, pa.string()), 1):
+        for k, part in enumerate(np.split(ids, np.cumsum(sizes)[:-1])):
+            out[first + k] += part.tolist()
+    return out
+
+
+def test_token_memo_against_the_library():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    left, right = thue_morse(2048, "a", "b"), thue_morse(2048, "b", "a")
+    texts = [f"{left} {right}", right, left, None, "", " x", "a<|startoftext|>B.<|endoftext|>", "0 0a 10.5.", "x%$ é... 's! a-b- don't.'' É&, ñ'. ñ.' x\u0301. <=\u0338 word<=>", "é! É?! \u0301 a\u0301", left * 40, "w, " * 3000]
+    with open(path, "rb") as f:
+        spec = f.read()
+    for limit in (3, 1000):  # a memo of three words forgets all the time
+        memo = bitpack.WordMemo(spec, limit)
+        assert memo_ids(memo, texts * 2) == [[*tok.encode(t or "", add_special_tokens=False).ids, 1] for t in texts * 2]
+
+
+def test_a_very_long_text_in_bounded_memory():
+    import tracemalloc
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), "rb") as f:
+        memo = bitpack.WordMemo(f.read())
+    text = pa.array(["some words, again and again. " * (30_000_000 // 29)])
+    tracemalloc.start()
+    try:
+        n = sum(len(ids) for _, _, ids in memo.encode(text, 1))
+        hashes = sum(1 for _ in text_chunks(text))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 7 * (30_000_000 // 29) + 1 and hashes > 10 and most < 150 << 20
+
+
+def test_op5_query_against_the_library(spark):
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    start = 0
+    got = sorted(queries.op5_token_files(spark, SF).collect(), key=lambda r: r.doc_id)
+    docs = duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet' ORDER BY doc_id").fetchall()
+    for r, (i, text) in zip(got, docs, strict=True):
+        ids = [*tok.encode(text or "", add_special_tokens=False).ids, 1]
+        assert tuple(r) == (i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    assert bitpack.write_and_index(frame(spark, EDGE).where("false"), public_tokenizers.path("word_bpe_49k.json")).count() == 0
+
+
 # -------------------------------------------------------------- op6, op9, op10
 def test_simhash_against_brute_force(spark):
     rng = np.random.default_rng(1)
@@ -246,6 +450,68 @@ def test_simhash_against_brute_force(spark):
         assert all(int(r.fingerprint, 16) == f[r.doc_id] for r in got if r.doc_id is not None) and len(got) == len(rows)
 
 
+def test_simhash_edges(spark):
+    assert simhash_bk.near_duplicates(frame(spark, EDGE).where("false")).count() == 0
+    long = " ".join(f"w{k}" for k in range(60_000))
+    rows = [(5, long), (6, long + " end"), (7, long), (7, long), (8, None), (9, "")]
+    got = sorted((r.doc_id, r.component_id) for r in simhash_bk.near_duplicates(frame(spark, rows)).collect())
+    assert got == [(5, 5), (6, 5), (7, 5), (7, 5), (8, 8), (9, 8)]
+
+
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_a_hot_shard_is_dealt_in_pairs_of_blocks(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(simhash_bk, "BROADCAST_ROWS", broadcast)
+    rng = np.random.default_rng(3)
+    fp = np.unique(rng.integers(0, 1 << 12, 900).astype(np.int64))  # the upper bits are alike
+    df = spark.createDataFrame([(int(x), "t") for x in fp], "fp long, t string").select("fp")
+    pairs = {(min(r.a, r.b), max(r.a, r.b)) for r in simhash_bk.shard_edges(df, 1, shard_rows=60).collect()}
+
+    def roots(links):
+        root = {x: x for x in fp.tolist()}
+
+        def top(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in links:
+            a, b = top(a), top(b)
+            root[max(a, b)] = min(a, b)
+        return {x: top(x) for x in root}
+
+    want = [(a, b) for a in fp.tolist() for b in (a ^ 1 << k for k in range(12)) if b in set(fp.tolist())]
+    assert roots(pairs) == roots(want)
+
+
+def test_trees_spare_comparisons():
+    """Of the pairs of a shard of random fingerprints a search looks at a part only, and finds all links."""
+    rng = np.random.default_rng(9)
+    fp = np.unique(rng.integers(0, 1 << 62, 4000).astype(np.uint64))
+    fp = np.unique(np.concatenate([fp, fp[:200] ^ np.uint64(5)]))
+    forest = simhash_bk.Forest(fp, np.zeros(len(fp), np.int64))
+    looked, found = [0], set()
+    plain = np.bitwise_count
+
+    class Counting:
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        @staticmethod
+        def bitwise_count(x):
+            looked[0] += len(x)
+            return plain(x)
+
+    old, simhash_bk.np = simhash_bk.np, Counting()
+    try:
+        for q, node in forest.search(fp, np.zeros(len(fp), np.int64), 3):
+            found |= {(int(a), int(b)) for a, b in zip(fp[q], fp[node]) if a != b}
+    finally:
+        simhash_bk.np = old
+    brute = {(int(a), int(b)) for a in fp for b in fp[plain(fp ^ a) <= 3] if a != b}
+    assert found == brute and len(brute) >= 400
+    assert looked[0] < 0.75 * len(fp) ** 2
+
+
 def test_verified_links_against_brute_force(spark):
     rng = np.random.default_rng(5)
     words = [f"w{k}" for k in range(3000)]
@@ -321,6 +587,98 @@ def test_merkle(spark):
     assert merkle.compare_with_next(docs.where("false")).count() == 0
 
 
+def spans_of(text):
+    """Spans by the documented rule, a character at a time."""
+    raw, out, start, m = text + "\n", [], 0, (1 << 64) - 1
+    for i, c in enumerate(raw):
+        h = sum(int(k) * ord(raw[i - back]) for back, k in enumerate(merkle._WINDOW) if i >= back) & m
+        h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 & m
+        h = (h ^ h >> 27) * 0x94D049BB133111EB & m
+        if ((h ^ h >> 31) >> 32) % merkle.SPAN == 0 or c == "\n":
+            while i + 1 - start > merkle.LONGEST:
+                out.append(raw[start : start + merkle.LONGEST])
+                start += merkle.LONGEST
+            out.append(raw[start : i + 1])
+            start = i + 1
+    return out
+
+
+def brute_likeness(x, y):
+    """Matched text over all text by nested multisets of strings, without hashes or ranges."""
+
+    def paragraphs(text):
+        out, held = [], []
+        for s in spans_of(text) if text else []:
+            held.append(s)
+            if s.endswith("\n"):
+                out.append(tuple(held))
+                held = []
+        return out
+
+    def sections(text):
+        out, held = [], []
+        for p in paragraphs(text):
+            held.append(p)
+            node = merkle._node([merkle.xxhash.xxh3_128_digest(s.encode("utf-32-le")) for s in p])
+            if p == ("\n",) or node[0] & 7 == 0:
+                out.append(tuple(held))
+                held = []
+        return [*out, *([tuple(held)] if held else [])]
+
+    size = lambda branch: len(branch) if isinstance(branch, str) else sum(map(size, branch))
+    a, b = Counter(sections(x)), Counter(sections(y))
+    total, common = len(x) + bool(x) + len(y) + bool(y), 0
+    for level in range(3):
+        both = a & b
+        common += sum(size(k) * n for k, n in both.items())
+        if level < 2:
+            a, b = (Counter(child for k, n in (side - both).items() for child in k for _ in range(n)) for side in (a, b))
+    return 2 * common / total if total else 1.0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text("ab.\n é世", max_size=60), st.integers(0, 60), st.text("ab\n世", max_size=5))
+def test_merkle_likeness_against_brute_force(text, at, put):
+    x = text * 4
+    y = x[:at] + put + x[at:]
+    a, b = merkle.Tree(x), merkle.Tree(y)
+    assert (a.root == b.root) == (x == y)
+    assert merkle.likeness(a, b) == pytest.approx(1.0 if x == y else brute_likeness(x, y))
+    assert merkle.likeness(a, b) == pytest.approx(merkle.likeness(b, a))
+    assert bool(merkle.differing(a, b) or merkle.differing(b, a)) == (x != y)
+
+
+def test_merkle_edits_are_located():
+    rng = np.random.default_rng(4)
+    cjk = "".join(map(chr, rng.integers(0x4E00, 0x9000, 20_000)))
+    a, b = merkle.Tree(cjk), merkle.Tree(cjk[:9000] + "x" + cjk[9001:])
+    assert 0.99 < merkle.likeness(a, b) < 1
+    ((i, j),) = merkle.differing(a, b)
+    assert a.at[i] <= 9000 < a.at[j] and a.at[j] - a.at[i] < 400
+    parts = [" ".join(rng.choice(list("abcdefgh"), 50)) + "\n\n" for _ in range(6)]
+    a, b = merkle.Tree("".join(parts)), merkle.Tree("".join([parts[0], parts[4], *parts[2:4], parts[1], parts[5]]))
+    assert a.root != b.root and merkle.differing(a, b) and merkle.differing(b, a) and merkle.likeness(a, b) > 0.9
+    inserted = merkle.Tree("".join([*parts[:3], "new text here\n", *parts[3:]]))
+    assert merkle.differing(inserted, a)
+    assert max(np.diff(merkle.Tree("a" * 5000).at)) <= merkle.LONGEST
+    half = merkle.Tree("".join(parts)[:300] + "z" * 300)
+    assert merkle.likeness(a, half) > 0.2
+
+
+def test_op9_query_against_brute_force(spark):
+    docs = duckdb.sql(f"SELECT doc_id, coalesce(text, '') FROM '{SF}/documents.parquet' ORDER BY doc_id").fetchall()
+    got = {r.doc_id: r for r in queries.op9_merkle(spark, SF).collect()}
+    assert len(got) == len(docs)
+    for k, (i, text) in enumerate(docs):
+        after, r = docs[(k + 1) % len(docs)][1], got[i]
+        edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
+        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        assert (r.fingerprint, r.edited_fingerprint) == (merkle.Tree(text).root, merkle.Tree(edited).root)
+        if k < 40:
+            assert (r.near_edited, r.near_next) == (pytest.approx(brute_likeness(text, edited)), pytest.approx(brute_likeness(text, after)))
+    assert sum(r.near_edited for r in got.values()) / len(got) > 0.4 > 0.2 > sum(r.near_next for r in got.values()) / len(got)
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     got = queries.op10_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
@@ -332,6 +690,62 @@ def test_toxicity_held_out(spark):
     assert {r.score for r in toxicity.score(docs, toxicity.train(docs, none)).collect()} == {0.5}
 
 
+def test_features_of_cut_texts(monkeypatch):
+    texts = pa.array(["a b c, d-e A", None, "", "é x " * 50, "b"])
+    whole = toxicity.features(texts)
+    monkeypatch.setattr(toxicity, "text_chunks", lambda t: text_chunks(t, 7))
+    assert (toxicity.features(texts) == whole).all() and (np.diff(whole) > 0).all()
+    words = [["a", "b", "c", "d", "e", "a"], [], [], ["é", "x"] * 50, ["b"]]
+    kinds = [len({*w, *zip(w, w[1:]), *((x, y, 0) for x, y in zip(w, w[2:]))}) for w in words]
+    assert np.bincount(whole >> toxicity.BITS, minlength=5).tolist() == kinds
+
+
+def plain_ftrl(rows, epochs, alpha, beta, l1):
+    """FTRL-proximal as published, a coordinate at a time."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        if abs(z[i]) <= (0 if i == "bias" else l1):
+            return 0.0
+        return -(z[i] - np.sign(z[i]) * (0 if i == "bias" else l1)) / ((beta + n[i] ** 0.5) / alpha)
+
+    for _ in range(epochs):
+        for index, label in rows:
+            w = {i: weight(i) for i in [*index.tolist(), "bias"]}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - label
+            for i, x in w.items():
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / alpha * x
+                n[i] += g * g
+    return {i: weight(i) for i in list(z)}
+
+
+def test_ftrl_against_the_plain_form():
+    rng = np.random.default_rng(6)
+    rows = [(np.unique(rng.integers(0, 60, 12)), int(k)) for k in rng.integers(0, 2, 80)]
+    index, weight, bias = toxicity.ftrl(rows, bits=6, epochs=3, alpha=0.5, beta=1.0, l1=0.4)
+    want = plain_ftrl(rows, 3, 0.5, 1.0, 0.4)
+    assert bias == pytest.approx(want.pop("bias"))
+    assert dict(zip(index.tolist(), weight.tolist())) == pytest.approx({i: w for i, w in want.items() if w})
+
+
+def test_toxicity_edges(spark):
+    texts = {1: "bad awful words", 2: "fine day", 4: "bad awful again", 5: "a fine calm day", 7: "awful bad", 8: "nice day"}
+    rows = [*texts.items(), (1, "bad awful words"), (1, "other row of one"), (None, "bad awful"), (90, None), (91, ""), (92, "bad " * 40_000)]
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([(i, int(i in (1, 4, 7)), "x") for i in texts] + [(1, 0, "x"), (None, 1, "x"), (2, None, "x")], "doc_id long, toxic int, text string")
+    model = toxicity.train(docs, labels, held_out=9)
+    got = toxicity.score(docs, model).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    assert len({r.score for r in got if r.doc_id in (90, 91)}) == 1
+    assert toxicity.score(docs.where("false"), model).count() == 0
+    assert toxicity.train(docs.where("false"), labels)[0].size == 0
+    # a bound on features leaves whole documents out
+    few = toxicity.train(docs, labels, held_out=9, most=4)
+    assert few[0].size == 0 or few[0].size <= 4
+    # a score right at the threshold counts
+    assert spark.createDataFrame([(toxicity.THRESHOLD,)], "score double").select((F.col("score") >= toxicity.THRESHOLD).cast("int").alias("p")).first().p == 1
+
+
 def test_pipeline(spark):
     pipeline = pytest.importorskip("corpus_pipeline")
     docs = spark.read.parquet(f"{SF}/documents.parquet")
@@ -361,3 +775,132 @@ def test_pipeline_rows_without_id_and_repeated_ids(spark):
     assert firsts == sorted([("5", a), ("8", d), ("8", d), ("None", c)])
     got = pipeline.drop_contaminated(spark, docs, SF).collect()
     assert sorted((str(r.doc_id), r.text) for r in got) == sorted((str(i), t) for i, t in rows if not t.startswith(item))
+
+
+# ------------------------------------------------------------------- the pipeline, by hand
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def fixture(folder):
+    """Tables with every case the stages decide on; returns the documents' rows."""
+    rng = np.random.default_rng(11)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    draw = lambda n: " ".join(rng.choice(vocabulary, n))
+    item, other = draw(40), draw(30)
+    repeated = "  This LINE of more than forty characters stands in many documents."
+    texts = [draw(150) for _ in range(30)]
+    texts += [" ".join("changed" if k == 70 else w for k, w in enumerate(t.split())) for t in texts[:8]]  # near copies
+    texts += [texts[9], texts[9], texts[10]]  # exact copies
+    texts += [draw(60) + "\n" + repeated + "\n" + draw(40) for _ in range(7)]
+    texts += [draw(50) + " " + item + " " + draw(50), item, draw(80) + " " + " ".join("x" if k in (4, 9) else w for k, w in enumerate(other.split()[:13])) + " end"]
+    texts += ["awful horrid " + draw(30) for _ in range(30)] + [draw(30) for _ in range(30)]
+    texts += ["click " * 200 + draw(30), "", None, "   ", draw(8_000), "one two", "One two", "one two three"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    rows += [(None, texts[0]), (None, draw(50)), (None, rows[-9][1]), (3, texts[3]), (3, draw(70)), (None, None)]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in rows]
+    toxic = [i for i, t, *_ in rows if t and t.startswith("awful")]
+    labels = [(i, 1, int(i in toxic)) for i, *_ in rows if i is not None and i >= 50]
+
+    def put(name, rows, columns, kinds):
+        table = pa.table({c: pa.array(x, k) for c, x, k in zip(columns, zip(*rows), kinds)})
+        pq.write_table(table, f"{folder}/{name}.parquet")
+
+    put("documents", rows, ["doc_id", "text", "lang", "source", "n_chars"], [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64()])
+    put("labels", labels, ["doc_id", "quality", "toxic"], [pa.int64(), pa.int32(), pa.int32()])
+    put("benchmark", [(1, item), (2, other), (3, None)], ["item_id", "text"], [pa.int64(), pa.string()])
+    return rows, [item, other]
+
+
+def plain_pipeline(rows, items, scores, threshold):
+    """The five stages over (doc_id, text, ...) rows in plain Python."""
+    rows = [r for r, s in zip(rows, scores) if s < threshold]
+    key = lambda line: line.strip(" \t\n\x0b\f\r").lower()
+    holders = defaultdict(set)
+    for i, t, *_ in rows:
+        if i is not None:
+            for line in (t or "").split("\n"):
+                holders[key(line)].add(i)
+    gone = {k: max(v) for k, v in holders.items() if len(k) >= 40 and len(v) >= 5}
+    cut = lambda i, t: t if i is None or t is None else "\n".join(x for x in t.split("\n") if gone.get(key(x), i) == i)
+    rows = [(i, cut(i, t), *rest) for i, t, *rest in rows]
+    prints = [(simhash_bk.majority(list(set(simhash_bk._shingles(t, 1))), 2), *simhash_bk.second_print(t, 5)) for _, t, *_ in rows]
+    root = list(range(len(rows)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            (f, n, v), (g, m, w) = prints[a], prints[b]
+            alike = min(n, m) >= 0.8 * max(n, m) and np.bitwise_count(v ^ w).sum() <= simhash_bk.most_bits(0.8)
+            if alike and np.bitwise_count(f ^ g).min() <= 6:
+                root[top(a)] = top(b)
+    groups = defaultdict(list)
+    for k in range(len(rows)):
+        groups[top(k)].append(k)
+    kept = []
+    for group in groups.values():
+        named = [rows[k][0] for k in group if rows[k][0] is not None]
+        kept += [k for k in group if rows[k][0] == min(named)] if named else group[:1]
+    rows = [rows[k] for k in kept]
+
+    def leaks(text):
+        words = [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
+        for b in (x.split() for x in items):
+            for shift in range(-len(b), len(words)):
+                same = [0 <= shift + q < len(words) and words[shift + q] == b[q] for q in range(len(b))]
+                if any(sum(same[s : s + 13]) >= 11 for s in range(len(b) - 12)):
+                    return True
+        return False
+
+    return [r for r in rows if not leaks(r[1])]
+
+
+def test_pipeline_against_plain_python(spark, tmp_path):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rows, items = fixture(tmp_path)
+    sf, docs = str(tmp_path), spark.read.parquet(f"{tmp_path}/documents.parquet")
+    model = toxicity.train(docs, spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    table = np.zeros(1 << toxicity.BITS)
+    table[model[0]] = model[1]
+    scores = []
+    for _, text, *_ in rows:
+        found = toxicity.features(pa.array([text], pa.string())) & ((1 << toxicity.BITS) - 1)
+        scores.append(1 / (1 + np.exp(-model[2] - table[found].sum())))
+    kept = plain_pipeline(rows, items, scores, toxicity.THRESHOLD)
+    with open(public_tokenizers.path(queries.RANKS), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = sorted((str(i), plain.encode_ordinary(t or "")) for i, t, *_ in kept)
+    got = pipeline.run(spark, sf).collect()
+    assert sorted((str(r.doc_id), list(r.ids)) for r in got) == want
+    assert all(r.n_tokens == len(r.ids) for r in got)
+    # each kind of decision was taken
+    ids = [r.doc_id for r in got]
+    assert 40 < len(got) < len(rows) - 30 and not any(i in ids for i in range(30, 38)) and sum(s >= toxicity.THRESHOLD for s in scores) >= 25
+
+
+def test_pipeline_stage_edges(spark, tmp_path):
+    """Nulls, empty and long texts, ties, repeated rows, an empty table and extra columns, stage by stage."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    fixture(tmp_path)
+    rows = [(i, t, "en" if i != 2 else None, None if i == 3 else "s", len(t or "")) for i, t in EDGE]
+    rows += [(None, None, None, None, None), (5, EDGE[6][1], "de", "s", 1), (10, "long " * 40_000, "en", "s", 200_000)]
+    extra = ", _row long, row string, dropped string, score double, fp long, ids string"
+    docs = spark.createDataFrame([(*r, 1, "x", "y", 0.5, 2, "z") for r in rows], DOCS + extra)
+    sizes = []
+    for name, stage in pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        assert stage(spark, docs.where("false"), str(tmp_path)).count() == 0
+        assert out.columns == (pipeline.COLUMNS if name != "byte-level bpe" else ["doc_id", "lang", "source", "n_tokens", "ids"])
+        sizes.append(out.count())
+        assert "cases" in stage.__doc__
+    n = len(rows)
+    assert sizes[0] == sizes[1] == sizes[3] == sizes[4] == n and sizes[2] < n
+    lines = {(r.doc_id, r.text) for r in pipeline.drop_repeated_lines(spark, docs, str(tmp_path)).collect()}
+    assert {(8, LONG), (4, ""), (1, None), (2, ""), (None, LONG)} <= lines
+    near = [(r.doc_id, r.text) for r in pipeline.one_of_near_copies(spark, docs, str(tmp_path)).collect()]
+    # empty texts are one group, of the smallest id; both rows of an id that stays, stay
+    assert (1, None) in near and (2, "") not in near and (None, None) not in near and near.count((3, "a b")) == 2
