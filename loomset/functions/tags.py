@@ -31,7 +31,7 @@ def sorted_tokens(col: Column) -> Column:
 def clean_spaces(col: Column) -> Column:
     """Commas to spaces, runs of white space to one space, ends trimmed."""
     spaced = F.regexp_replace(F.translate(F.coalesce(col, F.lit("")), ",", " "), _FLAGS + r"\s{2,}", " ")
-    return F.trim(spaced)
+    return F.regexp_replace(spaced, _FLAGS + r"\A\s+|\s+\z", "")
 
 
 def parse_list(value: str | Iterable[str] | None) -> list[str]:

@@ -8,13 +8,22 @@ from pyspark.sql import functions as F
 from ..functions.values import IMAGE_EXTENSIONS
 
 
-def invalid_reason(size: Column, width: Column, height: Column, error: Column, min_size: int = 1000, min_side: int = 64) -> Column:
-    """The first failing check as text, null for a valid file."""
+def invalid_reason(size: Column, width: Column, height: Column, error: Column, min_size: int = 1000, min_side: int = 64, stat_error: Column | None = None, damage: Column | None = None) -> Column:
+    """The first failing check as text, null for a valid file.
+
+    ``stat_error``: why the size couldn't be read; ``error``: why the file is no image
+    (not_an_image, decompression_bomb, invalid_image_...); ``damage``: what a look at
+    the whole content found, reported as invalid_image_... after the size checks.
+    """
+    none = F.lit(None).cast("string")
+    stat_error, damage = none if stat_error is None else stat_error, none if damage is None else damage
     return (
-        F.when(size.isNull(), "not_found")
+        F.when(stat_error.isNotNull(), F.concat(F.lit("stat_error_"), stat_error))
+        .when(size.isNull(), "file_not_found")
         .when(size < min_size, F.format_string("too_small_%sbytes", size))
         .when(error.isNotNull(), error)
         .when((width < min_side) | (height < min_side), F.format_string("dimensions_%sx%s", width, height))
+        .when(damage.isNotNull(), F.concat(F.lit("invalid_image_"), damage))
     )
 
 

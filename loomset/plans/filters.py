@@ -31,8 +31,11 @@ class ColumnBinding:
     height: str | None = "image_height"
     url: str | None = "file_url"
 
-    def canonical(self, df: DataFrame, number_policy: str = "zero") -> DataFrame:
-        """Canonical names and types; bindings without a column are left out."""
+    def canonical(self, df: DataFrame, number_policy: str = "zero", required: tuple[str, ...] = ()) -> DataFrame:
+        """Canonical names and types; bindings without a column are left out, an error for required ones."""
+        lacking = [name for name in required if getattr(self, name) not in df.columns]
+        if lacking:
+            raise ValueError(f"no columns for {', '.join(lacking)}")
         out = []
         for name, source in self.__dict__.items():
             if source is None or source not in df.columns:

@@ -95,9 +95,9 @@ def tag_substring(spark, sf_dir):
     return _tagged(spark, sf_dir, FilterSpec(TagRule(("*eaux*",))))
 
 
-@query(_where(_m(f"{_SB}(src1|src2){_SE}", "artist") + " OR (starts_with(artist, 'src3') AND artist <> 'src30')"))
+@query(_where(_m(f"{_NB}(src1|src2){_NE}", "artist") + " OR (starts_with(artist, 'src3') AND artist <> 'src30')"))
 def attr_tags_any_none(spark, sf_dir):
-    return _tagged(spark, sf_dir, FilterSpec(artist=TagRule(include_any=("src1", "src2", "src3*"), exclude=("src30",))))
+    return _tagged(spark, sf_dir, FilterSpec(artist=TagRule(include_any=("src1", "src2", "src3*"), exclude=("src30",)), dialect="word"))
 
 
 @query(_where("score >= 500"))

@@ -345,7 +345,7 @@ def sidecar_from_ready_columns(spark, sf_dir):
     return project.sidecar_direct(rows, "file", "r", "name")
 
 
-@query("SELECT doc_id, trim(regexp_replace(replace(text, ',', ' '), '\\s\\s+', ' ', 'g'), ' ') AS cleaned FROM documents")
+@query("SELECT doc_id, regexp_replace(regexp_replace(replace(text, ',', ' '), '\\s\\s+', ' ', 'g'), '^\\s+|\\s+$', '', 'g') AS cleaned FROM documents")
 def comma_and_space_clean(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", tags.clean_spaces(F.col("text")).alias("cleaned"))
 

@@ -16,6 +16,10 @@ from pyspark.sql import types as T
 from ..functions.values import IMAGE_EXTENSIONS, id_from_key, id_from_name
 
 
+# fixed value: pixels beyond which an image counts as a decompression bomb
+MOST_PIXELS = 2 * (1024 * 1024 * 1024 // 4 // 3)
+
+
 def inventory(spark: SparkSession, path: str, recursive: bool = False, glob: str | None = None) -> DataFrame:
     """(path, dir, shard, name, stem, ext, size) of files; contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
@@ -123,9 +127,9 @@ def _probe(data: bytes) -> tuple[int | None, int | None, str | None]:
                     h, w = struct.unpack(">HH", data[at + 5 : at + 9])
                     return w, h, None
                 at += 2 + size
-        return None, None, "unidentified_image"
+        return None, None, "not_an_image"
     except struct.error:
-        return None, None, "truncated_image"
+        return None, None, "not_an_image"
 
 
 _PROBED = T.StructType([T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType()), T.StructField("error", T.StringType())])
@@ -134,4 +138,6 @@ _PROBED = T.StructType([T.StructField("width", T.IntegerType()), T.StructField("
 @F.pandas_udf(_PROBED)
 def image_probe(content: pd.Series) -> pd.DataFrame:
     """Size of an image from its header bytes, or why it can't be told."""
-    return pd.DataFrame([_probe(bytes(c)) if c is not None else (None, None, "not_found") for c in content], columns=["width", "height", "error"])
+    rows = [_probe(bytes(c)) if c is not None else (None, None, "file_not_found") for c in content]
+    bomb = lambda r: (r[0], r[1], "decompression_bomb") if r[0] and r[0] * r[1] > MOST_PIXELS else r
+    return pd.DataFrame([bomb(r) for r in rows], columns=["width", "height", "error"])

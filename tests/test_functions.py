@@ -67,6 +67,15 @@ def test_lists_and_doubles(spark):
     assert FilterSpec(exclude_video=False).apply(df).count() == 4
 
 
+def test_validity_order_and_required_columns(spark):
+    df = spark.createDataFrame([(None, 1, 1, None, "denied", None), (2000, 70, 70, None, None, "SyntaxError"), (2000, 7, 70, None, None, "SyntaxError"), (2000, None, None, "decompression_bomb", None, None)], "s long, w int, h int, e string, st string, d string")
+    reason = audit.invalid_reason(F.col("s"), F.col("w"), F.col("h"), F.col("e"), stat_error=F.col("st"), damage=F.col("d"))
+    assert [r.r for r in df.select(reason.alias("r")).collect()] == ["stat_error_denied", "invalid_image_SyntaxError", "dimensions_7x70", "decompression_bomb"]
+    with pytest.raises(ValueError, match="score"):
+        ColumnBinding("s", score="nowhere").canonical(df, required=("id", "score"))
+    assert column(spark, ["\u00a0 a,\t b \n", None, ",,"], tags.clean_spaces) == ["a b", "", ""]
+
+
 def test_ranks_with_outliers_and_ties(spark):
     ids = [5, 5, -(2**60), 2**60, *range(100, 160)]
     ranked = shards.global_rank(spark.createDataFrame([(i,) for i in ids], "id long"), "id").collect()
@@ -152,7 +161,7 @@ def test_archive(spark):
 def test_audit_and_records(spark):
     df = spark.createDataFrame([(None, 1, 1, None), (5, 1, 1, None), (2000, 70, 70, "bad"), (2000, 10, 70, None), (2000, 70, 70, None)], "s long, w int, h int, e string")
     got = [r.r for r in df.select(audit.invalid_reason(F.col("s"), F.col("w"), F.col("h"), F.col("e")).alias("r")).collect()]
-    assert got == ["not_found", "too_small_5bytes", "bad", "dimensions_10x70", None]
+    assert got == ["file_not_found", "too_small_5bytes", "bad", "dimensions_10x70", None]
     one = spark.range(1).select(project.joined_tags(F.lit("a"), F.lit(None).cast("string"), F.lit(""), F.lit("b")).alias("t")).first().t
     assert one == "a  b"
     record = spark.range(1).select(*project.training_record(F.lit("f"), F.lit("a_b c"), F.lit(" x  y "))).first()

@@ -49,8 +49,14 @@ def test_tar_manifest_probe(spark, tmp_path):
     rows = files.manifest_entries(texts, F.lit("a.tar")).collect()
     assert sorted((r.image_id, r.inner_path) for r in rows) == [(0, "d/0.jpg"), (2, "2.jpg"), (3, "3.png"), (4, "in/4.jpg"), (5, "5.jpg")]
     png = b"\x89PNG\r\n\x1a\n" + b"\0" * 8 + struct.pack(">II", 7, 9)
+    huge = b"\x89PNG\r\n\x1a\n" + b"\0" * 8 + struct.pack(">II", 40000, 40000)
+    assert spark.createDataFrame([(bytearray(huge),)], "c binary").select(files.image_probe("c").alias("p")).first().p.error == "decompression_bomb"
+    gif, jpeg = b"GIF89a" + struct.pack("<HH", 3, 4), b"\xff\xd8\xff\xe0\x00\x04ab\xff\xc0\x00\x0b\x08" + struct.pack(">HH", 6, 5) + b"\0" * 8
+    webp = b"RIFF\0\0\0\0WEBPVP8X\n\0\0\0\0\0\0\0" + (8).to_bytes(3, "little") + (9).to_bytes(3, "little")
+    shapes = spark.createDataFrame([(bytearray(x),) for x in (gif, jpeg, webp, png[:12])], "c binary").select(files.image_probe("c").alias("p"))
+    assert [tuple(r.p) for r in shapes.collect()] == [(3, 4, None), (5, 6, None), (9, 10, None), (None, None, "not_an_image")]
     df = spark.createDataFrame([(bytearray(png),), (bytearray(b"zz"),), (None,)], "c binary")
-    assert [tuple(r.p) for r in df.select(files.image_probe("c").alias("p")).collect()] == [(7, 9, None), (None, None, "unidentified_image"), (None, None, "not_found")]
+    assert [tuple(r.p) for r in df.select(files.image_probe("c").alias("p")).collect()] == [(7, 9, None), (None, None, "not_an_image"), (None, None, "file_not_found")]
 
 
 def test_tables(spark, tmp_path):
