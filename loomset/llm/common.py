@@ -214,6 +214,12 @@ def word_hashes(texts: pa.Array, letters_only: bool = False) -> tuple[np.ndarray
     return np.concatenate(hashes), counts
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Ascending distinct values, by sorting."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
