@@ -11,11 +11,13 @@ from ..functions import tags, values
 def _side(df: DataFrame, tag_cols: tuple[str, ...], order: str | None) -> DataFrame:
     text = next((F.col(c) for c in tag_cols if c in df.columns), F.lit(""))
     name = F.col("file_name")
+    norm = values.base_name(name).alias("file_norm")
     first = F.struct((F.col(order) if order else F.lit(0)).alias("at"), name.alias("file_name"))
-    rows = df.select(values.base_name(name).alias("file_norm"), first.alias("_f"), F.explode_outer(tags.token_set(text)).alias("_t"))
-    # each token of a name once, in native aggregates, before names gather theirs
-    once = rows.groupBy("file_norm", "_t").agg(F.min("_f").alias("_f"))
-    return once.groupBy("file_norm").agg(F.min("_f")["file_name"].alias("file_name"), F.sort_array(F.collect_list("_t")).alias("tokens"))
+    names = df.select(norm, first.alias("_f")).groupBy("file_norm").agg(F.min("_f")["file_name"].alias("file_name"))
+    # each token of a name once, by hash aggregates, before names gather theirs
+    once = df.select(norm, F.explode(tags.token_set(text)).alias("_t")).distinct()
+    gathered = once.groupBy("file_norm").agg(F.sort_array(F.collect_list("_t")).alias("tokens"))
+    return names.join(gathered, "file_norm", "left").withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
 
 
 def tag_delta(a: DataFrame, b: DataFrame, order: str | None = None) -> DataFrame:
