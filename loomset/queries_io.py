@@ -379,3 +379,76 @@ def extraction_order(spark, sf_dir):
             yield batch.assign(place=places)
 
     return archive.extraction_order(rows).select("archive", "id").mapInPandas(number, "archive string, id long, place long")
+
+
+@query("""WITH a AS (SELECT 'd' || p_partkey * 37 || '.tar' AS archive FROM part WHERE p_partkey <= 60)
+ SELECT o_orderkey AS id, (SELECT min(archive) FROM a WHERE contains(archive, o_orderkey::VARCHAR) OR contains(archive, substr(o_orderkey::VARCHAR, 1, 3))) AS archive FROM orders WHERE o_orderkey <= 2000""")
+def archive_by_name(spark, sf_dir):
+    """The guess by name: an archive whose digits hold the id or its first three digits."""
+    names = _part(spark, sf_dir).where("id <= 60").select(F.concat(F.lit("d"), (F.col("id") * 37).cast("string"), F.lit(".tar")).alias("archive"))
+    return archive.resolve_by_name(read(spark, sf_dir, "orders").where("o_orderkey <= 2000").select(F.col("o_orderkey").alias("id")), names)
+
+
+@query("""SELECT p_partkey AS id, CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 5 = 1 THEN p_size END::INTEGER AS width, CASE WHEN p_partkey % 5 = 1 THEN 7 END::INTEGER AS height,
+ CASE p_partkey % 5 WHEN 0 THEN 'file_not_found' WHEN 1 THEN NULL WHEN 2 THEN 'decompression_bomb' ELSE 'not_an_image' END AS error
+ FROM (SELECT * FROM part WHERE p_partkey % 5 <> 2) UNION ALL SELECT p_partkey, 60000, 60000, 'decompression_bomb' FROM part WHERE p_partkey % 5 = 2""")
+def image_headers(spark, sf_dir):
+    """Sizes from header bytes; huge, cut short and foreign content."""
+    k = F.col("id") % 5
+    png = lambda w, h: F.unhex(F.concat(F.lit("89504E470D0A1A0A" + "00" * 8), F.lpad(F.hex(w), 8, "0"), F.lpad(F.hex(h), 8, "0")))
+    content = F.when(k == 1, png(F.col("size"), F.lit(7))).when(k == 2, png(F.lit(60000), F.lit(60000))).when(k == 3, F.unhex(F.lit("89504E470D0A1A0A00"))).when(k == 4, F.encode("name", "UTF-8"))
+    return _part(spark, sf_dir).select("id", files.image_probe(content).alias("p")).select("id", "p.*")
+
+
+@query("SELECT p_partkey AS id, CASE WHEN p_partkey % 7 = 0 THEN 'failed' WHEN p_partkey % 5 = 0 THEN 'not_found' ELSE 'completed' END AS status, CASE WHEN p_partkey % 7 <> 0 AND p_partkey % 5 <> 0 THEN 'x' || p_partkey END AS content FROM part")
+def fetch_by_id(spark, sf_dir):
+    """A supplied fetch: items that aren't there, and ones that fail in every try or only in the first."""
+
+    def fetch(item: int, tried: set = set()) -> bytes | None:  # noqa: B006
+        if item % 7 == 0 or item % 3 == 0 and item not in tried:
+            tried.add(item)
+            raise OSError("refused")
+        return None if item % 5 == 0 else b"x%d" % item
+
+    got = outputs.fetch_items(_part(spark, sf_dir).select("id"), fetch)
+    return got.select("id", "status", F.decode("content", "UTF-8").alias("content"))
+
+
+@query("""SELECT p_partkey::VARCHAR AS path, CASE WHEN p_partkey % 3 = 0 THEN 'none' ELSE 'delete' END AS action, 'planned' AS rehearsed,
+ CASE WHEN p_partkey % 3 <> 0 AND p_partkey % 4 = 0 THEN 'failed: denied' ELSE 'done' END AS outcome FROM part""")
+def plan_and_act(spark, sf_dir):
+    """A plan is only reported until it is committed; an error of one row doesn't stop the others."""
+
+    def act(action: str, path: str, target: str | None) -> None:
+        if int(path) % 4 == 0:
+            raise OSError("denied")
+
+    plan = _part(spark, sf_dir).select(F.when(F.col("id") % 3 == 0, "none").otherwise("delete").alias("action"), F.col("id").cast("string").alias("path"), F.lit(None).cast("string").alias("target"))
+    dry = outputs.run_plan(plan, act).select("path", F.col("outcome").alias("rehearsed"))
+    return outputs.run_plan(plan, act, commit=True).join(dry, "path").select("path", "action", "rehearsed", "outcome")
+
+
+@query("SELECT p_partkey AS id FROM part WHERE p_partkey % 4 IN (0, 1)")
+def malformed_json_keyword(spark, sf_dir):
+    """Text that is no JSON is searched for the quoted keyword; keys and parts of words don't count."""
+    k = F.col("id") % 4
+    text = F.when(k == 0, '{"a": ["x", " CAT "}').when(k == 1, '{"b": {"c": "cat"}}').when(k == 2, '{"a": "cats", "cat": ').otherwise('{"cat": "dog"}')
+    return _part(spark, sf_dir).where(jsonops.contains_keyword(text, "cat")).select("id")
+
+
+@query("SELECT p_partkey AS id, p_partkey % 4 <> 1 AND p_partkey % 4 <> 3 AS ok FROM part")
+def stored_integrity(spark, sf_dir):
+    """Near the expected size, of the given MD5 where there is one, else not tiny."""
+    k = F.col("id") % 4
+    size = F.when(k == 3, F.lit(20)).otherwise(F.lit(1000)).cast("bigint")
+    expected = F.when(k == 0, F.lit(1090)).when(k == 1, F.lit(1101)).cast("bigint")
+    md5 = F.when(k == 2, F.upper(F.md5(F.encode("name", "UTF-8"))))
+    return _part(spark, sf_dir).select("id", audit.stored_ok(size, expected, F.md5(F.encode("name", "UTF-8")), md5).alias("ok"))
+
+
+@query("SELECT 'completed' AS status, count(*) AS n FROM labels WHERE quality = 1 HAVING count(*) > 0 UNION ALL SELECT 'missing', count(*) FROM labels WHERE quality = 0 HAVING count(*) > 0")
+def next_progress_counts(spark, sf_dir):
+    """What a validation leaves: completed what is on disk, missing what is not."""
+    lab = read(spark, sf_dir, "labels").withColumnRenamed("doc_id", "id")
+    states = reconcile.reconcile(lab, lab.where("id < 0"), lab.where("quality = 1"))
+    return reconcile.next_progress(states).groupBy("status").agg(F.count("*").alias("n"))
