@@ -45,7 +45,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/loomset/{uuid.uuid4().hex}/{name}"
+    """A new place in the shared folder for an intermediate; removed when the driver's JVM ends.
+
+    What shall outlive the application is written to a path of the caller's own.
+    """
+    root = f"{shared_dir(spark)}/loomset/{uuid.uuid4().hex}"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(at)
+    fs.deleteOnExit(at)
+    return f"{root}/{name}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -6,7 +6,8 @@ by (hash, document block) with a secondary sort by document and position; a
 window streams over each run and flags the first row of every document. A line
 found in at least ``min_docs`` documents stays only in the largest document id
 that holds it. Texts never travel with the hashes: what comes back is one
-run-length-compressed keep bitmap per document.
+run-length-compressed keep bitmap per document. Lines with equal 128-bit hashes
+count as equal; the lines themselves are not looked at again.
 
 Skew: a line held by a third of all documents is split over as many document
 blocks as there are shuffle partitions, both while counting and while the

@@ -369,7 +369,7 @@ class Words:
         out = np.zeros(len(ids), np.int64)
         known = np.flatnonzero((ids >= 0) & (ids < self.size))
         where = np.searchsorted(self.base, ids[known], "right") - 1
-        for s in np.unique(where).tolist():
+        for s in np.flatnonzero(np.bincount(where)).tolist():
             mine = known[where == s]
             sums, i = self._shard(s)[1], ids[mine] - self.base[s]
             upto = sums.access(i)
@@ -579,7 +579,7 @@ class Model:
         """Back-off weights of single words, 1 for unknown ones."""
         out = np.ones(len(ids))
         where = ids // self.step
-        for s in np.unique(where).tolist():
+        for s in np.flatnonzero(np.bincount(where)).tolist():
             if s in self.backoff:
                 mine = np.flatnonzero(where == s)
                 table = load(self.backoff[s])[1][0]
@@ -588,11 +588,11 @@ class Model:
         return out
 
 
-def train(docs: DataFrame, text_col: str = "text") -> Model:
-    """Count all of ``docs`` and write the levels."""
+def train(docs: DataFrame, text_col: str = "text", path: str | None = None) -> Model:
+    """Count all of ``docs`` and write the levels, to ``path`` if they shall stay."""
     spark = docs.sparkSession
     texts = docs.select(F.col(text_col).alias("text"))
-    path = fresh_path(spark, "lm")
+    path = path or fresh_path(spark, "lm")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
