@@ -52,12 +52,13 @@ def span_ends(codes: np.ndarray) -> np.ndarray:
     wide, h = codes.astype(np.uint64), np.zeros(n, np.uint64)
     for back, k in enumerate(_WINDOW):
         h[back:] += wide[: n - back] * k
-    ends = np.flatnonzero((mix(h) >> np.uint64(32)) % np.uint64(SPAN) == 0) + 1
-    ends = np.union1d(ends, np.append(np.flatnonzero(codes == 10) + 1, n))
+    cut = ((mix(h) >> np.uint64(32)) % np.uint64(SPAN) == 0) | (codes == 10)
+    cut[n - 1 :] = True
+    ends = np.flatnonzero(cut) + 1
     gaps = np.diff(ends, prepend=0)
     long = np.flatnonzero(gaps > LONGEST)
     if len(long):
-        ends = np.union1d(ends, np.concatenate([np.arange(ends[k] - gaps[k] + LONGEST, ends[k], LONGEST) for k in long]))
+        ends = np.sort(np.concatenate([ends, *(np.arange(ends[k] - gaps[k] + LONGEST, ends[k], LONGEST) for k in long)]))
     return ends
 
 
