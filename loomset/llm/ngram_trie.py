@@ -237,7 +237,7 @@ def dequantise(q: np.ndarray) -> np.ndarray:
 # ------------------------------------------------------------------- shuffled shards
 def _numbered(paths: list[str]) -> dict[int, str]:
     """Files by the number of the partition that wrote them: their shard."""
-    return {int(re.search(r"part-(\d+)", p).group(1)): p for p in paths}
+    return {int(re.search(r"part-(\d+)[^/]*\Z", p).group(1)): p for p in paths}
 
 
 def _gather(parts: DataFrame, shards: int, build: Callable[[int, list[np.ndarray]], bytes], path: str) -> dict[int, str]:
@@ -247,6 +247,8 @@ def _gather(parts: DataFrame, shards: int, build: Callable[[int, list[np.ndarray
         shard, held = None, []
         for batch in batches:
             for s, part in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if shard not in (None, s):
+                    raise RuntimeError("a partition has the parts of two shards")
                 shard = s
                 held.append(np.frombuffer(part.as_buffer(), np.uint8))
         if held:
