@@ -75,13 +75,13 @@ def source_parquet_directory(spark, sf_dir):
     return tables.parquet_directory(spark, at).select("brand", "id")
 
 
-@query("""SELECT p_partkey::VARCHAR AS id, 'a "' || p_name || '",' || chr(10) || 'b' AS name, CASE WHEN p_partkey % 2 = 0 THEN '' ELSE p_brand END AS brand FROM part""")
+@query("""SELECT p_partkey::VARCHAR AS id, 'a "' || p_name || '",' || chr(10) || 'b' AS name, CASE WHEN p_partkey % 3 = 0 THEN '\\\\' || p_brand WHEN p_partkey % 3 = 2 THEN p_brand ELSE '' END AS brand FROM part""")
 def csv_round_trip(spark, sf_dir):
     """Quotes, line feeds and empty values survive the review sheet and the string reader."""
     at = state.scratch(spark, "csv")
     name = F.concat(F.lit('a "'), "name", F.lit('",\nb'))
-    rows = _part(spark, sf_dir).select("id", name.alias("name"), F.when(F.col("id") % 2 == 0, "").otherwise(F.col("brand")).alias("brand"))
-    rows.write.mode("overwrite").option("header", "true").option("quoteAll", "true").option("escape", '"').option("emptyValue", "").csv(at)
+    rows = _part(spark, sf_dir).select("id", name.alias("name"), F.when(F.col("id") % 3 == 0, F.concat(F.lit("\\\\"), "brand")).when(F.col("id") % 3 == 2, F.col("brand")).when(F.col("id") % 6 == 1, "").alias("brand"))
+    outputs.write_review(rows, at)
     return tables.csv_strings(spark, at)
 
 

@@ -62,7 +62,8 @@ def write_pairs(df: DataFrame, fetch_open: Callable[[str], object], folder: str)
 
 
 def write_review(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", "true").option("emptyValue", "").csv(path)
+    """Comma-separated with a header; quotes are doubled, empty and null values are blank."""
+    df.write.mode("overwrite").option("header", "true").option("escape", '"').option("emptyValue", "").csv(path)
 
 
 def compact_parquet(df: DataFrame, path: str, target_bytes: int = 512 << 20, total_bytes: int | None = None) -> None:
