@@ -339,6 +339,8 @@ def test_bpe(spark):
     assert isinstance(codec.encoding, tiktoken.Encoding)
     got = bpe_codec.encode_documents(frame(spark, EDGE), public_tokenizers.path(queries.RANKS), public_tokenizers.PATTERN, decode=True).collect()
     assert sorted(bytes(r.decoded) for r in got) == sorted((t or "").encode() for _, t in EDGE)
+    again = bpe_codec.decode_documents(spark.createDataFrame([(r.doc_id, r.ids) for r in got] + [(77, None)], "doc_id long, ids array<int>"), public_tokenizers.path(queries.RANKS), public_tokenizers.PATTERN)
+    assert sorted(bytes(r.decoded) for r in again.collect()) == sorted([*((t or "").encode() for _, t in EDGE), b""])
 
 
 def test_op4_query_against_the_library(spark):
@@ -665,6 +667,13 @@ def test_merkle_edits_are_located():
     assert merkle.likeness(a, half) > 0.2
 
 
+def test_fingerprint_table(spark):
+    got = sorted(merkle.fingerprint_documents(frame(spark, EDGE)).collect(), key=str)
+    want = sorted(((i, merkle.Tree(t)) for i, t in EDGE), key=lambda x: str(x[0]))
+    assert sorted((str(r.doc_id), r.fingerprint, r.n_leaves) for r in got) == sorted((str(i), t.root, len(t.leaves)) for i, t in want)
+    assert all(merkle._node([bytes.fromhex(s) for s in r.sections]).hex() == r.fingerprint for r in got)
+
+
 def test_op9_query_against_brute_force(spark):
     docs = duckdb.sql(f"SELECT doc_id, coalesce(text, '') FROM '{SF}/documents.parquet' ORDER BY doc_id").fetchall()
     got = {r.doc_id: r for r in queries.op9_merkle(spark, SF).collect()}
