@@ -49,11 +49,13 @@ HEAD = struct.Struct("<4sHHQQQq24x")
 #: Ids in one shard file, and documents in one block.
 SHARD_IDS, BLOCK_DOCS = 1 << 22, 64
 #: Words whose ids a worker remembers in each of two generations, and the longest of them in bytes.
-MEMO_WORDS, MEMO_BYTES = 250_000, 64
+MEMO_WORDS, MEMO_BYTES = 200_000, 64
 _NULL_ID = -(1 << 63)
 #: Marks that may end a word: visible ASCII but letters, digits and the apostrophe, which letters may follow.
 _MARKS = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum() and b != 0x27)
 _PLAIN = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
+_ENDS, _STARTS = np.zeros(256, bool), np.zeros(256, bool)
+_ENDS[[*_PLAIN, *range(0x41, 0x5B)]] = _STARTS[list(_MARKS)] = True
 #: Letters of ASCII and Latin-1: composed already, each with one lower-case letter.
 _PLAIN_WORD = re.compile("[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
 #: The byte-level alphabet: visible Latin-1 stands for itself, other bytes for 256, 257, ... in turn.
@@ -61,7 +63,7 @@ _SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTE_LETTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 _PROBES = ["word", "stra\u00dfe", "\u00e9t\u00e9", "ma\u00f1ana", "z", "\u00ff\u00e0x", "\u00c9t\u00c0\u00de"]
 #: Unknown words that go to the tokenizers library in one call, and bytes of text that are encoded at once.
-LEARN_WORDS, ENCODE_BYTES = 64, 4 << 20
+LEARN_WORDS, ENCODE_BYTES = 64, 2 << 20
 
 
 # ----------------------------------------------------------------------- packing
@@ -255,7 +257,9 @@ class WordMemo:
 
     def _words(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, ids per piece)."""
-        index, forms, counts = split_words(offsets, data)
+        # a blank between an ASCII letter or digit and a mark: fewer forms, the same tokens
+        cuts = np.flatnonzero(_ENDS[data[:-1]] & _STARTS[data[1:]]) + 1
+        index, forms, counts = split_words(offsets + np.searchsorted(cuts, offsets), np.insert(data, cuts, 0x20))
         ids = self._forms(forms)
         size = np.fromiter(map(len, ids), np.int32, len(ids)) // self.kind.itemsize
         first, flat = np.cumsum(size, dtype=np.int32) - size, np.frombuffer(b"".join(ids), self.kind)
@@ -271,6 +275,7 @@ class WordMemo:
         """
         end = np.array([end_id], self.kind)
         for first, offsets, data, _, closes in text_chunks(texts, ENCODE_BYTES):
+            pa.default_memory_pool().release_unused()  # what the chunk before took
             if self.cut is not None and self.cut.search(data.tobytes()):
                 for k in range(len(offsets) - 1):
                     parts = []
