@@ -105,8 +105,8 @@ _OPEN: dict[str, np.ndarray] = {}
 def map_blob(uri: str) -> np.ndarray:
     """A memory-mapped view of a shared file, opened once per Python worker.
 
-    A store without a mounted path is read through ``pyarrow.fs`` into an
-    unlinked temporary file, so the pages stay evictable and nothing is left.
+    A file of a store without a mounted path is read through ``pyarrow.fs`` and
+    held in memory; no local folder takes part.
     """
     if uri not in _OPEN:
         parts = urlparse(uri)
@@ -116,11 +116,9 @@ def map_blob(uri: str) -> np.ndarray:
             from pyarrow import fs
 
             store, at = fs.FileSystem.from_uri(uri)
-            handle = tempfile.TemporaryFile()
-            with store.open_input_stream(at) as src:
-                while part := src.read(1 << 24):
-                    handle.write(part)
-            handle.flush()
+            with store.open_input_file(at) as src:
+                _OPEN[uri] = np.frombuffer(src.read(), np.uint8)
+            return _OPEN[uri]
         size = os.fstat(handle.fileno()).st_size
         _OPEN[uri] = np.frombuffer(mmap.mmap(handle.fileno(), size, access=mmap.ACCESS_READ), np.uint8) if size else np.zeros(0, np.uint8)
         handle.close()
