@@ -6,6 +6,7 @@ import io
 import struct
 import tarfile
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pandas as pd
 from pyarrow import fs
@@ -54,6 +55,14 @@ def json_texts(spark: SparkSession, path: str, recursive: bool = True) -> DataFr
     return reader.text(path).select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "^﻿", "").alias("text"))
 
 
+def open_at(path: str):
+    """A seekable stream of a file by the path that Spark's listings give, which is not URL-encoded."""
+    if path.startswith(("file:", "/")):
+        return open("/" + path.removeprefix("file:").lstrip("/"), "rb")
+    store, name = fs.FileSystem.from_uri(quote(path, safe="/:@"))
+    return store.open_input_file(name)
+
+
 def tar_members(spark: SparkSession, path: str, glob: str = "*.tar", stream: bool = True) -> DataFrame:
     """(archive, member, size, pos, image_id) of each regular member, read archive by archive.
 
@@ -72,8 +81,7 @@ def tar_members(spark: SparkSession, path: str, glob: str = "*.tar", stream: boo
         for batch in batches:
             for at, *content in batch.itertuples(index=False):
                 if stream:
-                    store, name = fs.FileSystem.from_uri(at)
-                    with store.open_input_file(name) as source:
+                    with open_at(at) as source:
                         yield rows(at, source)
                 else:
                     yield rows(at, io.BytesIO(content[0]))

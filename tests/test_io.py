@@ -59,6 +59,14 @@ def test_tar_manifest_probe(spark, tmp_path):
     assert [tuple(r.p) for r in df.select(files.image_probe("c").alias("p")).collect()] == [(7, 9, None), (None, None, "not_an_image"), (None, None, "file_not_found")]
 
 
+def test_tar_names_as_they_are(spark, tmp_path):
+    for name in ("a b.tar", "c%20d#e.tar"):
+        with tarfile.open(tmp_path / name, "w") as tar:
+            tar.addfile(tarfile.TarInfo("7.jpg"))
+    for stream in (True, False):
+        assert sorted(r.archive for r in files.tar_members(spark, str(tmp_path), stream=stream).collect()) == ["a b.tar", "c%20d#e.tar"]
+
+
 def test_tables(spark, tmp_path):
     spark.createDataFrame([(1, "12.7")], "id int, score string").write.parquet(str(tmp_path / "a"))
     spark.createDataFrame([(2, 5)], "id long, score int").write.parquet(str(tmp_path / "b"))
