@@ -20,6 +20,7 @@ is; null ids are scored and never trained on; without any label every score is
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -60,26 +61,24 @@ def features(texts: pa.Array, bits: int = BITS, live: np.ndarray | None = None)
 
 def ftrl(rows: list[tuple[np.ndarray, int]], bits: int = BITS, epochs: int = EPOCHS, alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2) -> tuple[np.ndarray, np.ndarray, float]:
     """(indices, weights, bias) of FTRL-proximal over (distinct coordinates, label) rows."""
-    size = (1 << bits) + 1  # the last one is the bias, without L1
-    z, n = np.zeros(size), np.zeros(size)
-
-    def weights(i: np.ndarray) -> np.ndarray:
-        zi = z[i]
-        shrink = np.where(i == size - 1, 0.0, l1)
-        return np.where(np.abs(zi) <= shrink, 0.0, -(zi - np.sign(zi) * shrink) / ((beta + np.sqrt(n[i])) / alpha + l2))
-
+    z, root = np.zeros(1 << bits), np.zeros(1 << bits)  # root: of the sums of squared gradients
+    bias_z = bias_root = bias = 0.0  # the bias has no L1
     for _ in range(epochs):
         for index, label in rows:
-            i = np.append(index, size - 1)
-            w = weights(i)
-            g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - label
-            step = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / alpha
-            z[i] += g - step * w
-            n[i] += g * g
-    every = np.flatnonzero(np.abs(z) > 0)
-    w = weights(every)
-    keep = (w != 0) & (every != size - 1)
-    return every[keep], w[keep], float(weights(np.array([size - 1]))[0])
+            zi, ri = z[index], root[index]
+            # the weight: minus the part of z beyond the L1 term, over the coordinate's own rate
+            w = (np.minimum(np.maximum(zi, -l1), l1) - zi) / ((beta + ri) / alpha + l2)
+            g = 1 / (1 + math.exp(-min(max(w.sum() + bias, -35.0), 35.0))) - label
+            grown = np.sqrt(ri * ri + g * g)
+            z[index] = zi + g - (grown - ri) / alpha * w
+            root[index] = grown
+            grown_bias = math.sqrt(bias_root * bias_root + g * g)
+            bias_z += g - (grown_bias - bias_root) / alpha * bias
+            bias_root = grown_bias
+            bias = -bias_z / ((beta + bias_root) / alpha + l2)
+    every = np.flatnonzero(np.abs(z) > l1)
+    weight = (np.sign(z[every]) * l1 - z[every]) / ((beta + root[every]) / alpha + l2)
+    return every, weight, bias
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_out: int = 1, folds: int = 3, sample: int = SAMPLE, bits: int = BITS, most: int = SAMPLE_FEATURES) -> tuple[np.ndarray, np.ndarray, float]:
