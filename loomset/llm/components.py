@@ -2,9 +2,10 @@
 
 Each round is two aggregations and two equi-joins; nothing is collected. The
 edge table of a round is written to the shared folder, so lineage stays short
-and a lost executor costs one round's tasks. So are the aggregates, or a join
-would take over their partitioning by node: as it is, a hot node only makes a
-partition of an ordinary inner join large, which adaptive execution splits.
+and a lost executor costs one round's tasks. Aggregates are grouped by the node
+and a hash of it, so that a join by node doesn't take over their partitioning: a
+hot node only makes a partition of an ordinary inner join large, which adaptive
+execution splits.
 """
 
 from __future__ import annotations
@@ -23,10 +24,9 @@ def _write(edges: DataFrame, path: str) -> tuple[DataFrame, tuple]:
     return back, tuple(mark)
 
 
-def _kept(df: DataFrame) -> tuple[DataFrame, str]:
-    at = fresh_path(df.sparkSession, "least")
-    df.write.parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at), at
+def least_by(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """(key, least value), in a partitioning that no join by the key can take over."""
+    return df.groupBy(key, F.xxhash64(key).alias("_h")).agg(F.min(value).alias(name)).drop("_h")
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -37,17 +37,17 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     current, mark = _write(pair, at)
     while mark[0]:
         both = current.unionAll(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest, lowest_at = _kept(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        lowest = least_by(both, "u", "v", "m").select("u", F.least("u", "m").alias("m"))
         large = both.where(F.col("v") > F.col("u")).join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         star_at = fresh_path(spark, "edges")
         large, _ = _write(large, star_at)
-        low, low_at = _kept(large.groupBy("u").agg(F.min("v").alias("m")))
+        low = least_by(large, "u", "v", "m")
         moved = large.join(low, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = moved.unionAll(low.select("u", F.col("m").alias("v"))).distinct()
         then, seen, at = at, mark, fresh_path(spark, "edges")
         current, mark = _write(small, at)
-        for path in (then, star_at, lowest_at, low_at):
-            remove(spark, path)
+        remove(spark, then)
+        remove(spark, star_at)
         if mark == seen:
             break
     leaves = current.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -58,7 +58,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, mix
-from .components import connected_components
+from .components import connected_components, least_by
 
 #: Fingerprints in one tree; shards with more are hot.
 SHARD_ROWS = 20_000
@@ -394,8 +394,7 @@ def _classes(distinct: DataFrame, radius: int, shard_rows: int) -> DataFrame:
     """(fp, component_id) from (fp, least), one row per fp."""
     roots = connected_components(shard_edges(distinct.drop("least"), radius, shard_rows))
     rooted = distinct.select("fp", "least").join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    # written, so that the join on the root is one that adaptive execution may split
-    smallest = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "smallest")
+    smallest = least_by(rooted, "root", "least", "component_id")
     return rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id")
 
 
@@ -419,9 +418,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col:
         links.append(materialise(shard_edges(some, radius, shard_rows, similarity), "links"))
     roots = connected_components(reduce(DataFrame.unionByName, links))
     rooted = variants.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = materialise(rooted.groupBy("root").agg(F.min("own").alias("component_id")), "smallest")
+    smallest = least_by(rooted, "root", "own", "component_id")
     named = rooted.join(smallest, "root").select(*variant, "component_id")
-    # both written, so that joins have partitionings of their own and adaptive execution may split hot keys
+    # written, so that the join's partitioning is its own and adaptive execution may split a hot variant
     named = materialise(named, "named")
     found = prints.join(named, variant)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
