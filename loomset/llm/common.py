@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
-from urllib.parse import unquote, urlparse
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
@@ -44,17 +44,23 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_ROOTS: dict[tuple[str, str], str] = {}
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new place in the shared folder for an intermediate; removed when the driver's JVM ends.
+    """A new place in the shared folder for an intermediate.
 
-    What shall outlive the application is written to a path of the caller's own.
+    An application has one folder for these, removed when the driver's JVM ends;
+    what shall outlive it is written to a path of the caller's own.
     """
-    root = f"{shared_dir(spark)}/loomset/{uuid.uuid4().hex}"
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(at)
-    fs.deleteOnExit(at)
-    return f"{root}/{name}"
+    key = (spark.sparkContext.applicationId, shared_dir(spark))
+    if key not in _ROOTS:
+        _ROOTS[key] = f"{shared_dir(spark)}/loomset/{uuid.uuid4().hex}"
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_ROOTS[key])
+        fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
+    return f"{_ROOTS[key]}/{uuid.uuid4().hex}/{name}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -99,6 +105,18 @@ def list_blobs(spark: SparkSession, path: str) -> list[str]:
     return sorted(r.path for r in read_blobs(spark, path).select("path").collect())
 
 
+def read_head(uri: str, size: int) -> bytes:
+    """The first bytes of a shared file."""
+    if uri.startswith(("file:", "/")):  # a path as Spark lists it, not URL-encoded
+        with open("/" + uri.removeprefix("file:").lstrip("/"), "rb") as f:
+            return f.read(size)
+    from pyarrow import fs
+
+    store, at = fs.FileSystem.from_uri(quote(uri, safe="/:@"))
+    with store.open_input_file(at) as f:
+        return f.read(size)
+
+
 _OPEN: dict[str, np.ndarray] = {}
 
 
@@ -109,13 +127,12 @@ def map_blob(uri: str) -> np.ndarray:
     held in memory; no local folder takes part.
     """
     if uri not in _OPEN:
-        parts = urlparse(uri)
-        if parts.scheme in ("", "file"):
-            handle = open(unquote(parts.path), "rb")
+        if uri.startswith(("file:", "/")):  # a path as Spark lists it, not URL-encoded
+            handle = open("/" + uri.removeprefix("file:").lstrip("/"), "rb")
         else:
             from pyarrow import fs
 
-            store, at = fs.FileSystem.from_uri(uri)
+            store, at = fs.FileSystem.from_uri(quote(uri, safe="/:@"))
             with store.open_input_file(at) as src:
                 _OPEN[uri] = np.frombuffer(src.read(), np.uint8)
             return _OPEN[uri]
