@@ -595,7 +595,8 @@ def train(docs: DataFrame, text_col: str = "text", path: str | None = None) -> M
     spark = docs.sparkSession
     texts = docs.select(F.col(text_col).alias("text"))
     path = path or fresh_path(spark, "lm")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, partitions // 4)  # words are few beside n-grams
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally: dict[bytes, int] = {}
@@ -634,7 +635,7 @@ def train(docs: DataFrame, text_col: str = "text", path: str | None = None) -> M
     start, total = known.size, known.total
     if start + 4 > 1 << 32:
         raise OverflowError("more distinct words than 32-bit ids")
-    shards = max(-(-total // SHARD_TOKENS), min(parts, 1 + total // 250_000))
+    shards = max(-(-total // SHARD_TOKENS), min(partitions, 1 + total // 250_000))
 
     def hot_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(*given)
