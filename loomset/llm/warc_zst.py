@@ -14,7 +14,7 @@ frame's records at their offsets, ``get`` decompresses one frame, and
 Equal payloads of at least ``MIN_DUPLICATE`` bytes are stored once: the record
 with the smallest page id is the response, the others are revisit records that
 name it, its digest and the payload's length. Digests are grouped by a partial
-aggregate, written, and joined back without the payloads, so a payload that a
+aggregate and joined back without the payloads, so a payload that a
 third of all pages share moves only its 64 digits, and the join that brings them
 back is one that adaptive execution may split.
 
@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_path, map_blob, materialise, read_blobs, write_blobs
+from .common import fresh_path, map_blob, read_blobs, write_blobs
 
 #: Fixed values of the seekable format (magic numbers, little-endian).
 SKIPPABLE_SEEK, SKIPPABLE_INDEX, FOOTER_MAGIC = 0x184D2A5E, 0x184D2A5D, struct.pack("<I", 0x8F92EAB1)
@@ -176,9 +176,8 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     named = rows.where(F.col("page_id").isNotNull())
     marks = named.where(F.col("size") >= MIN_DUPLICATE).select("digest", "page_id", "row")
     # several rows may repeat an id: the smallest row mark of the smallest id is the response
-    first = marks.groupBy("digest").agg(F.min(F.struct("page_id", "row")).alias("f"), F.count("*").alias("n")).where("n > 1").select("digest", "f")
-    # written, so that the join has a partitioning of its own and a hot digest may be split
-    first = materialise(first, "repeated_payloads")
+    # grouped by a hash as well, so that the join has a partitioning of its own and a hot digest may be split
+    first = marks.groupBy("digest", F.xxhash64("digest").alias("h")).agg(F.min(F.struct("page_id", "row")).alias("f"), F.count("*").alias("n")).where("n > 1").select("digest", "f")
     twice = marks.join(first, "digest").select("page_id", "row", F.col("f.page_id").alias("refers_to"), F.col("f.row").alias("refers_row")).distinct()
     nth = F.row_number().over(Window.partitionBy("page_id", "row").orderBy("size")) - 1
     joined = named.withColumn("nth", nth.cast("long")).join(twice, ["page_id", "row"], "left")
