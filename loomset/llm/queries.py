@@ -127,26 +127,32 @@ SELECT d.page_id, d.n AS payload_bytes, d.digest AS payload_digest,
 FROM d LEFT JOIN f ON d.digest = f.digest
 """
 
-#: Every alignment of equal tokens, without seeds: windows of 13 with 11 equal or more.
+#: Every alignment of equal tokens, without seeds: windows of 13 with 11 equal or more,
+#: and items of fewer tokens wherever they occur whole. Rows are told apart by number, as ids may repeat.
 OP8_SQL = r"""
-WITH dt AS (
-  SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) - 1 AS p
-  FROM (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents)),
-bl AS (
-  SELECT item_id, w, len(w) AS n
-  FROM (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark)
-  WHERE len(w) >= 13),
-bt AS (SELECT item_id, n, unnest(w) AS token, generate_subscripts(w, 1) - 1 AS q FROM bl),
-m AS (SELECT doc_id, item_id, n, p - q AS diagonal, q FROM dt JOIN bt USING (token)),
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+b AS (
+  SELECT row_number() OVER () AS k, item_id, w, len(w) AS n
+  FROM (SELECT DISTINCT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark)),
+dt AS (SELECT r, unnest(w) AS token, generate_subscripts(w, 1) - 1 AS p FROM d),
+bt AS (SELECT k, n, unnest(w) AS token, generate_subscripts(w, 1) - 1 AS q FROM b WHERE n >= 13),
+m AS (SELECT r, k, n, p - q AS diagonal, q FROM dt JOIN bt USING (token)),
 around AS (
-  SELECT *, count(*) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY q RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS c FROM m),
-live AS (SELECT DISTINCT doc_id, item_id, diagonal FROM around WHERE c >= 11),
+  SELECT *, count(*) OVER (PARTITION BY r, k, diagonal ORDER BY q RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS c FROM m),
+live AS (SELECT DISTINCT r, k, diagonal FROM around WHERE c >= 11),
 windows AS (
-  SELECT doc_id, item_id, diagonal, unnest(generate_series(greatest(q - 12, 0), least(q, n - 13))) AS s
-  FROM m JOIN live USING (doc_id, item_id, diagonal)),
-counted AS (SELECT doc_id, item_id, diagonal, s, count(*) AS c FROM windows GROUP BY ALL)
-SELECT doc_id, item_id, max(c)::INTEGER AS matched, min(s + diagonal)::INTEGER AS first_word
-FROM counted WHERE c >= 11 GROUP BY doc_id, item_id
+  SELECT r, k, diagonal, unnest(generate_series(greatest(q - 12, 0), least(q, n - 13))) AS s
+  FROM m JOIN live USING (r, k, diagonal)),
+counted AS (SELECT r, k, diagonal, s, count(*) AS c FROM windows GROUP BY ALL),
+places AS (
+  SELECT d.r, b.k, b.n, d.w, b.w AS item, unnest(generate_series(0, len(d.w) - b.n)) AS p
+  FROM d JOIN b ON b.n BETWEEN 1 AND 12 AND len(d.w) >= b.n),
+found AS (
+  SELECT r, k, c, s + diagonal AS p FROM counted WHERE c >= 11
+  UNION ALL SELECT r, k, n, p FROM places WHERE w[p + 1 : p + n] = item)
+SELECT doc_id, item_id, max(c)::INTEGER AS matched, min(p)::INTEGER AS first_word
+FROM found JOIN d USING (r) JOIN b USING (k) GROUP BY doc_id, item_id
 """
 
 

@@ -173,6 +173,12 @@ def test_rollup(spark):
         rollup.commit("../x", token_rollup.inserts(counts))
 
 
+@pytest.mark.parametrize("flagged", [500_000, 0])
+def test_op2_by_either_plan(spark, monkeypatch, flagged):
+    monkeypatch.setattr(queries, "FLAGGED", flagged)
+    test_op2_against_brute_force(spark)
+
+
 def test_op2_against_brute_force(spark):
     enc = bpe_codec.Codec(bpe_codec.load_ranks(public_tokenizers.path(queries.RANKS)), public_tokenizers.PATTERN)
     docs = duckdb.sql(f"SELECT d.doc_id, text, source, lang, quality, toxic FROM '{SF}/documents.parquet' d LEFT JOIN '{SF}/labels.parquet' l ON d.doc_id = l.doc_id").fetchall()
@@ -275,6 +281,19 @@ def test_decontamination_of_repetitive_texts_by_any_plan(spark, monkeypatch, blo
     assert got == want
 
 
+def test_decontamination_sql_with_short_and_repeated_items(spark):
+    rng = np.random.default_rng(12)
+    item = [f"w{i}" for i in range(25)]
+    docs = [(1, " ".join(item)), (1, "x " + " ".join(item[:14])), (2, "too short, and too short"), (None, "a Too-short " + " ".join(item)), (3, None), (4, ""), (5, " ".join(rng.choice(item, 90)))]
+    bench = [(0, " ".join(item)), (0, " ".join(item)), (0, "too short"), (7, "too short"), (8, None), (9, " ".join(item[3:15]))]
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": pa.array([i for i, _ in docs], pa.int64()), "text": [x for _, x in docs]}))
+    con.register("benchmark", pa.table({"item_id": [i for i, _ in bench], "text": [x for _, x in bench]}))
+    want = con.execute(queries.OP8_SQL).fetchall()
+    got = decontam.find_contamination(frame(spark, docs), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, want)) and len(want) >= 7
+
+
 def test_decontamination_by_short_items(spark):
     twelve = " ".join(f"t{i}" for i in range(12))
     docs = [(1, "so Too, SHORT it is: too short"), (2, "short too"), (3, "x " + twelve), (4, twelve.replace("t7", "u")), (5, "too"), (None, "too short"), (6, None), (7, "世界")]
