@@ -13,7 +13,7 @@ Each id takes the fewest bits that hold the vocabulary. A shard file is
 so numpy unpacks a block, or one document of it, without the rest. Documents are
 range-partitioned and sorted by id; a task writes shards of ``SHARD_IDS`` ids.
 Global starts are prefix sums over the shard headers, a table as long as there
-are shards.
+are shards, read from the first bytes of each file.
 
 The tokenizer drops white space, so ids of a text are the ids of its blank-
 separated words in turn: a bounded memo per Python worker keeps the ids of words
@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_path, materialise, read_blobs, split_words, text_chunks, write_blobs
+from .common import fresh_path, read_blobs, read_head, split_words, text_chunks, write_blobs
 
 MAGIC = b"BPK1"
 HEAD = struct.Struct("<4sHHQQQq24x")
@@ -356,18 +356,28 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
     return read_blobs(spark, path).select("path", "content").mapInArrow(run, schema)
 
 
+def ids_inside(uri: str) -> int:
+    """The number of ids in a shard file, by its header."""
+    return HEAD.unpack(read_head(uri, HEAD.size))[4]
+
+
 def token_index(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 for every document in the files."""
-    rows = materialise(read_tokens(spark, path), "token_rows")
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [ids_inside(uri) for uri in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_pydict({"shard": batch.column(0), "ids": pa.array(ids, pa.int64())})
+
     # parts are in order of their number, files of a part in order of theirs
-    shards = rows.groupBy("shard").agg(F.sum("n_tokens").alias("ids"))
+    shards = read_blobs(spark, path).select("path").mapInArrow(heads, "shard string, ids long")
     shards = shards.select("shard", "ids", F.regexp_extract("shard", r"part-(\d+)", 1).cast("long").alias("part"), F.regexp_extract("shard", r"-c(\d+)\.[^/]*$", 1).cast("long").alias("piece"))
     within = Window.partitionBy("part").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     # one row for each writing task, so this window is small
     parts = shards.groupBy("part").agg(F.sum("ids").alias("n"))
     parts = parts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     base = shards.withColumn("inside", F.coalesce(F.sum("ids").over(within), F.lit(0))).join(parts, "part").select("shard", (F.col("before") + F.col("inside")).alias("base"))
-    return rows.join(base, "shard").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
+    return read_tokens(spark, path).join(base, "shard").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def write_and_index(docs: DataFrame, tokenizer_path: str, end_id: int = 1) -> DataFrame:
