@@ -249,3 +249,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+def text_slices(batch: pa.RecordBatch, column: int, limit: int = 4 * CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of a batch with about ``limit`` bytes of a text column each, one row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends, at = np.cumsum(sizes), 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
+def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets from 0, bytes) of a text column; null is empty."""
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    _, off, buf = texts.buffers()
+    offsets = np.frombuffer(off, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    data = np.frombuffer(buf, np.uint8) if buf is not None and buf.size else np.zeros(0, np.uint8)
+    return offsets - offsets[0], data[offsets[0] : offsets[-1]]
