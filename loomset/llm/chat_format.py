@@ -48,22 +48,25 @@ class Template:
     learn: frozenset[str] = frozenset({"assistant"})
 
     def __post_init__(self) -> None:
+        if not all(m.strip(" ") for m in self.marks):
+            raise ValueError("a mark must not be blank")
         controls = self.controls
         firsts = {c[0] for c in controls}
         for c in controls:
             if set(c[1:]) & (firsts | {"\\", " "}) or c[0] == "\\" or len(c) < 2:
                 raise ValueError(f"mark {c!r}: its first character and backslashes must not occur further on")
         openings = [*(a for a, _ in self.roles.values()), self.other[0]]
-        for mark in [m for pair in self.roles.values() for m in pair] + list(self.other):
-            if mark.strip(" ") not in controls or not mark.strip(" "):
-                raise ValueError("a mark is one control string, with blanks around it or not")
         if any(a != b and a.startswith(b) for a in openings for b in openings) or len(set(openings)) < len(openings):
             raise ValueError("no opening mark may begin with another one")
 
+    @property
+    def marks(self) -> list[str]:
+        return [m for pair in self.roles.values() for m in pair] + list(self.other)
+
     @property
     def controls(self) -> list[str]:
-        every = [m for pair in self.roles.values() for m in pair] + list(self.other)
-        return sorted({m.strip(" ") for m in every})
+        """The marks without the blanks around them: what must not occur in a content."""
+        return sorted({m.strip(" ") for m in self.marks})
 
     def patterns(self) -> list[tuple[str, str]]:
         """(first character, pattern of the backslashes and the rest) of the control strings."""
