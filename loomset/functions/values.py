@@ -14,8 +14,10 @@ VIDEO_EXTENSIONS = [".zip", ".mp4", ".webm", ".swf"]
 
 
 def lenient_int(col: Column) -> Column:
-    """Through double to long, zero where that fails ('12.7' is 12, 'abc' is 0)."""
-    return F.coalesce(col.try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
+    """Long, from other text through double, zero where that fails ('12.7' is 12, 'abc' is 0).
+
+    Text that is an integer stays exact beyond 2**53."""
+    return F.coalesce(col.try_cast("bigint"), col.try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def strict_int(col: Column, missing: int) -> Column:

@@ -76,6 +76,12 @@ def removal_statistics(outcomes: DataFrame) -> DataFrame:
     )
 
 
+def with_sidecar_path(pictures: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Pictures of an inventory with json_path, the .json of the same folder and stem, null without one."""
+    found = inventory.where(F.col("ext") == ".json").groupBy("dir", "stem").agg(F.min("path").alias("json_path"))
+    return pictures.join(found, ["dir", "stem"], "left")
+
+
 def removal_plan(classes: DataFrame, orphans: bool = True) -> DataFrame:
     gone = ["corrupt", *(["orphan_image", "orphan_json"] if orphans else [])]
     return classes.where(F.col("class").isin(*gone)).withColumn("action", F.lit("delete"))

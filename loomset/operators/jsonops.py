@@ -1,63 +1,48 @@
-"""Keyword search and flattening of arbitrary JSON."""
+"""Keyword search, flattening and editing of arbitrary JSON, by built-in expressions."""
 
 from __future__ import annotations
 
-import json
 import re
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import jsontext
+
+# blanks as the replaced tools strip them: white space and the four separators below it
+_BLANK = r"[\s\x1c-\x1f]"
+
 
 def contains_keyword(text: Column, keyword: str, mode: str = "value") -> Column:
     """True where a string value anywhere in the JSON equals the keyword.
 
-    Trimmed, any case; keys don't count. Text that is not JSON is searched for
-    the quoted keyword. ``token`` compares the words of string values instead.
-    Depth is arbitrary, which built-in functions can't express: an Arrow batch
-    function, behind a cheap native containment test.
+    Trimmed, any case; keys don't count. Text that is not JSON is searched for the
+    quoted keyword. ``token`` compares the words of string values instead. Null and
+    empty texts hold nothing. A cheap containment test goes first.
     """
     wanted = keyword.strip().lower()
-    loose = re.compile(r'"\s*' + re.escape(wanted) + r'\s*"(?=[,\]}])', re.IGNORECASE)
-
-    def inside(value) -> bool:
-        stack = [value]
-        while stack:
-            x = stack.pop()
-            if isinstance(x, str):
-                if (wanted in x.lower().split()) if mode == "token" else x.strip().lower() == wanted:
-                    return True
-            elif isinstance(x, dict):
-                stack += x.values()
-            elif isinstance(x, list):
-                stack += x
-        return False
-
-    def one(t: str | None) -> bool:
-        if not t:
-            return False
-        try:
-            return inside(json.loads(t.removeprefix("﻿")))
-        except (ValueError, RecursionError):
-            return bool(loose.search(t))
-
-    @F.pandas_udf("boolean")
-    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield s.map(one, na_action=None).astype(bool)
-
+    clean = jsontext.without_mark(text)
+    if mode == "token":
+        same = lambda x: F.array_contains(F.split(F.lower(x), f"(?U){_BLANK}+"), wanted)
+    else:
+        same = lambda x: F.lower(F.regexp_replace(x, rf"(?U)\A{_BLANK}+|{_BLANK}+\z", "")) == wanted
+    loose = clean.rlike(rf'(?iU)"\s*{re.escape(wanted)}\s*"(?=[,\]}}])')
     likely = F.lower(text).contains(wanted) | text.contains("\\")
-    return F.when(likely, search(text)).otherwise(F.lit(False))
+    inside = F.when(jsontext.is_json(clean), F.exists(jsontext.string_values(clean), same)).otherwise(loose)
+    return F.coalesce(F.when(likely & (text != ""), inside), F.lit(False))
 
 
 def flatten_objects(rows: DataFrame, text_col: str) -> DataFrame:
-    """(file, key, value) of every object, or object in a list, per JSON text; bad JSON yields nothing."""
-    clean = F.regexp_replace(F.col(text_col), "^﻿", "")
-    obj = F.from_json(clean, "map<string,string>")
-    many = F.from_json(clean, "array<map<string,string>>")
-    objects = F.when(F.ltrim(clean).startswith("["), many).otherwise(F.array(obj))
+    """(item, key, value) of every object, or object in a list, per JSON text.
+
+    Other things in a list are passed over, and items are numbered without them; bad
+    JSON yields nothing. Nested values are JSON text, null is null."""
+    clean = jsontext.without_mark(F.col(text_col))
+    of_object = lambda x: F.from_json(x, "map<string,string>")
+    elements = F.filter(F.from_json(clean, "array<variant>"), lambda v: F.schema_of_variant(v).startswith("OBJECT"))
+    # a variant takes no object with a repeated key; the plain map does
+    many = F.coalesce(F.transform(elements, lambda v: of_object(F.to_json(v))), F.from_json(clean, "array<map<string,string>>"))
+    objects = F.when(jsontext.is_json(clean), F.when(F.ltrim(clean).startswith("["), many).when(F.ltrim(clean).startswith("{"), F.array(of_object(clean))))
     one = rows.select(*[c for c in rows.columns if c != text_col], F.posexplode(objects).alias("item", "_o")).where(F.col("_o").isNotNull())
     return one.select(*[c for c in one.columns if c != "_o"], F.explode("_o").alias("key", "value"))
 
@@ -68,6 +53,5 @@ def to_table(flat: DataFrame, by: list[str], keys: list[str]) -> DataFrame:
 
 
 def patch_file_name(text: Column, new_name: Column) -> Column:
-    """The JSON object with its file_name replaced."""
-    plain = F.from_json(text, "map<string,string>")
-    return F.to_json(F.map_concat(F.map_filter(plain, lambda k, v: k != "file_name"), F.create_map(F.lit("file_name"), new_name)))
+    """The JSON object with its file_name replaced or added, the rest as it was; null for anything else."""
+    return jsontext.set_member(text, "file_name", jsontext.quoted(new_name))

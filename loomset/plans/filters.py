@@ -11,6 +11,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import tags, values
 
@@ -49,7 +50,8 @@ class ColumnBinding:
                 col = F.coalesce(F.lower(col.cast("string")), F.lit(""))
             elif name in ("score", "width", "height"):
                 if number_policy == "zero":
-                    col = values.lenient_int(col.cast("string"))
+                    whole = isinstance(df.schema[source].dataType, T.IntegralType)
+                    col = F.coalesce(col.cast("bigint"), F.lit(0).cast("bigint")) if whole else values.lenient_int(col.cast("string"))
                 else:
                     col = values.strict_int(col, -1 if name == "score" else 0)
             out.append(col.alias(name))
@@ -139,6 +141,34 @@ class FilterSpec:
     def apply(self, df: DataFrame) -> DataFrame:
         return df.where(self.column(df.columns))
 
+    def bounds(self) -> dict[str, tuple[int | None, int | None]]:
+        """Least and greatest value of each numeric column that the filter bounds."""
+        found = {"score": (self.min_score, None)}
+        for name in ("width", "height"):
+            if self.square:
+                found[name] = self.min_square, None
+            else:
+                low, high = getattr(self, f"min_{name}"), getattr(self, f"max_{name}")
+                found[name] = low if low > 0 else None, high if high > 0 else None
+        return {k: v for k, v in found.items() if v != (None, None)}
+
+    def apply_raw(self, df: DataFrame, binding: ColumnBinding, number_policy: str = "zero", required: tuple[str, ...] = ()) -> DataFrame:
+        """Canonical rows of ``df`` that pass; bounds on integer columns are also stated
+        on the columns as stored, so that a scan skips row groups by its statistics.
+
+        Such a comparison follows from the filter, which still decides: a null stands
+        for zero (or for -1, a missing score by the other policy), so it stays where
+        that may pass."""
+        for name, (low, high) in self.bounds().items():
+            source = getattr(binding, name)
+            if source is None or source not in df.columns or not isinstance(df.schema[source].dataType, T.IntegralType):
+                continue
+            col, null = F.col(source), -1 if number_policy != "zero" and name == "score" else 0
+            for limit, stated, passes in ((low, col >= low, low is not None and null >= low), (high, col <= high, high is not None and null <= high)):
+                if limit is not None:
+                    df = df.where(stated | col.isNull() if passes else stated)
+        return self.apply(binding.canonical(df, number_policy, required))
+
     def with_(self, **changes) -> FilterSpec:
         return replace(self, **changes)
 

@@ -36,9 +36,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _rated(spark: SparkSession, sf_dir: str) -> DataFrame:
     rating = F.when(F.col("lang") == "en", "s").when(F.col("lang") == "de", "Q").when(F.col("lang") == "fr", "explicit").otherwise("nsfw")
-    return DOCUMENTS.canonical(read(spark, sf_dir, "documents").withColumn("lang_rating", rating))
+    return read(spark, sf_dir, "documents").withColumn("lang_rating", rating)
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DOCUMENTS.canonical(_rated(spark, sf_dir))
 
 
 # rating stand-in in SQL
@@ -49,7 +53,7 @@ _SB, _SE = r"(^|\s)", r"(\s|$)"
 
 
 def _tagged(spark, sf_dir, spec: FilterSpec) -> DataFrame:
-    return spec.apply(documents(spark, sf_dir)).select("id", "score")
+    return spec.apply_raw(_rated(spark, sf_dir), DOCUMENTS).select("id", "score")
 
 
 def _where(predicate: str) -> str:
