@@ -14,8 +14,8 @@ def by_id(items: DataFrame, files_per_shard: int, key: str = "id") -> DataFrame:
     return items.withColumn("shard", shard_name(F.col(key), files_per_shard))
 
 
-def global_rank(df: DataFrame, key: str, name: str = "rank") -> DataFrame:
-    """Rank from 0 in ascending key order without a one-partition window: buckets
+def global_rank(df: DataFrame, key: str, name: str = "rank", ties: tuple[str, ...] = ()) -> DataFrame:
+    """Rank from 0 in ascending order of a numeric key, then of ``ties``, without a one-partition window: buckets
     of the sorted key are counted first and their offsets joined back.
 
     Buckets are ranges between quantiles of the key, so outliers don't crowd the
@@ -35,17 +35,20 @@ def global_rank(df: DataFrame, key: str, name: str = "rank") -> DataFrame:
     sizes = bucketed.groupBy("_b").agg(F.count("*").alias("_n"))
     # as many rows as buckets, a fixed number
     before = sizes.withColumn("_o", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    inner = F.row_number().over(Window.partitionBy("_b").orderBy(key)) - 1
+    inner = F.row_number().over(Window.partitionBy("_b").orderBy(key, *ties)) - 1
     return bucketed.join(F.broadcast(before), "_b").withColumn(name, (F.col("_o") + inner).cast("bigint")).drop("_b", "_o")
 
 
-def by_count(items: DataFrame, assigned: DataFrame, files_per_shard: int, current_index: int = 0, current_count: int = 0, key: str = "id") -> DataFrame:
-    """Known ids keep their shard; new ids fill the current shard, then the next ones."""
+def by_count(items: DataFrame, assigned: DataFrame, files_per_shard: int, current_index: int = 0, current_count: int = 0, key: str = "id", arrival: str | None = None) -> DataFrame:
+    """Known ids keep their shard; new ids fill the current shard, then the next ones, in
+    the order of ``arrival``, a number (of ties the smaller id first).
+
+    Rows of a table have no order of their own: without ``arrival`` it is that of the ids."""
     if current_count >= files_per_shard:
         current_index, current_count = current_index + 1, 0
     known = items.join(assigned.select(key, "shard"), key, "left")
     old = known.where(F.col("shard").isNotNull())
-    new = global_rank(known.where(F.col("shard").isNull()).drop("shard"), key)
+    new = global_rank(known.where(F.col("shard").isNull()).drop("shard"), arrival or key, ties=(key,) if arrival else ())
     shard = F.lit(current_index) + floor_div(F.col("rank") + current_count, files_per_shard)
     return old.withColumn("shard", F.col("shard").cast("bigint")).unionByName(new.withColumn("shard", shard.cast("bigint")).drop("rank"))
 

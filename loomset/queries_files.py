@@ -14,9 +14,10 @@ from .functions import jsontext, values
 from .operators import audit, jsonops
 from .plans.filters import ColumnBinding, FilterSpec
 from .queries import read
-from .queries_io import QUERIES, SQL, _part, _store, query
-from .sinks import actions, outputs
+from .queries_io import QUERIES, SQL, _part, _store, packed_tars, query
+from .sinks import actions, compaction, outputs, snapshots
 from .sources import files, state, verify
+from .streaming import shard_stream
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -190,3 +191,78 @@ def numbers_beyond_doubles(spark, sf_dir):
     score = F.when(k == 0, exact.cast("string")).when(k == 1, F.concat(key.cast("string"), F.lit(".75"))).otherwise("many")
     bound = ColumnBinding("big", None, None, None, None, None, "said", None, None, None, None)
     return FilterSpec(min_score=100).apply_raw(read(spark, sf_dir, "orders").select(exact.alias("big"), score.alias("said")), bound)
+
+
+# ------------------------------------------------------------- manifests and state
+@query("""SELECT 't' || k || '.tar' AS archive, p_partkey AS image_id, CASE WHEN k = 3 THEN 'in/' || p_partkey || '.png' WHEN k IN (6, 7) THEN 'in/' || p_partkey || '.jpg' ELSE p_partkey || '.jpg' END AS inner_path
+ FROM (SELECT *, p_partkey % 9 AS k FROM part)""")
+def manifest_cascade(spark, sf_dir):
+    """Five shapes of manifest; an empty first and a broken second give way to the third, of
+    two usable ones the first counts, and archives without any are opened for their headers.
+    Those with one hold no tar data at all."""
+    at = state.scratch(spark, "cascade")
+    rows = _part(spark, sf_dir).select((F.col("id") % 9).cast("int").alias("k"), "id", "name")
+    packed_tars(rows.where("k IN (6, 7)"), at)
+    i = F.col("id").cast("string")
+    name = F.concat(i, F.lit(".jpg"))
+    lists = rows.groupBy("k").agg(F.collect_list(name).alias("names"), F.map_from_entries(F.collect_list(F.struct(i, F.concat(F.lit("in/"), i, F.lit(".png"))))).alias("paths"))
+    detail = F.map_from_arrays("names", F.transform("names", lambda n: F.struct(F.length(n).alias("size"))))
+    names, k = F.to_json("names"), F.col("k")
+    wrapped = lambda x: F.concat(F.lit('{"files": '), F.to_json(x), F.lit("}"))
+    first = F.when(k == 0, wrapped(detail)).when(k == 1, wrapped("names")).when(k == 2, F.to_json(detail)).when(k == 3, F.to_json("paths")).when(k == 5, "{}").when(k == 6, '{"files": [').when(k.isin(4, 8), names)
+    second = F.when(k == 5, '["cut short').when(k == 8, F.to_json(F.transform("names", lambda n: F.concat(F.lit("other/"), n))))
+    third = F.when(k == 5, names)
+    texts = [(".json", first), ("_manifest.json", second), ("_files.json", third), (".tar", F.when(~k.isin(6, 7), "no tar"))]
+    made = lists.select("k", F.explode(F.array(*[F.struct(F.lit(e).alias("end"), t.alias("text")) for e, t in texts])).alias("f")).select("k", "f.*").where("text IS NOT NULL")
+    steps = F.array(actions._step("write", F.concat(F.lit(f"{at}/t"), k.cast("string"), F.col("end")), content=F.col("text")))
+    actions.stage(made.select(F.concat(k.cast("string"), "end").alias("item"), steps.alias("steps")), f"{at}.journal")
+    actions.commit(spark, f"{at}.journal")
+    return files.archive_index(spark, at)
+
+
+@query("SELECT o_orderkey AS id, (row_number() OVER (ORDER BY o_orderkey % 3, o_orderkey DESC) - 1) // 1000 AS shard FROM orders")
+def shard_by_arrival(spark, sf_dir):
+    """Three files arrive one by one, each in descending order of ids and with some ids of
+    the one before; the last batch runs twice."""
+    at, key = state.scratch(spark, "arrivals"), F.col("o_orderkey")
+    orders = read(spark, sf_dir, "orders").select(key.alias("id"), (-key).alias("arrival"), (key % 3).alias("k"))
+    for k in range(3):
+        again = orders.where(f"k = {k - 1} AND id % 5 = 0")
+        orders.where(f"k = {k}").unionByName(again).select("id", "arrival").coalesce(1).write.mode("append").parquet(f"{at}/in")
+    stream = spark.readStream.schema("id long, arrival long").option("maxFilesPerTrigger", 1).parquet(f"{at}/in")
+    shard_stream.assign(stream, f"{at}/table", f"{at}/checkpoint", 1000).awaitTermination()
+    last = shard_stream.epochs(spark, f"{at}/table")[-1]
+    shard_stream.assign_batch(orders.where("k = 2").select("id", "arrival"), last, f"{at}/table", 1000, "arrival")
+    return shard_stream.manifest(spark, f"{at}/table")
+
+
+@query("""SELECT doc_id AS id, CASE WHEN toxic = 1 THEN 'missing' ELSE 'completed' END AS status, CASE WHEN toxic = 1 THEN 'missing' ELSE 'completed' END AS compacted,
+ 'completed' AS pinned FROM labels""")
+def status_snapshots(spark, sf_dir):
+    """A reader that took its snapshot before a batch and a compaction goes on reading it;
+    a batch that is committed again counts once."""
+    lab, log = read(spark, sf_dir, "labels").withColumnRenamed("doc_id", "id"), snapshots.status_log(spark, state.scratch(spark, "log"))
+    batch = lambda rows, status, n: rows.select("id", F.lit(status).alias("status"), F.lit(n).cast("long").alias("batch"))
+    log.append(batch(lab, "completed", 1), "1")
+    pinned = snapshots.last_status(log.read())
+    for _ in range(2):
+        log.append(batch(lab.where("toxic = 1"), "missing", 2), "2")
+    before = snapshots.last_status(log.read())
+    log.compact(snapshots.last_status)
+    after = snapshots.last_status(log.read())
+    of = lambda rows, name: rows.select("id", F.col("status").alias(name))
+    return of(before, "status").join(of(after, "compacted"), "id").join(of(pinned, "pinned"), "id")
+
+
+@query("SELECT count(*) AS n, sum(o_orderkey)::BIGINT AS keys, sum(o_custkey)::BIGINT AS customers, true AS even FROM orders")
+def compact_by_size(spark, sf_dir):
+    """Sixteen files of very different sizes become files of one size, each written by a task of its own."""
+    at = state.scratch(spark, "skewed")
+    rows = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.sha2(F.col("o_orderkey").cast("string"), 256).alias("noise"))
+    part = F.least(F.floor(F.log2(1 + F.pmod(F.xxhash64("o_orderkey"), F.lit(65536)).cast("double"))), F.lit(15)).cast("int")
+    rows.repartitionById(16, part).write.option("compression", "zstd").parquet(f"{at}/in")
+    total = compaction.footers(spark, f"{at}/in").agg(F.sum("bytes")).first()[0]
+    bins = compaction.compact_files(spark, f"{at}/in", f"{at}/out", -(-total // 6))
+    sizes = [r["bytes"] for r in compaction.footers(spark, f"{at}/out").collect()]  # six
+    even = len(sizes) == bins == 6 and max(abs(s - total / 6) for s in sizes) <= 0.1 * total / 6
+    return spark.read.parquet(f"{at}/out").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"), F.sum("o_custkey").alias("customers")).withColumn("even", F.lit(even))

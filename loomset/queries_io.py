@@ -46,12 +46,12 @@ def _part(spark, sf_dir) -> DataFrame:
     return read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))
 
 
-@query("SELECT p_partkey AS id, p_name AS name, p_size::VARCHAR AS size FROM part WHERE p_partkey % 3 = 0 UNION ALL SELECT p_partkey, lower(p_name), NULL FROM part WHERE p_partkey % 3 = 1")
+@query("SELECT p_partkey AS id, p_name AS name, p_size::VARCHAR AS size FROM part WHERE p_partkey % 3 = 0 UNION ALL SELECT p_partkey, lower(p_name), NULL FROM part WHERE p_partkey % 3 <> 0")
 def source_parquet_union(spark, sf_dir):
     """Files of different types and columns, a missing one skipped."""
     at, part = state.scratch(spark, "union"), _part(spark, sf_dir)
     part.where("id % 3 = 0").select("id", F.col("name").alias("rating"), F.col("size").cast("string").alias("score")).write.parquet(f"{at}/a")
-    part.where("id % 3 = 1").select(F.col("id").cast("int").alias("id"), F.col("name").alias("rating")).write.parquet(f"{at}/b")
+    part.where("id % 3 <> 0").select(F.col("id").cast("int").alias("id"), F.col("name").alias("rating")).write.parquet(f"{at}/b")
     bound = ColumnBinding("id", None, None, None, None, None, "score", "rating", None, None, None)
     both = tables.parquet_union(spark, [f"{at}/a", f"{at}/none", f"{at}/b"], bound)
     names = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("raw"))
@@ -59,12 +59,13 @@ def source_parquet_union(spark, sf_dir):
     return rows
 
 
-@query("SELECT column_name AS name FROM (DESCRIBE part)")
+@query("SELECT column_name AS name, n FROM (DESCRIBE part), (SELECT count(*) AS n FROM part)")
 def source_parquet_columns(spark, sf_dir):
-    """Column names of a folder of Parquet files, from footers."""
+    """Column names of a folder of Parquet files, from footers, and the rows that have them."""
     at = state.scratch(spark, "columns")
-    read(spark, sf_dir, "part").where("p_partkey < 5").write.parquet(f"{at}/deep/er")
-    return spark.createDataFrame([(c,) for c in tables.parquet_columns(spark, at)], "name string")
+    read(spark, sf_dir, "part").write.parquet(f"{at}/deep/er")
+    names = spark.createDataFrame([(c,) for c in tables.parquet_columns(spark, at)], "name string")
+    return names.join(F.broadcast(tables.parquet_directory(spark, at).agg(F.count("*").alias("n"))), how="cross")
 
 
 @query("SELECT p_brand AS brand, p_partkey AS id FROM part")
@@ -100,43 +101,42 @@ def sharded_json_round_trip(spark, sf_dir):
 
 
 def _sidecars(spark, sf_dir) -> str:
-    """Sidecars of a hundredth of the parts' ids in shard folders; returns the folder."""
+    """A sidecar per part in shard folders; returns the folder."""
     at = state.scratch(spark, "sidecars")
-    rows = _part(spark, sf_dir).where("id <= 200").select(values.shard_name(F.col("id"), 50).alias("shard"), "id", F.to_json(F.struct("id", "name")).alias("json"))
+    rows = _part(spark, sf_dir).select(values.shard_name(F.col("id"), 50).alias("shard"), "id", F.to_json(F.struct("id", "name")).alias("json"))
     outputs.write_sidecars(rows, _store, at).count()
     return at
 
 
-@query("SELECT p_partkey AS id, p_name AS name FROM part WHERE p_partkey <= 200")
+@query("SELECT p_partkey AS id, p_name AS name FROM part")
 def sidecar_files(spark, sf_dir):
     """A file per item, renamed into place, then read as a JSON tree."""
     texts = files.json_texts(spark, _sidecars(spark, sf_dir)).select(F.from_json("text", "id long, name string").alias("o"))
     return texts.select("o.*")
 
 
-@query("SELECT p_partkey AS id, printf('shard_%05d', p_partkey // 50) AS shard FROM part WHERE p_partkey <= 200")
+@query("SELECT p_partkey AS id, printf('shard_%05d', p_partkey // 50) AS shard FROM part")
 def inventory_shard_ids(spark, sf_dir):
     return files.shard_ids(files.inventory(spark, _sidecars(spark, sf_dir), True), "json")
 
 
-@query("SELECT p_partkey || '.json' AS name FROM part WHERE p_partkey <= 200")
+@query("SELECT p_partkey || '.json' AS name FROM part")
 def inventory_by_extension(spark, sf_dir):
     return files.listed(files.inventory(spark, _sidecars(spark, sf_dir), True), [".json"]).select("name")
 
 
-@query("SELECT p_partkey AS id, printf('shard_%05d', p_partkey // 50) AS shard FROM part WHERE p_partkey <= 100")
+@query("SELECT p_partkey AS id, printf('shard_%05d', p_partkey // 50) AS shard FROM part")
 def pair_files(spark, sf_dir):
     """Image and sidecar of an item written together; any file with a digit stem counts."""
     at = state.scratch(spark, "pairs")
-    rows = _part(spark, sf_dir).where("id <= 100").select(values.shard_name(F.col("id"), 50).alias("shard"), "id", F.lit(".png").alias("ext"), F.encode("name", "UTF-8").alias("content"), F.lit("{}").alias("json"))
+    rows = _part(spark, sf_dir).select(values.shard_name(F.col("id"), 50).alias("shard"), "id", F.lit(".png").alias("ext"), F.encode("name", "UTF-8").alias("content"), F.lit("{}").alias("json"))
     outputs.write_pairs(rows, _store, at).count()
     found = files.inventory(spark, at, True)
     return files.shard_ids(found, "any").join(files.shard_ids(found), ["id", "shard"]).join(files.shard_ids(found, "json"), ["id", "shard"])
 
 
-def _tars(spark, sf_dir) -> str:
-    at = state.scratch(spark, "tars")
-    rows = _part(spark, sf_dir).where("id <= 300").select((F.col("id") % 4).cast("int").alias("k"), "id", "name")
+def packed_tars(rows: DataFrame, at: str) -> None:
+    """An archive t{k}.tar of each k of (k, id, name) with a member in/{id}.jpg per row."""
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         data = io.BytesIO()
@@ -152,10 +152,16 @@ def _tars(spark, sf_dir) -> str:
         return pd.DataFrame({"k": [group["k"].iloc[0]]})
 
     rows.groupBy("k").applyInPandas(pack, "k int").count()
+
+
+def _tars(spark, sf_dir) -> str:
+    """An archive per 500 parts."""
+    at = state.scratch(spark, "tars")
+    packed_tars(_part(spark, sf_dir).select(F.floor(F.col("id") / 500).cast("int").alias("k"), "id", "name"), at)
     return at
 
 
-_TAR = "SELECT 't' || p_partkey % 4 || '.tar' AS archive, 'in/' || p_partkey || '.jpg' AS member, strlen(p_name)::BIGINT AS size, row_number() OVER (PARTITION BY p_partkey % 4 ORDER BY p_partkey) - 1 AS pos, p_partkey AS image_id FROM part WHERE p_partkey <= 300"
+_TAR = "SELECT 't' || p_partkey // 500 || '.tar' AS archive, 'in/' || p_partkey || '.jpg' AS member, strlen(p_name)::BIGINT AS size, row_number() OVER (PARTITION BY p_partkey // 500 ORDER BY p_partkey) - 1 AS pos, p_partkey AS image_id FROM part"
 
 
 @query(_TAR)
@@ -172,11 +178,11 @@ def index_cache_statistics(spark, sf_dir):
     return archive.index_statistics(state.index_cache(spark, at))
 
 
-@query("SELECT p_partkey AS image_id, 't' || (p_partkey + CASE WHEN p_partkey % 7 = 0 THEN 1 ELSE 0 END) % 5 || '.tar' AS archive, NULL::VARCHAR AS inner_path FROM part WHERE p_partkey <= 500")
+@query("SELECT p_partkey AS image_id, 't' || (p_partkey + CASE WHEN p_partkey % 7 = 0 THEN 1 ELSE 0 END) % 5 || '.tar' AS archive, NULL::VARCHAR AS inner_path FROM part")
 def cached_index_import(spark, sf_dir):
     """Cache files of the replaced tools: keys with an extension, repeated ids (the last wins), keys that are no id."""
     i = F.col("p_partkey")
-    rows = read(spark, sf_dir, "part").where("p_partkey <= 500").select(i.alias("id"), F.concat(F.lit("t"), (i % 5).cast("string"), F.lit(".tar")).alias("tar"), F.concat(F.lit("t"), ((i + 1) % 5).cast("string"), F.lit(".tar")).alias("next"))
+    rows = read(spark, sf_dir, "part").select(i.alias("id"), F.concat(F.lit("t"), (i % 5).cast("string"), F.lit(".tar")).alias("tar"), F.concat(F.lit("t"), ((i + 1) % 5).cast("string"), F.lit(".tar")).alias("next"))
     own = F.struct(F.col("id").cast("string").alias("key"), F.col("tar").alias("value"))
     more = F.when(F.col("id") % 7 == 0, F.struct(F.concat(F.col("id").cast("string"), F.lit(".jpg")).alias("key"), F.col("next").alias("value")))
     odd = F.struct(F.concat(F.lit("d/"), F.col("id").cast("string"), F.lit(".jpg")).alias("key"), F.col("tar").alias("value"))
@@ -184,36 +190,36 @@ def cached_index_import(spark, sf_dir):
     return state.cached_index(texts)
 
 
-@query("SELECT 'a.tar' AS archive, p_partkey AS image_id, CASE p_partkey % 3 WHEN 2 THEN 'in/' || p_partkey || '.png' ELSE p_partkey || '.jpg' END AS inner_path FROM part WHERE p_partkey <= 300")
+@query("SELECT 'a.tar' AS archive, p_partkey AS image_id, CASE p_partkey % 3 WHEN 2 THEN 'in/' || p_partkey || '.png' ELSE p_partkey || '.jpg' END AS inner_path FROM part")
 def manifest_import(spark, sf_dir):
     """Manifests that list names, map names to details, or map ids to paths."""
     i = F.col("p_partkey").cast("string")
     name = F.concat(i, F.lit(".jpg"))
     shape = F.when(F.col("p_partkey") % 3 == 0, F.to_json(F.struct(F.array(name).alias("files")))).when(F.col("p_partkey") % 3 == 1, F.to_json(F.map_from_arrays(F.array(name), F.array(F.struct(F.lit(1).alias("size")))))).otherwise(F.to_json(F.map_from_arrays(F.array(i), F.array(F.concat(F.lit("in/"), i, F.lit(".png"))))))
-    return files.manifest_entries(read(spark, sf_dir, "part").where("p_partkey <= 300").select(shape.alias("text")), F.lit("a.tar"))
+    return files.manifest_entries(read(spark, sf_dir, "part").select(shape.alias("text")), F.lit("a.tar"))
 
 
-@query("SELECT p_partkey AS id, CASE WHEN p_partkey <= 500 THEN p_partkey // 100 ELSE 5 + (p_partkey - 501 + 1) // 100 END AS shard FROM part WHERE p_partkey <= 900")
+@query("SELECT p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN p_partkey // 200 ELSE (row_number() OVER (PARTITION BY p_partkey % 2 ORDER BY p_partkey) - 1 + (SELECT max(p_partkey) FILTER (p_partkey % 2 = 0) // 2 + 1 FROM part)) // 100 END AS shard FROM part")
 def shard_manifest_resume(spark, sf_dir):
     """Known ids keep their shard after the manifest is written and read back; new ids go on in the last one."""
-    at, ids = state.scratch(spark, "manifest"), _part(spark, sf_dir).where("id <= 900").select("id")
-    outputs.write_manifest(ids.where("id <= 500").withColumn("shard", F.floor(F.col("id") / 100)), at)
+    at, ids = state.scratch(spark, "manifest"), _part(spark, sf_dir).select("id")
+    outputs.write_manifest(ids.where("id % 2 = 0").withColumn("shard", F.floor(F.col("id") / 200)), at)
     known = spark.read.schema("id long, shard long").parquet(at)
     return shards.by_count(ids, known, 100, *state.manifest_state(known))
 
 
-@query("SELECT p_partkey AS id, p_partkey // 70 AS shard FROM part WHERE p_partkey <= 400")
+@query("SELECT p_partkey AS id, p_partkey // 70 AS shard FROM part")
 def shard_manifest_import(spark, sf_dir):
-    rows = _part(spark, sf_dir).where("id <= 400").select(F.to_json(F.struct(F.map_from_arrays(F.array(F.col("id").cast("string")), F.array(F.floor(F.col("id") / 70))).alias("id_to_shard"))).alias("text"))
+    rows = _part(spark, sf_dir).select(F.to_json(F.struct(F.map_from_arrays(F.array(F.col("id").cast("string")), F.array(F.floor(F.col("id") / 70))).alias("id_to_shard"))).alias("text"))
     return state.shard_manifest(rows)
 
 
-@query("SELECT p_partkey AS id, p_partkey // 50 AS shard FROM part WHERE p_partkey <= 300 AND p_partkey % 4 <> 0")
+@query("SELECT p_partkey AS id, p_partkey // 50 AS shard FROM part WHERE p_partkey % 4 <> 0")
 def shard_manifest_rebuild(spark, sf_dir):
     """From an inventory: images in shard folders, other names and types left out."""
     k = F.col("id")
     ext = F.when(k % 4 == 0, ".json").when(k % 4 == 1, ".png").otherwise(".jpg")
-    found = _part(spark, sf_dir).where("id <= 300").select(values.shard_name(k, 50).alias("shard"), k.cast("string").alias("stem"), ext.alias("ext"))
+    found = _part(spark, sf_dir).select(values.shard_name(k, 50).alias("shard"), k.cast("string").alias("stem"), ext.alias("ext"))
     odd = found.where("stem % 5 = 0").select(F.lit("other").alias("shard"), F.concat(F.lit("x"), "stem").alias("stem"), "ext")
     return state.rebuilt_manifest(found.unionByName(odd))
 
@@ -381,12 +387,14 @@ def extraction_order(spark, sf_dir):
     return archive.extraction_order(rows).select("archive", "id").mapInPandas(number, "archive string, id long, place long")
 
 
-@query("""WITH a AS (SELECT 'd' || p_partkey * 37 || '.tar' AS archive FROM part WHERE p_partkey <= 60)
- SELECT o_orderkey AS id, (SELECT min(archive) FROM a WHERE contains(archive, o_orderkey::VARCHAR) OR contains(archive, substr(o_orderkey::VARCHAR, 1, 3))) AS archive FROM orders WHERE o_orderkey <= 2000""")
+@query("""WITH a AS (SELECT 'd' || p_partkey * 37 || '.tar' AS archive, (p_partkey * 37)::VARCHAR AS digits FROM part),
+ p AS (SELECT archive, substr(digits, i, n) AS piece FROM a, range(1, 20) AS x(i), range(1, 20) AS y(n) WHERE i + n - 1 <= length(digits)),
+ f AS (SELECT piece, min(archive) AS archive FROM p GROUP BY piece)
+ SELECT o_orderkey AS id, least(w.archive, h.archive) AS archive FROM orders LEFT JOIN f w ON w.piece = o_orderkey::VARCHAR LEFT JOIN f h ON h.piece = substr(o_orderkey::VARCHAR, 1, 3)""")
 def archive_by_name(spark, sf_dir):
     """The guess by name: an archive whose digits hold the id or its first three digits."""
-    names = _part(spark, sf_dir).where("id <= 60").select(F.concat(F.lit("d"), (F.col("id") * 37).cast("string"), F.lit(".tar")).alias("archive"))
-    return archive.resolve_by_name(read(spark, sf_dir, "orders").where("o_orderkey <= 2000").select(F.col("o_orderkey").alias("id")), names)
+    names = _part(spark, sf_dir).select(F.concat(F.lit("d"), (F.col("id") * 37).cast("string"), F.lit(".tar")).alias("archive"))
+    return archive.resolve_by_name(read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")), names)
 
 
 @query("""SELECT p_partkey AS id, CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 5 = 1 THEN p_size END::INTEGER AS width, CASE WHEN p_partkey % 5 = 1 THEN 7 END::INTEGER AS height,
@@ -452,3 +460,6 @@ def next_progress_counts(spark, sf_dir):
     lab = read(spark, sf_dir, "labels").withColumnRenamed("doc_id", "id")
     states = reconcile.reconcile(lab, lab.where("id < 0"), lab.where("quality = 1"))
     return reconcile.next_progress(states).groupBy("status").agg(F.count("*").alias("n"))
+
+
+from . import queries_files  # noqa: E402, F401  registers its queries; it builds on the helpers above

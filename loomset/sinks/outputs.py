@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .compaction import compact_files
+
 
 def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
@@ -67,9 +69,19 @@ def write_review(df: DataFrame, path: str) -> None:
 
 
 def compact_parquet(df: DataFrame, path: str, target_bytes: int = 512 << 20, total_bytes: int | None = None) -> None:
-    """Zstd Parquet in as few files as the target size allows (one for small inputs)."""
-    files = max(1, -(-(total_bytes or 0) // target_bytes))
-    df.coalesce(files).write.mode("overwrite").option("compression", "zstd").parquet(path)
+    """Zstd Parquet in as few files as the target size allows.
+
+    Without a known size the rows are written as they come, beside the path, and their
+    files compacted by size (:func:`loomset.sinks.compaction.compact_files`)."""
+    if total_bytes is not None:
+        files = max(1, -(-total_bytes // target_bytes))
+        df.repartition(files).write.mode("overwrite").option("compression", "zstd").parquet(path)
+        return
+    draft = f"{path.rstrip('/')}.draft"
+    df.write.mode("overwrite").option("compression", "zstd").parquet(draft)
+    compact_files(df.sparkSession, draft, path, target_bytes)
+    at = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(draft)
+    at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def write_index_cache(index: DataFrame, path: str) -> None:

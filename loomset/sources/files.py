@@ -70,7 +70,11 @@ def tar_members(spark: SparkSession, path: str, glob: str = "*.tar", stream: boo
     ``stream=False`` hands whole archives (under 2 GB) over from Spark's reader, for
     stores that only Spark reaches.
     """
-    archives = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", *([] if stream else ["content"]))
+    return members_of(spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", *([] if stream else ["content"])))
+
+
+def members_of(archives: DataFrame) -> DataFrame:
+    """The same of given archives: (path) or (path, content)."""
 
     def rows(at: str, source) -> pd.DataFrame:
         with tarfile.open(fileobj=source) as tar:
@@ -80,29 +84,71 @@ def tar_members(spark: SparkSession, path: str, glob: str = "*.tar", stream: boo
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at, *content in batch.itertuples(index=False):
-                if stream:
+                if content:
+                    yield rows(at, io.BytesIO(content[0]))
+                else:
                     with open_at(at) as source:
                         yield rows(at, source)
-                else:
-                    yield rows(at, io.BytesIO(content[0]))
 
     found = archives.mapInPandas(members, "archive string, member string, size long, pos long")
     return found.withColumn("image_id", id_from_name(F.col("member")))
 
 
-def manifest_entries(texts: DataFrame, archive: Column) -> DataFrame:
-    """(archive, image_id, inner_path) from the five shapes of JSON manifest.
+def manifest_entries(texts: DataFrame, archive: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(archive, image_id, inner_path) and the columns ``keep`` from the five shapes of JSON manifest.
 
-    {"files": {name: ...}}, {"files": [name]}, {name: {...}}, {id: path}, [name]
+    {"files": {name: ...}}, {"files": [name]}, {name: {...}}, {id or name: path}, [name].
+    Names without a number yield nothing, and neither does text that is no JSON.
     """
     v = F.try_parse_json("text")
-    base = texts.select(archive.alias("archive"), F.coalesce(F.try_variant_get(v, "$.files", "variant"), v).alias("_v"))
+    files = F.try_variant_get(v, "$.files", "variant")
+    base = texts.select(archive.alias("archive"), *keep, files.isNotNull().alias("_files"), F.coalesce(files, v).alias("_v"))
     entries = base.lateralJoin(base.sparkSession.tvf.variant_explode(F.col("_v").outer()))
-    rows = entries.select("archive", "key", F.try_variant_get("value", "$", "string").alias("text"), F.schema_of_variant("value").alias("kind"))
-    listed_name = F.col("key").isNull()
-    path = F.when(listed_name, F.col("text")).when(F.col("kind") == "STRING", F.col("text")).otherwise(F.col("key"))
-    image_id = F.when(listed_name, id_from_name(F.col("text"))).otherwise(F.coalesce(id_from_key(F.col("key")), id_from_name(F.col("key"))))
-    return rows.select("archive", image_id.alias("image_id"), path.alias("inner_path")).where(F.col("image_id").isNotNull() & F.col("inner_path").isNotNull())
+    rows = entries.select("archive", *keep, "_files", "key", F.try_variant_get("value", "$", "string").alias("text"), F.schema_of_variant("value").alias("kind"))
+    said = F.when(F.col("kind") == "STRING", F.col("text"))
+    name = F.coalesce("key", said)
+    path = F.when(F.col("key").isNotNull() & ~F.col("_files"), F.coalesce(said, "key")).otherwise(name)
+    found = rows.select("archive", *keep, id_from_name(name).alias("image_id"), path.alias("inner_path"))
+    return found.where(F.col("image_id").isNotNull() & F.col("inner_path").isNotNull())
+
+
+#: Names of an archive's manifest in order of preference, after the archive's name without its ending.
+MANIFESTS = (".json", "_manifest.json", "_files.json")
+
+
+def texts_of(found: DataFrame, path: str = "path") -> DataFrame:
+    """Rows with the ``text`` of their file, opened on an executor; bytes that are no UTF-8 are replaced."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = []
+            for at in batch[path]:
+                with open_at(at) as source:
+                    texts.append(source.read().decode("utf-8", "replace"))
+            yield batch.assign(text=texts)
+
+    return found.mapInPandas(run, T.StructType([*found.schema.fields, T.StructField("text", T.StringType())]))
+
+
+def archive_index(spark: SparkSession, path: str, glob: str = "*.tar", scan: bool = True) -> DataFrame:
+    """(archive, image_id, inner_path): of each archive the first of its manifests that yields
+    entries, else, with ``scan``, its members by their headers.
+
+    Only manifests that stand beside an archive are read, and only archives without a
+    usable one are opened."""
+    archives = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", F.regexp_extract("path", r"([^/]*)\z", 1).alias("archive"))
+    base = F.regexp_replace("path", r"\.[^./]*\z", "")
+    tries = archives.select("archive", F.posexplode(F.array(*[F.concat(base, F.lit(m)) for m in MANIFESTS])).alias("rank", "path"))
+    there = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path).select("path")
+    read = texts_of(tries.join(there, "path").select("path", "archive", "rank"))
+    entries = manifest_entries(read, F.col("archive"), keep=("rank",))
+    # the least rank with entries: a row an archive, however many entries one has
+    best = entries.groupBy("archive").agg(F.min("rank").alias("rank"))
+    chosen = entries.join(best, ["archive", "rank"]).select("archive", "image_id", "inner_path")
+    if not scan:
+        return chosen
+    rest = members_of(archives.join(best, "archive", "left_anti").select("path"))
+    return chosen.unionByName(rest.where(F.col("image_id").isNotNull()).select("archive", "image_id", F.col("member").alias("inner_path")))
 
 
 def progress(spark: SparkSession, path: str) -> DataFrame:
