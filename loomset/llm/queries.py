@@ -23,11 +23,11 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Insert all documents under two tokenizer versions, delete those of low
-    quality, revise toxic ones to their first line, and replay the delete.
+    quality, revise toxic ones (each sentence a line of its own), and replay the delete.
 
     Texts are only scanned: documents are counted before the labels are joined, so
-    what is shuffled is counts. First lines are counted where the flagged ids can be
-    broadcast for flagged documents only, beyond FLAGGED ids for all."""
+    what is shuffled is counts. Revised texts, whole as well, are counted where the
+    flagged ids can be broadcast for flagged documents only, beyond FLAGGED ids for all."""
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     path, version = public_tokenizers.path(RANKS), "byte_bpe_multi_50k"
@@ -39,12 +39,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = materialise(labels.where("toxic = 1 AND quality = 1").select("doc_id"), "flagged")
     some = docs.join(F.broadcast(flagged), "doc_id", "left_semi") if flagged.count() <= FLAGGED else docs
     # written as well, or the join below would be pushed under the word count
-    firsts = materialise(both(some.withColumn("text", F.substring_index("text", "\n", 1))), "first_line_ledger")
+    revised = materialise(both(some.withColumn("text", F.regexp_replace("text", r"\. ", ".\n\n"))), "revised_ledger")
     rollup = token_rollup.Rollup(spark, fresh_path(spark, "token_rollup"))
     gone = ledger.join(labels.where("quality = 0"), "doc_id", "left_semi")
     rollup.commit("0001-insert", token_rollup.inserts(ledger))
     rollup.commit("0002-delete", token_rollup.deletes(gone))
-    rollup.commit("0003-revise", token_rollup.revisions(ledger.join(flagged, "doc_id", "left_semi"), firsts.join(flagged, "doc_id", "left_semi")))
+    rollup.commit("0003-revise", token_rollup.revisions(ledger.join(flagged, "doc_id", "left_semi"), revised.join(flagged, "doc_id", "left_semi")))
     rollup.commit("0002-delete", token_rollup.deletes(gone))
     return rollup.totals()
 

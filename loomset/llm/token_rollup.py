@@ -3,12 +3,12 @@
 Totals by source, language and tokenizer version are additive, so a batch only
 brings differences: +n for inserted documents, -n for deleted ones, new minus
 old for revised counts. A batch is pre-aggregated to one row per cell and
-committed under its batch id as one directory, moved into place as a whole;
-committing an id again changes nothing, so a retried or replayed batch is counted
-once, and of two writers of one id the second finds the place taken. Totals are
-sums over the committed batches. ``compact`` replaces the batches so far by one
-base of as many rows as there are cells, with a list of the batch ids in it, so
-that totals cost what was committed since, not the whole history.
+committed under its batch id as one part of a snapshot table, so a retried or
+replayed batch is counted once, and of two writers of one id the second changes
+nothing. Totals are sums over the parts of one snapshot. ``compact`` replaces the
+parts so far by one base of as many rows as there are cells, so that totals cost
+what was committed since, not the whole history; the batch ids stay in the snapshot.
+Totals of an older snapshot, held or being read meanwhile, don't change.
 
 Counts per document come from pluggable counters (a word counter in built-in
 functions, a byte-level BPE counter), so a new tokenizer version is one more
@@ -22,12 +22,11 @@ gone stay with zeros; other columns are ignored.
 from __future__ import annotations
 
 import re
-import uuid
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sinks.snapshots import SnapshotTable
 from .bpe_codec import encode_documents
 
 CELL = ["source", "lang", "tokenizer_version"]
@@ -64,93 +63,41 @@ def revisions(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 class Rollup:
-    """A rollup table at ``path`` (a shared folder): a directory per committed batch, and a base."""
+    """A rollup table at ``path``, a shared folder.
+
+    Parts that a compaction has folded stay for readers of older snapshots until
+    :meth:`vacuum`, to be run when none is under way."""
 
     SCHEMA = "source string, lang string, tokenizer_version string, n_docs long, n_tokens long"
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def _path(self, *names: str):
-        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *names]))
-
-    def _fs(self):
-        return self._path().getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _names(self, prefix: str) -> list[str]:
-        """Complete directories of one kind, in order; a move into place is what completes them."""
-        fs = self._fs()
-        if not fs.exists(self._path()):
-            return []
-        names = (s.getPath().getName() for s in fs.listStatus(self._path()))
-        return sorted(n.removeprefix(prefix) for n in names if n.startswith(prefix))
-
-    def _base(self) -> tuple[str | None, set[str]]:
-        """The latest base and the batches in it."""
-        bases = self._names("base=")
-        if not bases:
-            return None, set()
-        held = self.spark.read.schema("batch_id string").parquet(f"{self.path}/base={bases[-1]}/batches")
-        return bases[-1], {r.batch_id for r in held.collect()}  # one row a batch
-
-    def _put(self, name: str, write: Callable[[str], None]) -> bool:
-        """Write beside the table, then move into place; False if the place was taken."""
-        fs, draft = self._fs(), f"draft={uuid.uuid4().hex}"
-        write(f"{self.path}/{draft}")
-        fs.mkdirs(self._path())
-        # a rename onto a directory would move into it: look first, then see where it went
-        moved = not fs.exists(self._path(name)) and fs.rename(self._path(draft), self._path(name))
-        if moved and fs.exists(self._path(name, draft)):
-            fs.delete(self._path(name, draft), True)
-            moved = False
-        if fs.exists(self._path(draft)):
-            fs.delete(self._path(draft), True)
-        return moved
+        self.table = SnapshotTable(spark, path, self.SCHEMA)
 
     def committed(self, batch_id: str) -> bool:
         if not re.fullmatch(r"[\w.-]+", batch_id):
             raise ValueError(f"not a batch id: {batch_id!r}")
-        return self._fs().exists(self._path(f"batch_id={batch_id}")) or batch_id in self._base()[1]
+        return batch_id in self.table.snapshot()["keys"]
 
     def commit(self, batch_id: str, deltas: DataFrame) -> bool:
         """Add a batch once; False if that id was committed before."""
-        if self.committed(batch_id):
-            return False
-        cells = deltas.groupBy(*CELL).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        return self._put(f"batch_id={batch_id}", cells.write.parquet)
-
-    def _state(self) -> tuple[list[str], list[str], set[str]]:
-        """(directories to add up, batches since the base, batches in it)."""
-        base, inside = self._base()
-        since = [b for b in self._names("batch_id=") if b not in inside]
-        paths = [f"{self.path}/batch_id={b}" for b in since]
-        return [*([f"{self.path}/base={base}/cells"] if base else []), *paths], since, inside
+        return not self.committed(batch_id) and self.table.append(self._sum(deltas), batch_id)
 
     def parts(self) -> int:
-        """Directories that totals read."""
-        return len(self._state()[0])
+        """Parts that totals read."""
+        return len(self.table.snapshot()["parts"])
 
-    def compact(self) -> None:
+    def compact(self) -> bool:
         """Fold all batches so far into a new base; a reader sees the old state or the new one.
 
-        Run by one process at a time; batches may be committed meanwhile."""
-        paths, since, inside = self._state()
-        if not since:
-            return
-        number = f"{max([0, *map(int, self._names('base='))]) + 1:010d}"
-
-        def write(at: str) -> None:
-            self._sum(paths).write.parquet(f"{at}/cells")
-            self.spark.createDataFrame([(b,) for b in sorted(inside | set(since))], "batch_id string").write.parquet(f"{at}/batches")
+        Batches may be committed meanwhile; of two compactions at once one gives way."""
+        return self.table.compact(self._sum)
 
-        if self._put(f"base={number}", write):
-            for batch in since:
-                self._fs().delete(self._path(f"batch_id={batch}"), True)
+    def vacuum(self, keep: int = 1) -> int:
+        return self.table.vacuum(keep)
 
-    def _sum(self, paths: list[str]) -> DataFrame:
-        rows = self.spark.read.schema(self.SCHEMA).parquet(*paths) if paths else self.spark.createDataFrame([], self.SCHEMA)
+    def _sum(self, rows: DataFrame) -> DataFrame:
         return rows.groupBy(*CELL).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer_version, n_docs, n_tokens over all committed batches."""
-        return self._sum(self._state()[0])
+        return self._sum(self.table.read())
