@@ -5,7 +5,8 @@ XXH64 hashes (seed 42) have it. Equal fingerprints are grouped first, so copies
 cost one row. Distinct fingerprints are dealt to shards by the pigeonhole rule:
 of B bit blocks at most ``radius`` can hold a difference, so two fingerprints
 within the radius share the bits of B - radius blocks, and each combination of
-those blocks is one table of shards. Every shard becomes a BK-tree whose
+those blocks is one table of shards; keys are as many of their bits as leave
+``TREE_ROWS`` fingerprints a shard. Every shard becomes a BK-tree whose
 children are keyed by their Hamming distance to the parent; a query follows
 only edges within the radius of its own distance. All trees of a batch are
 built and searched level by level with numpy.
@@ -62,6 +63,8 @@ from .components import connected_components, least_by
 
 #: Fingerprints in one tree; shards with more are hot.
 SHARD_ROWS = 20_000
+#: Fingerprints that a shard's tree holds in the mean, at least, where links need no second print.
+TREE_ROWS = 2_000
 #: Hot shards that are broadcast (24 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 100_000
 #: 64-bit words of a second print.
@@ -337,13 +340,20 @@ def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_RO
     n = distinct.count()
     extra = [c for c in ["node", *PRINT] if c in distinct.columns]
     named = "node" in extra
-    # longer keys in more tables once the mean shard would pass 64 rows, or 512
-    # where the step is to three free blocks: tables then cost more disk than trees cost time
-    blocks = radius + next((e for e, mean in ((1, 64), (2, 512)) if n <= mean << 64 * e // (radius + e)), 3)
+    if named:
+        # longer keys in more tables once the mean shard would pass 64 rows, or 512
+        # where the step is to three free blocks: tables then cost more disk than trees cost time
+        free = next((e for e, mean in ((1, 64), (2, 512)) if n <= mean << 64 * e // (radius + e)), 3)
+    else:
+        free = next((e for e in (1, 2) if n <= TREE_ROWS << 64 * e // (radius + e)), 3)
+    blocks = radius + free
     edges = [round(64 * i / blocks) for i in range(blocks + 1)]
+    # texts that share whole blocks share any bits of these: keys of few bits leave the search to the trees
+    wide = 64 if named else max(0, (n // TREE_ROWS).bit_length() - 1)
     masks = []
-    for kept in combinations(range(blocks), blocks - radius):
-        m = sum(((1 << (edges[i + 1] - edges[i])) - 1) << edges[i] for i in kept)
+    for kept in combinations(range(blocks), blocks - radius) if wide else [()]:  # without a key one table has all
+        bits = [k for i in kept for k in range(edges[i], edges[i + 1])]
+        m = sum(1 << k for k in bits[:wide])
         masks.append(m - (1 << 64) if m >> 63 else m)
     keyed = distinct.select("fp", *extra, F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key")) for t, m in enumerate(masks)])).alias("s")).select("fp", *extra, "s.t", "s.key")
     hot = keyed.groupBy("t", "key").count().where(F.col("count") > shard_rows)

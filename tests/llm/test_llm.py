@@ -12,6 +12,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import tiktoken
+import xxhash
 import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -492,6 +493,26 @@ def test_simhash_against_brute_force(spark):
         assert all(int(r.fingerprint, 16) == f[r.doc_id] for r in got if r.doc_id is not None) and len(got) == len(rows)
 
 
+def test_op6_fingerprints_and_components_by_plain_python(spark, monkeypatch):
+    texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall())
+    want = {}
+    for i, text in texts.items():
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+        shingles = [" ".join(words[k : k + 3]) for k in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+        h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles]
+        want[i] = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+    label = {i: i for i in want}
+    while True:
+        new = {i: min(label[j] for j in want if (want[i] ^ want[j]).bit_count() <= 3) for i in want}
+        if new == label:
+            break
+        label = new
+    for tree_rows in (simhash_bk.TREE_ROWS, 20, 1):  # keys of no, few and many bits
+        monkeypatch.setattr(simhash_bk, "TREE_ROWS", tree_rows)
+        got = queries.op6_simhash(spark, SF).collect()
+        assert {r.doc_id: (r.fingerprint, r.component_id) for r in got} == {i: (f"{want[i]:016x}", label[i]) for i in want}
+
+
 def test_simhash_edges(spark):
     assert simhash_bk.near_duplicates(frame(spark, EDGE).where("false")).count() == 0
     long = " ".join(f"w{k}" for k in range(60_000))
