@@ -38,7 +38,7 @@ the corpus and are never collected or broadcast; only the list of their files is
 Defined cases: null or empty text is the end token alone; a null id is never
 held out; without training rows N = V = 0 and every token has probability 1;
 repeated rows count and are scored once each; other columns are ignored. More
-than 2**32 - 4 distinct words, or 2**32 occurrences of one n-gram in a task, are
+than 2**31 - 4 distinct words, or 2**32 occurrences of one n-gram in a task, are
 an error, not an overflow.
 """
 
@@ -69,6 +69,8 @@ TASK_WORDS = 300_000
 #: A word is hot from this part of all tokens on; pairs of hot words are spread over so many shards.
 HOT_SHARE, SALTS = 256, 16
 _U, _LOW = np.uint64, (1 << 32) - 1
+#: Ids of words and marks: two of them are one signed number of 64 bits.
+MOST_IDS = 1 << 31
 #: The token after the last word of a text; no word can contain a line feed.
 END = b"\n"
 
@@ -633,8 +635,8 @@ def train(docs: DataFrame, text_col: str = "text", path: str | None = None) -> M
     given = (word_files, parts, sizes)
     known = Words(*given)
     start, total = known.size, known.total
-    if start + 4 > 1 << 32:
-        raise OverflowError("more distinct words than 32-bit ids")
+    if start + 4 > MOST_IDS:
+        raise OverflowError("more distinct words than ids of 31 bits")
     shards = max(-(-total // SHARD_TOKENS), min(partitions, 1 + total // 250_000))
 
     def hot_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

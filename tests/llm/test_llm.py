@@ -159,6 +159,19 @@ def test_lm_words_that_share_half_a_hash(spark, monkeypatch, tmp_path):
     assert set(words.ids([b"other%d" % i for i in range(50)]).tolist()) == {-1}
 
 
+def test_ids_beyond_their_limit_are_an_error(spark, monkeypatch):
+    docs = frame(spark, [(1, "a b c"), (2, "d e")])  # five words and the end, two more marks and the unknown
+    for most, fits in ((10, True), (9, False)):
+        monkeypatch.setattr(ngram_trie, "MOST_IDS", most)
+        if fits:
+            assert ngram_trie.train(docs) is not None
+            continue
+        with pytest.raises(OverflowError, match="31 bits"):
+            ngram_trie.train(docs)
+    pair = np.array([(1 << 31) - 1], np.int64) << 32 | ((1 << 31) - 1)  # the greatest pair of ids stays positive
+    assert pair[0] > 0 and pair[0] >> 32 == (1 << 31) - 1
+
+
 # ---------------------------------------------------------------- op2, the rollup
 def test_rollup(spark):
     docs = frame(spark, [(1, "a b"), (2, None), (3, "c")])
