@@ -6,17 +6,18 @@ import struct
 import zlib
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions import jsontext, values
-from .operators import audit, jsonops
-from .plans.filters import ColumnBinding, FilterSpec
+from .functions.tags import parse_list
+from .operators import audit, delta, jsonops, reconcile
+from .plans.filters import ColumnBinding, FilterSpec, TagRule
 from .queries import read
 from .queries_io import QUERIES, SQL, _part, _store, packed_tars, query
 from .sinks import actions, compaction, outputs, snapshots
-from .sources import files, state, verify
+from .sources import files, state, tables, verify
 from .streaming import shard_stream
 
 __all__ = ["QUERIES", "SQL"]
@@ -266,3 +267,98 @@ def compact_by_size(spark, sf_dir):
     sizes = [r["bytes"] for r in compaction.footers(spark, f"{at}/out").collect()]  # six
     even = len(sizes) == bins == 6 and max(abs(s - total / 6) for s in sizes) <= 0.1 * total / 6
     return spark.read.parquet(f"{at}/out").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"), F.sum("o_custkey").alias("customers")).withColumn("even", F.lit(even))
+
+
+# -------------------------------------------------------- schemas, counters, decisions
+@query("""SELECT CASE o_orderkey % 3 WHEN 0 THEN o_orderkey WHEN 1 THEN o_orderkey ELSE o_orderkey + 3000000000 END AS id, CASE o_orderkey % 3 WHEN 2 THEN 0 ELSE o_custkey END AS score, 3 AS scans FROM orders""")
+def union_by_schema(spark, sf_dir):
+    """Sixty files of three schemas, and a path that isn't there: three scans."""
+    at, key = state.scratch(spark, "schemas"), F.col("o_orderkey")
+    rows = read(spark, sf_dir, "orders")
+    for k, cols in enumerate(([key.alias("id"), F.col("o_custkey").alias("score")], [key.cast("string").alias("id"), F.concat(F.col("o_custkey").cast("string"), F.lit(".5")).alias("score")], [(key + F.lit(3000000000)).alias("id")])):
+        rows.where(key % 3 == k).select(*cols).repartition(20).write.parquet(f"{at}/{k}")
+    bound = ColumnBinding("id", None, None, None, None, None, "score", None, None, None, None)
+    both = tables.parquet_union(spark, [f"{at}/0", f"{at}/1", f"{at}/none", f"{at}/2"], bound)
+    scans = len(tables.schema_groups(spark, [f"{at}/{k}" for k in range(3)]))
+    return both.select("id", F.coalesce("score", F.lit(0)).alias("score"), F.lit(scans).alias("scans"))
+
+
+@query("""SELECT status, count(*) AS n, sum(b)::BIGINT AS bytes FROM (SELECT CASE p_partkey % 4 WHEN 0 THEN 'failed' WHEN 1 THEN 'skipped' WHEN 2 THEN 'not_found' ELSE 'completed' END AS status, p_size AS b FROM part) GROUP BY status""")
+def counted_write(spark, sf_dir):
+    """Outcomes are counted by the job that writes them."""
+    k = F.col("id") % 4
+    status = F.when(k == 0, "failed").when(k == 1, "skipped").when(k == 2, "not_found").otherwise("completed")
+    got = outputs.write_counted(_part(spark, sf_dir).select("id", status.alias("status"), F.col("size").cast("long").alias("bytes")), f"{state.scratch(spark, 'counted')}")
+    return spark.createDataFrame([(s, got[s], got[f"{s}_bytes"]) for s in ("completed", "failed", "skipped", "not_found")], "status string, n long, bytes long").where("n > 0")
+
+
+_SEEN = "CASE p_partkey % 5 WHEN 0 THEN 'verified' WHEN 1 THEN 'missing' WHEN 2 THEN 'recovered' WHEN 3 THEN 'still_missing' ELSE 'untracked' END"
+
+
+@query(f"""SELECT p_partkey AS id, {_SEEN} AS state, CASE WHEN p_partkey % 5 IN (0, 2, 4) THEN 'completed' ELSE 'missing' END AS adopting,
+ CASE WHEN p_partkey % 5 IN (0, 1, 2) THEN 'completed' WHEN p_partkey % 5 = 3 THEN 'missing' END AS keeping FROM part""")
+def adopt_or_drop(spark, sf_dir):
+    """What a validation leaves if untracked files are adopted, and if marks of missing ones are kept."""
+    ids = _part(spark, sf_dir).select("id")
+    of = lambda *k: ids.where((F.col("id") % 5).isin(*k))
+    states = reconcile.reconcile(of(0, 1), of(2, 3), of(0, 2, 4))
+    adopting = reconcile.next_progress(states, adopt_untracked=True).withColumnRenamed("status", "adopting")
+    keeping = reconcile.next_progress(states, drop_missing=False).withColumnRenamed("status", "keeping")
+    return states.join(adopting, "id", "left").join(keeping, "id", "left")
+
+
+@query("""SELECT row_number() OVER (ORDER BY f) AS line, f AS file_name FROM (SELECT DISTINCT p_partkey || '.png' AS f FROM part)""")
+def review_order(spark, sf_dir):
+    """Lines of the review sheet by file name, as they stand in its files."""
+    at = state.scratch(spark, "review")
+    names = _part(spark, sf_dir).select(F.concat(F.col("id").cast("string"), F.lit(".png")).alias("file_name"), F.col("name").alias("tags"))
+    outputs.write_review(delta.review_sheet(delta.tag_delta(names, names)), at)
+    sheet = spark.read.csv(at, header=True).select("file_name", F.col("_metadata.file_name").alias("_f"), F.monotonically_increasing_id().alias("_at"))
+    window = Window.partitionBy("_f").orderBy("_at")
+    inside = sheet.select("_f", "file_name", F.row_number().over(window).alias("k"))
+    before = inside.groupBy("_f").agg(F.count("*").alias("n"))  # a row a file
+    before = before.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return inside.join(F.broadcast(before), "_f").select((F.col("before") + F.col("k")).alias("line"), "file_name")
+
+
+@query("""SELECT p_partkey AS id, true AS kept_with_null, p_partkey % 4 <> 0 AS kept_without FROM part WHERE p_partkey % 4 <> 1""")
+def null_urls(spark, sf_dir):
+    """Items without URL pass an ending filter unless asked otherwise; videos don't."""
+    k = F.col("id") % 4
+    rows = _part(spark, sf_dir).select("id", F.when(k == 0, None).when(k == 1, "http://x/a.mp4").otherwise("http://x/a.png").alias("url"))
+    kept = FilterSpec().apply(rows).select("id", F.lit(True).alias("kept_with_null"))
+    without = FilterSpec(keep_null_url=False).apply(rows).select("id", F.lit(True).alias("w"))
+    return kept.join(without, "id", "left").select("id", "kept_with_null", F.coalesce("w", F.lit(False)).alias("kept_without"))
+
+
+@query("""SELECT p_partkey::VARCHAR AS id, p_name AS name, CASE WHEN p_partkey % 2 = 0 THEN '{"k":' || p_size || '}' ELSE '' END AS o FROM part""")
+def csv_from_json(spark, sf_dir):
+    """JSON objects as lines of a CSV, a column per key, absent ones blank."""
+    at, odd = state.scratch(spark, "csv_json"), F.col("id") % 2 == 1
+    one = lambda *cols: F.to_json(F.struct("id", "name", *cols))
+    text = F.when(odd, one()).otherwise(one(F.struct(F.col("size").alias("k")).alias("o")))
+    flat = jsonops.flatten_objects(_part(spark, sf_dir).select(F.col("id").alias("file"), text.alias("text")), "text")
+    outputs.write_review(jsonops.to_table(flat, ["file", "item"], ["id", "name", "o"]).drop("file", "item"), at)
+    return tables.csv_strings(spark, at)
+
+
+@query("""SELECT name, name IN ('score') AS lacking FROM (SELECT unnest(['id', 'tags', 'score']) AS name)
+ WHERE (SELECT count(*) FROM part) > 0""")
+def required_columns(spark, sf_dir):
+    """Which of the required columns a table lacks is told, not passed over."""
+    rows = _part(spark, sf_dir).select("id", F.col("name").alias("tag_string"))
+    wanted = ("id", "tags", "score")
+    try:
+        ColumnBinding().canonical(rows, required=wanted)
+        told = ""
+    except ValueError as e:
+        told = str(e)
+    there = rows.agg(F.count("*").alias("n")).where("n > 0")
+    return there.select(F.explode(F.array(*map(F.lit, wanted))).alias("name")).select("name", F.split(F.lit(told.removeprefix("no columns for ")), ", ").alias("l")).select("name", F.array_contains("l", F.col("name")).alias("lacking"))
+
+
+@query("SELECT doc_id AS id FROM documents WHERE regexp_matches(lower(coalesce(text, '')), '(^|\\s)the(\\s|$)') AND regexp_matches(lower(coalesce(text, '')), '(^|\\s)of(\\s|$)')")
+def tags_from_a_list(spark, sf_dir):
+    """Terms as given on a command line, between commas and blanks."""
+    rows = ColumnBinding("doc_id", "text", None, None, None, None, None, None, None, None, None).canonical(read(spark, sf_dir, "documents"))
+    return FilterSpec(TagRule(tuple(parse_list(" the,, of\n")))).apply(rows).select("id")

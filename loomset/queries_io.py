@@ -418,7 +418,7 @@ def fetch_by_id(spark, sf_dir):
             raise OSError("refused")
         return None if item % 5 == 0 else b"x%d" % item
 
-    got = outputs.fetch_items(_part(spark, sf_dir).select("id"), fetch)
+    got = outputs.fetch_items(_part(spark, sf_dir).select("id"), fetch, wait=0.0)
     return got.select("id", "status", F.decode("content", "UTF-8").alias("content"))
 
 

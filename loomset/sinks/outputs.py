@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .compaction import compact_files
@@ -128,16 +129,32 @@ def run_plan(plan: DataFrame, act: Callable[[str, str, str | None], None], commi
     return plan.select("action", "path", "target").mapInPandas(run, "action string, path string, target string, outcome string")
 
 
-def fetch_items(items: DataFrame, fetch: Callable[[int], bytes | None], retries: int = 3) -> DataFrame:
-    """(id, status, content): a pluggable fetch, retried, one status per item."""
+def write_counted(results: DataFrame, path: str) -> dict[str, int]:
+    """Write results (status, bytes, ...) and count them on the way, in the same job:
+    rows and bytes of each of completed, failed, skipped and not_found."""
+    seen = Observation()
+    cells = []
+    for name in ("completed", "failed", "skipped", "not_found"):
+        mine = F.col("status") == name
+        cells += [F.count(F.when(mine, 1)).alias(name), F.coalesce(F.sum(F.when(mine, F.col("bytes"))), F.lit(0)).cast("long").alias(f"{name}_bytes")]
+    results.observe(seen, *cells).write.mode("overwrite").parquet(path)
+    return seen.get
+
+
+def fetch_items(items: DataFrame, fetch: Callable[[int], bytes | None], retries: int = 3, wait: float = 0.5) -> DataFrame:
+    """(id, status, content): a pluggable fetch, retried, one status per item.
+
+    Before the n-th further try it waits n times ``wait`` seconds."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for item in batch["id"]:
                 status, content = "failed", None
-                for _ in range(retries):
+                for attempt in range(retries):
                     try:
+                        if attempt:
+                            time.sleep(wait * attempt)
                         content = fetch(int(item))
                         status = "not_found" if content is None else "completed"
                         break

@@ -1,16 +1,20 @@
 """Manifests, shards in order of arrival, snapshots and compaction."""
 
 import json
+import random
 import tarfile
 import threading
+import time
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from loomset.operators import shards
+from loomset.plans.filters import ColumnBinding
 from loomset.sinks import compaction, outputs, snapshots
-from loomset.sources import files
+from loomset.sources import files, tables
 from loomset.streaming import shard_stream
 
 
@@ -144,7 +148,7 @@ def test_writers_at_once_both_count(spark, tmp_path):
 # ------------------------------------------------------------------------- compaction
 def test_skewed_files_become_even_ones(spark, tmp_path):
     (tmp_path / "in x+%").mkdir()
-    noise, start = __import__("random").Random(1), 0
+    noise, start = random.Random(1), 0
     for k in range(16):
         size = 40 * 2 ** (k // 2)
         table = pa.table({"id": range(start, start + size), "text": [noise.randbytes(40).hex() for _ in range(size)], "_row": [1] * size})
@@ -169,3 +173,42 @@ def test_compact_parquet_without_a_size(spark, tmp_path):
     outputs.compact_parquet(rows, f"{tmp_path}/out", target_bytes=400_000)
     assert 4 <= compaction.footers(spark, f"{tmp_path}/out").count() <= 10 and spark.read.parquet(f"{tmp_path}/out").count() == 40_000
     assert not (tmp_path / "out.draft").exists()
+
+
+# --------------------------------------------------------------- schemas and counters
+def test_one_scan_a_schema(spark, tmp_path):
+    for k in range(30):
+        pq.write_table(pa.table([{"id": [k]}, {"id": [str(k)], "score": ["7.5"]}, {"id": pa.array([k], pa.int32()), "score": [k]}][k % 3]), tmp_path / f"f {k}.parquet")
+    paths = [f"{tmp_path}/f {k}.parquet" for k in range(30)] + [f"{tmp_path}/none"]
+    assert sorted(map(len, tables.schema_groups(spark, paths))) == [10, 10, 10]
+    bound = ColumnBinding("id", None, None, None, None, None, "score", None, None, None, None)
+    both = tables.parquet_union(spark, paths, bound)
+    assert both._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 3
+    assert sorted((r.id, r.score) for r in both.collect()) == [(k, (None, 7, k)[k % 3]) for k in range(30)]
+    with pytest.raises(FileNotFoundError):
+        tables.parquet_union(spark, [f"{tmp_path}/none"], bound)
+
+
+def test_a_counted_write_is_one_job(spark, tmp_path):
+    rows = spark.createDataFrame([("completed", 5), ("failed", 1), ("completed", 7), ("odd", 3), (None, 1), ("skipped", None)], "status string, bytes long")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("counted", "")
+    got = outputs.write_counted(rows, f"{tmp_path}/out")
+    jobs = len(tracker.getJobIdsForGroup("counted"))
+    spark.sparkContext.setJobGroup("", "")
+    assert jobs == 1 and spark.read.parquet(f"{tmp_path}/out").count() == 6
+    assert got["completed"] == 2 and got["completed_bytes"] == 12 and got["failed"] == 1 and got["skipped"] == 1 and got["skipped_bytes"] == 0 and got["not_found"] == 0
+    again = spark.read.parquet(f"{tmp_path}/out").groupBy("status").count().where("status = 'completed'").first()["count"]
+    assert again == got["completed"]
+
+
+def test_tries_wait_longer_each_time(spark):
+    def fetch(item, tried=[]):  # noqa: B006
+        tried.append(time.time())
+        if len(tried) < 3:
+            raise OSError
+        return b"%.2f %.2f" % (tried[1] - tried[0], tried[2] - tried[1])
+
+    row = outputs.fetch_items(spark.range(1).coalesce(1), fetch, wait=0.1).first()
+    first, second = map(float, bytes(row.content).split())
+    assert row.status == "completed" and first >= 0.1 and second >= 0.2
