@@ -106,7 +106,9 @@ class BundleWriter:
         self._close()
         names = json.dumps(self.ids).encode()
         index = self.zstd.compress(struct.pack("<II", len(self.ids), len(names)) + names + np.array(self.where, _ENTRY).tobytes())
-        seek = b"".join(struct.pack("<II", *x) for x in self.table) + struct.pack("<IB", len(self.table), 0)
+        # every frame before the seek table has an entry, the index as one of no content
+        table = [*self.table, (len(index) + 8, 0)]
+        seek = b"".join(struct.pack("<II", *x) for x in table) + struct.pack("<IB", len(table), 0)
         return b"".join([*self.frames, struct.pack("<II", SKIPPABLE_INDEX, len(index)), index, struct.pack("<II", SKIPPABLE_SEEK, len(seek) + 4), seek])
 
 
@@ -119,7 +121,8 @@ class Bundle:
             raise ValueError("no seek table: not a bundle, or cut short")
         (count,) = struct.unpack("<I", self.data[-9:-5])
         table = np.frombuffer(self.data[len(self.data) - 9 - 8 * count : len(self.data) - 9], "<u4").reshape(-1, 2).astype(np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(table[:, 0])])
+        #: Where the frames of records begin, and last the index.
+        self.starts = np.concatenate([[0], np.cumsum(table[:-1, 0])])
         self.zstd = zstandard.ZstdDecompressor()
         self._index = None
 
