@@ -303,7 +303,8 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
     with open(tokenizer_path, "rb") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = picked.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # a piece of the text is a key as well, so that rows of one id may be split
+    ordered = picked.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.substring("text", 1, 16)).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _MEMOS.get(hash(spec.value)) or WordMemo(spec.value)
