@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import io
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -987,3 +988,60 @@ def test_pipeline_stage_edges(spark, tmp_path):
     near = [(r.doc_id, r.text) for r in pipeline.one_of_near_copies(spark, docs, str(tmp_path)).collect()]
     # empty texts are one group, of the smallest id; both rows of an id that stays, stay
     assert (1, None) in near and (2, "") not in near and (None, None) not in near and near.count((3, "a b")) == 2
+
+
+def test_rows_of_one_id_are_split_between_tasks(spark):
+    """Half of the rows have no id: the range partitioning spreads them, and every row comes back."""
+    rows = [(None if k % 2 else k, f"text {k * 7919 % 1000} of many") for k in range(2000)]
+    docs = frame(spark, rows).repartition(3)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        path = fresh_path(spark, "split")
+        bitpack.write_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), path)
+        read = bitpack.read_tokens(spark, path).withColumn("part", F.regexp_extract("shard", r"part-(\d+)", 1))
+        assert read.count() == len(rows) and read.where("doc_id IS NULL").select("part").distinct().count() > 1
+        got = merkle.compare_with_next(docs)
+        assert got.count() == len(rows) and got.where("doc_id IS NULL").count() == 1000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_op10_by_plain_features_and_ftrl(spark):
+    """The query's scores by features of plain Python and the plain steps of FTRL."""
+    texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall())
+    labels = dict(duckdb.sql(f"SELECT doc_id, max(toxic) FROM '{SF}/labels.parquet' GROUP BY 1").fetchall())
+
+    def mixed(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % (1 << 64)
+        x = (x ^ x >> 27) * 0x94D049BB133111EB % (1 << 64)
+        return x ^ x >> 31
+
+    def plain(text):
+        words = re.findall(rb"[0-9a-z\x80-\xff]+", re.sub(rb"[A-Z]", lambda m: m.group().lower(), (text or "").encode()))
+        h = [xxhash.xxh3_64_intdigest(w) for w in words]
+        every = set(h)
+        for gap, salt in ((1, 0x51ED270B), (2, 0x2545F491)):
+            every |= {mixed((a * 0x9E3779B97F4A7C15 + b + salt) % (1 << 64)) for a, b in zip(h, h[gap:])}
+        return sorted({x >> 64 - toxicity.BITS for x in every})
+
+    found = {i: plain(t) for i, t in texts.items()}
+    fold = {i: zlib.crc32(str(i).encode()) % 3 for i in texts}
+    order = [r[0] for r in spark.createDataFrame([(i,) for i in labels if i in texts and fold[i] != 1], "doc_id long").orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    z, n, bias, bias_z, bias_n = defaultdict(float), defaultdict(float), 0.0, 0.0, 0.0
+    alpha, beta, l1 = toxicity.ALPHA, toxicity.BETA, toxicity.L1
+    weight = lambda k: 0.0 if abs(z[k]) <= l1 else -(z[k] - (l1 if z[k] > 0 else -l1)) / ((beta + n[k] ** 0.5) / alpha)
+    for _ in range(toxicity.EPOCHS):
+        for i in order:
+            w = {k: weight(k) for k in found[i]}
+            g = 1 / (1 + math.exp(-min(max(sum(w.values()) + bias, -35.0), 35.0))) - labels[i]
+            for k in found[i]:
+                z[k] += g - ((n[k] + g * g) ** 0.5 - n[k] ** 0.5) / alpha * w[k]
+                n[k] += g * g
+            bias_z += g - ((bias_n + g * g) ** 0.5 - bias_n**0.5) / alpha * bias
+            bias_n += g * g
+            bias = -bias_z / ((beta + bias_n**0.5) / alpha)
+    got = {r.doc_id: r for r in queries.op10_toxicity(spark, SF).collect()}
+    assert set(got) == set(texts)
+    for i, r in got.items():
+        want = 1 / (1 + math.exp(-(sum(weight(k) for k in found[i]) + bias)))
+        assert abs(r.score - want) < 1e-6 and r.held_out == (fold[i] == 1) and r.predicted == int(r.score >= 0.7), i
