@@ -259,7 +259,7 @@ def status_snapshots(spark, sf_dir):
 def compact_by_size(spark, sf_dir):
     """Sixteen files of very different sizes become files of one size, each written by a task of its own."""
     at = state.scratch(spark, "skewed")
-    rows = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.sha2(F.col("o_orderkey").cast("string"), 256).alias("noise"))
+    rows = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.concat(*[F.sha2(F.concat_ws("/", "o_orderkey", F.lit(k)), 256) for k in range(16)]).alias("noise"))
     part = F.least(F.floor(F.log2(1 + F.pmod(F.xxhash64("o_orderkey"), F.lit(65536)).cast("double"))), F.lit(15)).cast("int")
     rows.repartitionById(16, part).write.option("compression", "zstd").parquet(f"{at}/in")
     total = compaction.footers(spark, f"{at}/in").agg(F.sum("bytes")).first()[0]
