@@ -39,6 +39,17 @@ print's radius is too wide for trees or blocks to be selective, so variants of
 one fingerprint cost time with the square of their number; texts dominated by a
 repeated phrase share one. Shards are cut by variants, which spreads that work.
 
+With ``exact`` the second print only proposes. Links of at most ``SURE_BITS`` bits
+are taken (``SURE`` standard errors inside the similarity); all others, up to
+``DOUBT`` standard errors ``DOUBT`` standard errors beyond it, are compared as sets of shingles. Of these a
+shard sends the lightest forest, fewest bits first, over the components of its sure
+links, then that of the pairs left, ``FORESTS`` in all: so many pairs a variant at
+most, however many are near, and each pair left out closes as many separate cycles
+of pairs with fewer bits. Texts of the pairs between different components are
+gathered once and their 64-bit shingle hashes joined to the pairs. Losing a link
+takes estimates that rank as many false pairs before it across the same gap; recall
+and precision are measured in the README.
+
 Defined cases: null or empty text has fingerprint zero, linked like any other;
 a text of fewer words than a shingle is one shingle; null ids get the component
 of their fingerprint's other documents (null if there are none); repeated rows
@@ -71,6 +82,11 @@ BROADCAST_ROWS = 100_000
 PRINT_WORDS = 8
 #: Standard errors allowed when a second print is compared with a similarity.
 SLACK = 1.0
+#: Standard errors inside the similarity from which on links need no exact check, and
+#: beyond it up to which they get one.
+SURE, DOUBT = 4.0, 2.0
+#: Forests of pairs that a shard sends to that check.
+FORESTS = 4
 #: At most so many (query, node) pairs are open at once.
 _OPEN_PAIRS = 1 << 21
 #: Pairs of variants of two fingerprints from which on they are compared in tiles.
@@ -127,10 +143,10 @@ def second_print(text: str | None, shingle: int) -> tuple[int, np.ndarray]:
     return len(parts), majority(parts, PRINT_WORDS, ties=True)
 
 
-def most_bits(similarity: float) -> int:
+def most_bits(similarity: float, slack: float = SLACK) -> int:
     """Bits of a second print that may differ for sets of that Jaccard similarity."""
     bits, share = 64 * PRINT_WORDS, math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(bits * share + SLACK * math.sqrt(bits * share * (1 - share)))
+    return int(bits * share + slack * math.sqrt(bits * share * (1 - share)))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", verify_shingle: int = 0, families: int = 1, distinct: bool = False) -> DataFrame:
@@ -215,11 +231,8 @@ class Forest:
                 cut = stop
 
 
-def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (value, smallest value of its component) equivalent to the links a-b."""
-    values, index = np.unique(np.concatenate([a, b]), return_inverse=True)
-    i, j = index[: len(a)], index[len(a) :]
-    label = np.arange(len(values))
+def _joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``label``, a root for each number, after the links i-j; roots are the smallest."""
     while True:
         low = np.minimum(label[i], label[j])
         new = label.copy()
@@ -227,8 +240,35 @@ def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         np.minimum.at(new, label[j], low)
         new = new[new]
         if (new == label).all():
-            break
+            return label
         label = new
+
+
+def lightest(i: np.ndarray, j: np.ndarray, weight: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Positions of the links i-j in the lightest forest that joins what ``label`` leaves apart."""
+    order = np.lexsort((j, i, weight))
+    i, j, alive = i[order], j[order], np.arange(len(i))
+    kept = np.zeros(len(i), bool)
+    while True:
+        a, b = label[i[alive]], label[j[alive]]
+        apart = a != b
+        alive, a, b = alive[apart], a[apart], b[apart]
+        if not len(alive):
+            return order[kept]
+        # ranks are distinct, so the least links of all components close no cycle
+        best = np.full(len(label), len(i))
+        np.minimum.at(best, a, alive)
+        np.minimum.at(best, b, alive)
+        taken = np.unique(best[best < len(i)])
+        kept[taken] = True
+        label = _joined(label, i[taken], j[taken])
+
+
+def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (value, smallest value of its component) equivalent to the links a-b."""
+    values, index = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j = index[: len(a)], index[len(a) :]
+    label = _joined(np.arange(len(values)), i, j)
     off = label != np.arange(len(values))
     return values[off], values[label[off]]
 
@@ -259,14 +299,14 @@ def _links(fp: np.ndarray, tree: np.ndarray, shard: np.ndarray, radius: int) ->
     return spanning(*map(np.concatenate, zip(*held)))
 
 
-def _variant_links(table: np.ndarray, shard: np.ndarray, fp: np.ndarray, tree: np.ndarray, node: np.ndarray, second: list[np.ndarray], masks: list[int], radius: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """The same between variants: rows sorted by shard and fp, several per fp.
+def _variant_links(table: np.ndarray, shard: np.ndarray, fp: np.ndarray, tree: np.ndarray, node: np.ndarray, second: list[np.ndarray], masks: list[int], radius: int, similarity: float, exact: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same between variants: rows sorted by shard and fp, several per fp; and which are sure.
 
     Two fps within the radius may meet in several tables: the first one counts.
     """
     inside = np.flatnonzero(tree)
     if not len(inside):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
 
     def groups(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         new = np.ones(len(rows), bool)
@@ -279,7 +319,9 @@ def _variant_links(table: np.ndarray, shard: np.ndarray, fp: np.ndarray, tree: n
     query, members = fp[asking[q_at]].view(np.uint64), fp[inside[n_at]].view(np.uint64)
     alone = tree[asking[q_at]]
     sizes, prints = (second[0], np.stack(second[1:]).view(np.uint64)) if second else (np.zeros(len(fp), np.int64), np.zeros((0, len(fp)), np.uint64))
-    most, label = most_bits(similarity), np.arange(len(fp))
+    label = np.arange(len(fp))
+    few_bits, most = (most_bits(similarity, -SURE), most_bits(similarity, DOUBT)) if exact else (most_bits(similarity),) * 2
+    doubt = [(label[:0], label[:0], label[:0].astype(np.uint64))]
 
     def compare(q: np.ndarray, r: np.ndarray) -> None:
         """Join the rows q and r, of shapes that broadcast, where they agree."""
@@ -294,7 +336,15 @@ def _variant_links(table: np.ndarray, shard: np.ndarray, fp: np.ndarray, tree: n
         for p in prints:
             bits += np.bitwise_count(p[q] ^ p[r])
         near &= bits <= most
-        q, r = np.broadcast_to(q, near.shape)[near], np.broadcast_to(r, near.shape)[near]
+        q, r, bits = np.broadcast_to(q, near.shape)[near], np.broadcast_to(r, near.shape)[near], bits[near]
+        if exact:
+            # ties go by the prints, so that no numbering takes part
+            unsure = bits > few_bits
+            x, y = q[unsure], r[unsure]
+            tie = mix(prints[0][x] ^ prints[0][y]) >> np.uint64(16)
+            if len(x):
+                doubt.append((x, y, bits[unsure].astype(np.uint64) << np.uint64(48) | tie))
+            q, r = q[~unsure], r[~unsure]
         while len(q):
             a, b = label[q], label[r]
             apart = a != b
@@ -302,6 +352,18 @@ def _variant_links(table: np.ndarray, shard: np.ndarray, fp: np.ndarray, tree: n
             np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
             while (label[label] != label).any():
                 label[:] = label[label]
+        if len(doubt) > 4_000 or sum(len(x) for x, *_ in doubt) > _OPEN_PAIRS:
+            doubt[:] = [light()]
+
+    def light() -> tuple[np.ndarray, ...]:
+        x, y, weight = map(np.concatenate, zip(*doubt))
+        left, taken = np.arange(len(x)), []
+        for _ in range(FORESTS):
+            found = lightest(x[left], y[left], weight[left], label)
+            taken.append(left[found])
+            left = np.delete(left, found)
+        keep = np.concatenate(taken)
+        return x[keep], y[keep], weight[keep]
 
     for qs, ns in Forest(members, shard[inside[n_at]]).search(query, shard[asking[q_at]], radius):
         x = query[qs] ^ members[ns]
@@ -330,13 +392,16 @@ def _variant_links(table: np.ndarray, shard: np.ndarray, fp: np.ndarray, tree: n
                 for v in range(0, len(others), 1024):
                     compare(rows[u : u + 512, None], others[None, v : v + 1024])
     off = label != np.arange(len(label))
-    return spanning(node[off], node[label[off]])
+    a, b = spanning(node[off], node[label[off]])
+    x, y, _ = light()
+    return np.concatenate([a, node[x]]), np.concatenate([b, node[y]]), np.arange(len(a) + len(x)) < len(a)
 
 
-def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS, similarity: float = 0.8) -> DataFrame:
+def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS, similarity: float = 0.8, exact: bool = False) -> DataFrame:
     """(a, b): edges that span the links of at most ``radius`` bits between distinct
-    fps; or, with a column ``node``, between the nodes of such fps whose second
-    prints, if they have any, agree with that similarity."""
+    fps; or, with a column ``node``, (a, b, sure) between the nodes of such fps whose
+    second prints, if they have any, agree with that similarity. All are sure unless
+    ``exact``; there those that aren't are the pairs to compare."""
     n = distinct.count()
     extra = [c for c in ["node", *PRINT] if c in distinct.columns]
     named = "node" in extra
@@ -378,9 +443,9 @@ def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_RO
             many = np.bincount(shard)[shard] > 1
             if named:
                 node, *second = (v[many] for v in second)
-                a, b = _variant_links(t[many], shard[many], fp[many], tree[many], node, second, masks, radius, similarity)
-            else:
-                a, b = _links(fp[many], tree[many], shard[many], radius)
+                a, b, sure = _variant_links(t[many], shard[many], fp[many], tree[many], node, second, masks, radius, similarity, exact)
+                return pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b), "sure": pa.array(sure)})
+            a, b = _links(fp[many], tree[many], shard[many], radius)
             return pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
 
         for batch in batches:
@@ -397,7 +462,7 @@ def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_RO
 
     parts = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), n * len(masks) // 2_000_000)
     placed = dealt.repartition(parts, "t", "key", "cut").sortWithinPartitions("t", "key", "cut", "fp")
-    return placed.mapInArrow(run, "a long, b long")
+    return placed.mapInArrow(run, "a long, b long, sure boolean" if named else "a long, b long")
 
 
 def _classes(distinct: DataFrame, radius: int, shard_rows: int) -> DataFrame:
@@ -408,10 +473,60 @@ def _classes(distinct: DataFrame, radius: int, shard_rows: int) -> DataFrame:
     return rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text", shard_rows: int = SHARD_ROWS, verify_shingle: int = 0, similarity: float = 0.8, families: int = 1, distinct: bool = False) -> DataFrame:
+def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, set): the 64-bit hashes of a text's distinct shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):  # one text's shingles at a time
+                h = np.unique(np.array([xxhash.xxh3_64_intdigest(p) for p in _shingles(batch.column(1)[i].as_py(), shingle)], np.uint64))
+                found = pa.ListArray.from_arrays(pa.array([0, len(h)], pa.int32()), pa.array(h.view(np.int64)))
+                yield pa.RecordBatch.from_pydict({"node": batch.column(0).slice(i, 1), "set": found})
+
+    return texts.mapInArrow(run, "node long, set array<long>")
+
+
+def _confirmed(texts: DataFrame, variants: DataFrame, links: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(node, root) over the sure links and those others whose texts have that similarity.
+
+    ``texts`` are (key, text), ``variants`` (node, key): any text of a variant stands for it.
+    """
+    sure = materialise(connected_components(links.where("sure").select("a", "b")), "sure_components")
+    doubt = links.where("NOT sure").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    for end in "ab":
+        root = sure.select(F.col("node").alias(end), F.col("root").alias(f"_{end}"))
+        doubt = doubt.join(root, end, "left").withColumn(f"_{end}", F.coalesce(f"_{end}", end))
+    doubt = materialise(doubt.where("_a != _b"), "doubtful_links")
+    ends = doubt.select(F.col("a").alias("node")).unionAll(doubt.select(F.col("b").alias("node"))).distinct()
+    wanted = materialise(ends.join(variants.select("node", "key"), "node"), "doubtful_variants")
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    # copies of a text meet in partial aggregates before they are shuffled
+    picked = texts.join(wanted, "key").groupBy("node").agg(F.first("text").alias("text"))
+    sets = materialise(shingle_sets(picked, shingle), "shingle_sets")
+    for end in "ab":
+        doubt = doubt.join(sets.select(F.col("node").alias(end), F.col("set").alias(f"set_{end}")), end)
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    alike = both >= similarity * (F.size("set_a") + F.size("set_b") - both) - 1e-9
+    more = materialise(doubt.where(alike).select(F.col("_a").alias("a"), F.col("_b").alias("b")), "confirmed_links")
+    joined = connected_components(more).select(F.col("node").alias("root"), F.col("root").alias("_root"))
+    named = variants.select("node").join(sure, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return named.join(joined, "root", "left").select("node", F.coalesce("_root", "root").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text", shard_rows: int = SHARD_ROWS, verify_shingle: int = 0, similarity: float = 0.8, families: int = 1, distinct: bool = False, exact: bool = False) -> DataFrame:
     """(doc_id, fingerprint as 16 hex digits, component_id) per row; with
-    ``verify_shingle`` links also need that similarity of the second print."""
-    prints = materialise(fingerprints(docs, shingle, id_col, text_col, verify_shingle, families, distinct), "fingerprints")
+    ``verify_shingle`` links also need that similarity of the second print, and
+    with ``exact`` that of the sets of shingles."""
+    if exact and not verify_shingle:
+        raise ValueError("exact needs verify_shingle")
+    text = F.coalesce(text_col, F.lit(""))
+    key = F.struct(F.xxhash64(text).alias("x"), F.xxhash64(F.lit("key"), text).alias("y"))
+    mark = F.struct(F.col(id_col).alias("id"), key.alias("key")) if exact else F.col(id_col)
+    prints = fingerprints(docs.select(mark.alias("doc_id"), F.col(text_col).alias("text")), shingle, "doc_id", "text", verify_shingle, families, distinct)
+    if exact:
+        prints = prints.select(F.col("doc_id.key").alias("key"), F.col("doc_id.id").alias("doc_id"), *[c for c in prints.columns if c != "doc_id"])
+    prints = materialise(prints, "fingerprints")
     fps = fp_names(families)
     second = PRINT if verify_shingle else []
     if families == 1 and not second:
@@ -420,13 +535,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col:
         return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
     # texts of equal prints are one variant; its number is written, so it stays
     variant = [*fps, *second]
-    variants = prints.groupBy(*variant).agg(F.min("doc_id").alias("own")).withColumn("node", F.monotonically_increasing_id())
+    variants = prints.groupBy(*variant).agg(F.min("doc_id").alias("own"), *([F.min("key").alias("key")] if exact else [])).withColumn("node", F.monotonically_increasing_id())
     variants = materialise(variants, "variants")
     links = []
     for fp in fps:
         some = variants.select(F.col(fp).alias("fp"), "node", *second)
-        links.append(materialise(shard_edges(some, radius, shard_rows, similarity), "links"))
-    roots = connected_components(reduce(DataFrame.unionByName, links))
+        links.append(materialise(shard_edges(some, radius, shard_rows, similarity, exact), "links"))
+    links = reduce(DataFrame.unionByName, links)
+    roots = _confirmed(docs.select(key.alias("key"), text.alias("text")), variants, links, verify_shingle, similarity) if exact else connected_components(links)
     rooted = variants.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = least_by(rooted, "root", "own", "component_id")
     named = rooted.join(smallest, "root").select(*variant, "component_id")

@@ -647,6 +647,81 @@ def test_variants_of_one_fingerprint(spark):
         assert {r.doc_id: r.component_id for r in got} == label
 
 
+def jaccard(a, b, shingle=5):
+    a, b = (set(simhash_bk._shingles(t, shingle)) for t in (a, b))
+    return len(a & b) / max(1, len(a | b))
+
+
+def test_lightest_forest():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        n, m = int(rng.integers(2, 12)), int(rng.integers(0, 40))
+        i, j, weight = rng.integers(0, n, m), rng.integers(0, n, m), rng.integers(0, 5, m)
+        label = np.arange(n)
+        if n > 3:
+            label[3] = 1  # joined before
+        got = simhash_bk.lightest(i, j, weight, label)
+        root, want = label.tolist(), []
+        for k in sorted(range(m), key=lambda k: (weight[k], i[k], j[k])):
+            a, b = root[i[k]], root[j[k]]
+            if a != b:
+                want.append(k)
+                root = [min(a, b) if r in (a, b) else r for r in root]
+        assert sorted(weight[got]) == sorted(weight[want]) and len(got) == len(want)
+
+
+@pytest.mark.parametrize("shard_rows", [simhash_bk.SHARD_ROWS, 9])
+@pytest.mark.parametrize("broadcast", [simhash_bk.BROADCAST_ROWS, 0])
+def test_exact_links_against_brute_force(spark, monkeypatch, shard_rows, broadcast):
+    """Texts around a similarity of 0.8: those of 0.8 or more meet, others stay apart."""
+    monkeypatch.setattr(simhash_bk, "BROADCAST_ROWS", broadcast)
+    rng = np.random.default_rng(17)
+    words = [f"w{k}" for k in range(4000)]
+    rows = []
+    for i in range(60):  # 0 to 11 words of 200 changed, apart: each takes five shingles along
+        text = list(rng.choice(words, 200))
+        rows.append((i, " ".join(text)))
+        for k in range(i % 12):
+            text[10 + 16 * k] = "changed"
+        rows.append((100 + i, " ".join(text)))
+    rows += [(300, None), (301, ""), (302, "one two"), (303, "one two"), (None, "one two"), (None, rows[9][1]), (305, "six of one"), (3, rows[6][1]), (3, "another")]
+    got = simhash_bk.near_duplicates(frame(spark, rows), shingle=1, distinct=True, radius=6, verify_shingle=5, families=2, exact=True, shard_rows=shard_rows).collect()
+    assert len(got) == len(rows)
+    near = {r.doc_id: r.component_id for r in got if r.doc_id is not None and r.doc_id != 3}
+    linked = [i for i in range(60) if i != 3 and near[100 + i] == i]
+    alike = [i for i in range(60) if i != 3 and jaccard(rows[2 * i][1], rows[2 * i + 1][1]) >= 0.8]
+    prints = {i: simhash_bk.majority(list(set(simhash_bk._shingles(t, 1))), 2) for i, t in rows if i is not None}
+    reach = [i for i in alike if np.bitwise_count(prints[i] ^ prints[100 + i]).min() <= 6]
+    assert linked == reach and len(linked) >= 15 and len(alike) < 40
+    assert near[301] == 300 and near[303] == 302 and near[305] == 305
+    assert sorted(str(r.component_id) for r in got if r.doc_id is None) == ["302", "4"]
+    with pytest.raises(ValueError):
+        simhash_bk.near_duplicates(frame(spark, rows), exact=True)
+
+
+def test_exact_links_of_a_large_group(spark):
+    """Edits of one text, most pairs close to the similarity: no false link, few lost."""
+    rng = np.random.default_rng(19)
+    words = [f"w{k}" for k in range(4000)]
+    base = list(rng.choice(words, 300))
+    rows = []
+    for i in range(400):
+        text = list(base)
+        for at in rng.choice(300, int(rng.integers(0, 8)), replace=False):
+            text[at] = f"e{i}x{at}"
+        rows.append((i, " ".join(text)))
+    rows += [(400 + i, " ".join([*base[:200], *rng.choice(words, 100)])) for i in range(30)]
+    label = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if label[a] != label[b] and jaccard(rows[a][1], rows[b][1]) >= 0.8:
+                label = [min(label[a], label[b]) if x in (label[a], label[b]) else x for x in label]
+    got = {r.doc_id: r.component_id for r in simhash_bk.near_duplicates(frame(spark, rows), shingle=1, distinct=True, radius=6, verify_shingle=5, families=2, exact=True).collect()}
+    assert all(label[i] == label[c] for i, c in got.items())
+    large = max(label.count(x) for x in set(label))
+    assert large < 390 and max(list(got.values()).count(c) for c in got.values()) >= 0.95 * large
+
+
 def test_merkle(spark):
     docs = frame(spark, EDGE)
     got = sorted(merkle.compare_with_next(docs).collect(), key=lambda r: (r.doc_id or -1, r.fingerprint))
@@ -918,8 +993,8 @@ def plain_pipeline(rows, items, scores, threshold):
     for a in range(len(rows)):
         for b in range(a):
             (f, n, v), (g, m, w) = prints[a], prints[b]
-            alike = min(n, m) >= 0.8 * max(n, m) and np.bitwise_count(v ^ w).sum() <= simhash_bk.most_bits(0.8)
-            if alike and np.bitwise_count(f ^ g).min() <= 6:
+            alike = min(n, m) >= 0.8 * max(n, m) and np.bitwise_count(v ^ w).sum() <= simhash_bk.most_bits(0.8, simhash_bk.DOUBT)
+            if alike and np.bitwise_count(f ^ g).min() <= 6 and (rows[a][1] == rows[b][1] or n == m == 0 or jaccard(rows[a][1], rows[b][1]) >= 0.8):
                 root[top(a)] = top(b)
     groups = defaultdict(list)
     for k in range(len(rows)):
