@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from ..sources.files import open_at
 
+#: Files whose offsets are broadcast (some 200 bytes each); more are joined by a shuffle.
+BROADCAST_FILES = 100_000
 SIZES = T.StructType([T.StructField("path", T.StringType()), T.StructField("rows", T.LongType()), T.StructField("bytes", T.LongType())])
 
 
@@ -38,10 +40,11 @@ def compact_files(spark: SparkSession, path: str, target: str, file_bytes: int =
     All rows lie on one line of bytes, file after file, a row as long as its file's
     average, and the line is cut into equal bins. A file over the size is so split
     between bins and small ones share one; a bin is a task. The offsets, a row a file,
-    come from sums over groups of files, not from one task.
+    come from sums over groups of files, not from one task; they go to the rows, which
+    are shuffled once, to their bins.
     """
     sizes = footers(spark, path).where("rows > 0")
-    total = sizes.agg(F.sum("bytes")).first()[0]
+    total, many = sizes.agg(F.sum("bytes"), F.count("*")).first()
     if not total:
         spark.read.option("recursiveFileLookup", "true").parquet(path).write.mode("overwrite").option("compression", codec).parquet(target)
         return 0
@@ -53,9 +56,10 @@ def compact_files(spark: SparkSession, path: str, target: str, file_bytes: int =
     at = F.regexp_replace(at, "^file:/+", "/")
     whole = F.struct(*[F.col(f"`{n}`") for n in rows.columns])  # names of the rows may be any
     marked = rows.select(whole.alias("_values"), at.alias("_path"), F.col("_metadata.row_index").alias("_row"))
-    joined = marked.join(placed.withColumn("_path", F.regexp_replace("_path", "^file:/+", "/")), "_path")
+    placed = placed.withColumn("_path", F.regexp_replace("_path", "^file:/+", "/"))
+    joined = marked.join(F.broadcast(placed) if many <= BROADCAST_FILES else placed, "_path")
     place = F.least(F.floor((F.col("before") + F.col("_row") * F.col("each")) * bins / total), F.lit(bins - 1)).cast("int")
-    joined.repartitionById(bins, place).select("_values.*").write.mode("overwrite").option("compression", codec).parquet(target)
+    joined.select("_values", place.alias("_bin")).repartitionById(bins, "_bin").select("_values.*").write.mode("overwrite").option("compression", codec).parquet(target)
     return bins
 
 

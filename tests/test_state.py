@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from loomset.operators import shards
 from loomset.plans.filters import ColumnBinding
+from loomset.queries_io import QUERIES
 from loomset.sinks import compaction, outputs, snapshots
 from loomset.sources import files, tables
 from loomset.streaming import shard_stream
@@ -168,6 +169,27 @@ def test_skewed_files_become_even_ones(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/none_out").count() == 0
 
 
+def test_compaction_shuffles_rows_once(spark, tmp_path):
+    rows = spark.range(0, 20_000, 1, 4).withColumn("h", F.sha2(F.col("id").cast("string"), 256))
+    rows.write.parquet(f"{tmp_path}/in")
+    store = spark.sparkContext._jsc.sc().statusStore()
+    before = store.executorSummary("driver").totalShuffleWrite()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        compaction.compact_files(spark, f"{tmp_path}/in", f"{tmp_path}/out", 300_000)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # a row is 100 bytes or so, of which some 80 can't be compressed away by the shuffle's codec
+    assert store.executorSummary("driver").totalShuffleWrite() - before < 20_000 * 120
+    assert spark.read.parquet(f"{tmp_path}/out").distinct().count() == 20_000
+
+
+def test_compact_by_size_is_not_many_times_its_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("loomset.sources.state.scratch", lambda spark, name: f"{tmp_path}/{name}")
+    assert QUERIES["compact_by_size"](spark, "/root/testdata/sf0.01").first()["even"]
+    assert sum(p.stat().st_size for p in tmp_path.rglob("*.parquet")) < 15_000 * 2 * 60  # 0.5 kB a row and copy before
+
+
 def test_compact_parquet_without_a_size(spark, tmp_path):
     rows = spark.range(0, 40_000, 1, 16).withColumn("h", F.sha2(F.col("id").cast("string"), 256))
     outputs.compact_parquet(rows, f"{tmp_path}/out", target_bytes=400_000)
