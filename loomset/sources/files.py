@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import os
 import struct
 import tarfile
 from collections.abc import Iterator
@@ -15,19 +16,103 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.values import IMAGE_EXTENSIONS, id_from_key, id_from_name
+from . import state
 
 
 # fixed value: pixels beyond which an image counts as a decompression bomb
 MOST_PIXELS = 2 * (1024 * 1024 * 1024 // 4 // 3)
 
 
+#: Folders that a task lists.
+FOLDERS_A_TASK = 100
+#: Entries, or bytes of contents, that a task hands over at a time.
+_ROWS, _BYTES = 10_000, 16 << 20
+
+
+def _folder(path: str) -> str | None:
+    """A folder's path as Spark's listings give it; None for what only Spark's own listing
+    takes: stores that ``pyarrow.fs`` doesn't open, patterns, single files, relative paths."""
+    if path.startswith(("file:", "/")):
+        at = "/" + path.removeprefix("file:").strip("/")
+        return f"file:{at}".rstrip("/") if os.path.isdir(at) else None
+    try:
+        store, name = fs.FileSystem.from_uri(quote(path, safe="/:@"))
+        return path.rstrip("/") if store.get_file_info(name).type == fs.FileType.Directory else None
+    except (ValueError, OSError):
+        return None
+
+
+def _entries(folder: str) -> Iterator[tuple[str, bool, int]]:
+    """(path, whether a folder, size) of what Spark's listings show of a folder; one by
+    one where the store is local."""
+    if folder.startswith("file:"):
+        with os.scandir(folder.removeprefix("file:") or "/") as found:
+            for entry in found:
+                try:
+                    inner = entry.is_dir()
+                    size = 0 if inner else entry.stat().st_size
+                except FileNotFoundError:  # gone since
+                    continue
+                yield entry.name, inner, size
+    else:
+        store, name = fs.FileSystem.from_uri(quote(folder, safe="/:@"))
+        for info in store.get_file_info(fs.FileSelector(name)):
+            yield info.base_name, info.type == fs.FileType.Directory, info.size or 0
+
+
+def _hidden(name: str) -> bool:
+    """As Spark's listings have it."""
+    hidden = name.startswith("_") and "=" not in name or name.startswith(".") or name.endswith("._COPYING_")
+    return hidden and not name.startswith(("_common_metadata", "_metadata"))
+
+
+def _list(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for folder in batch["path"]:
+            rows = []
+            for name, inner, size in _entries(folder):
+                if not _hidden(name):
+                    rows.append((f"{folder}/{name}", inner, size))
+                if len(rows) >= _ROWS:
+                    yield pd.DataFrame(rows, columns=["path", "folder", "size"])
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=["path", "folder", "size"])
+
+
+def _found(spark: SparkSession, root: str, recursive: bool) -> DataFrame:
+    """(path, size) of the files below a folder as they are now. Tasks list the folders of
+    a level and write what they find to a scratch table, where the next level's are read."""
+    at, kind, level = state.scratch(spark, "listing"), "path string, folder boolean, size long", 0
+    folders, many = spark.createDataFrame([(root,)], "path string"), 1
+    while many:
+        tasks = max(-(-many // FOLDERS_A_TASK), min(many, spark.sparkContext.defaultParallelism))
+        rows = folders.repartition(tasks, "path").mapInPandas(_list, kind)
+        # the files of few folders are dealt out, for what is done with them next
+        rows = rows.repartition("path") if many < 2 * spark.sparkContext.defaultParallelism else rows
+        rows.write.parquet(f"{at}/{level}")
+        folders = spark.read.schema(kind).parquet(f"{at}/{level}").where("folder").select("path")
+        many, level = folders.count() if recursive else 0, level + 1
+    return spark.read.schema(kind).parquet(*[f"{at}/{k}" for k in range(level)]).where("NOT folder").select("path", "size")
+
+
 def inventory(spark: SparkSession, path: str, recursive: bool = False, glob: str | None = None) -> DataFrame:
-    """(path, dir, shard, name, stem, ext, size) of files; contents are not read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(path).select("path", F.col("length").alias("size"))
+    """(path, dir, shard, name, stem, ext, size) of files as they are now; contents are not read.
+
+    Executors list the folders, level by level; one folder is listed by one task. What
+    :func:`_folder` can't take is listed by Spark, with all files in the driver's memory
+    and empty ones left out."""
+    root = _folder(path)
+    if root is None:
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+        if glob:
+            reader = reader.option("pathGlobFilter", glob)
+        files = reader.load(path).select("path", F.col("length").alias("size"))
+    else:
+        files = _found(spark, root, recursive)
     name = F.regexp_extract("path", r"([^/]*)\z", 1)
+    if root is not None and glob:
+        files = files.where(name.rlike(f"^(?:{spark.sparkContext._jvm.org.apache.hadoop.fs.GlobPattern.compile(glob).pattern()})\\z"))
     ext = F.lower(F.regexp_extract(name, r".(\.[^.]*)\z", 1))
     folder = F.regexp_replace("path", r"/[^/]*\z", "")
     return files.select(
@@ -50,9 +135,13 @@ def shard_ids(files: DataFrame, kind: str = "image") -> DataFrame:
 
 
 def json_texts(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """(path, text) per JSON file, byte-order mark removed."""
-    reader = spark.read.option("wholetext", "true").option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", "*.json")
-    return reader.text(path).select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "^﻿", "").alias("text"))
+    """(path, text) per JSON file, byte-order mark removed; opened on executors where they can list the folder."""
+    if _folder(path) is None:
+        reader = spark.read.option("wholetext", "true").option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", "*.json")
+        found = reader.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    else:
+        found = texts_of(inventory(spark, path, recursive).where(F.col("name").endswith(".json")).select("path"))
+    return found.select("path", F.regexp_replace("text", "^﻿", "").alias("text"))
 
 
 def open_at(path: str):
@@ -121,11 +210,15 @@ def texts_of(found: DataFrame, path: str = "path") -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = []
-            for at in batch[path]:
+            texts, held, start = [], 0, 0
+            for k, at in enumerate(batch[path], 1):
                 with open_at(at) as source:
-                    texts.append(source.read().decode("utf-8", "replace"))
-            yield batch.assign(text=texts)
+                    data = source.read()
+                texts.append(data.decode("utf-8", "replace"))
+                held += len(data)
+                if held >= _BYTES or k == len(batch):
+                    yield batch.iloc[start:k].assign(text=texts)
+                    texts, held, start = [], 0, k
 
     return found.mapInPandas(run, T.StructType([*found.schema.fields, T.StructField("text", T.StringType())]))
 

@@ -36,6 +36,36 @@ def test_inventory_json_and_progress(spark, tmp_path):
     assert sorted((r.id, r.status) for r in files.progress(spark, str(tmp_path / "p.json")).collect()) == [(1, "completed"), (2, "completed")]
 
 
+def test_executors_list_what_spark_lists(spark, tmp_path):
+    names = ["top.json", "a b/c%20d.json", "a b/x.PNG", "a b/deep/er/y", "_no/z.json", ".no/z.json", "k=_/_metadata", "k=_/_w=1", "k=_/.h", "k=_/_h", "k=_/p._COPYING_", "k=_/p.json"]
+    for k, name in enumerate(names):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"{}"[: k % 3])
+    (tmp_path / "empty").mkdir()
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    for at in (f"{tmp_path}", f"file://{tmp_path}/"):
+        found = files.inventory(spark, at, True)
+        # Spark's listing has all files in the driver's memory
+        assert "binaryFile" not in found._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.path, r.size) for r in found.collect() if r.size) == sorted((r.path, r.length) for r in reader.load(at).collect())
+        assert sorted(r.name for r in found.collect() if not r.size) == ["_metadata", "top.json", "y"]  # Spark leaves out empty files
+        assert sorted(r.name for r in files.inventory(spark, at, True, "*.{json,PNG}").collect()) == ["c%20d.json", "p.json", "top.json", "x.PNG"]
+        assert [r.name for r in files.inventory(spark, at).collect()] == ["top.json"]
+        assert sorted(r.path for r in files.json_texts(spark, at).collect()) == sorted(r.path for r in found.collect() if r.ext == ".json")
+    assert files.inventory(spark, f"{tmp_path}/empty", True).count() == 0
+    assert [r.name for r in files.inventory(spark, f"{tmp_path}/*/x*").collect()] == ["x.PNG"]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        files.inventory(spark, f"{tmp_path}/none")
+
+
+def test_texts_are_handed_over_in_pieces(spark, tmp_path, monkeypatch):
+    for k in range(7):
+        (tmp_path / f"{k}.json").write_text(f"[{k}]")
+    monkeypatch.setattr(files, "_BYTES", 4)
+    got = files.texts_of(files.inventory(spark, str(tmp_path)).coalesce(1)).collect()
+    assert sorted((r.name, r.text) for r in got) == [(f"{k}.json", f"[{k}]") for k in range(7)]
+
+
 def test_tar_manifest_probe(spark, tmp_path):
     with tarfile.open(tmp_path / "a.tar", "w") as tar:
         for name in ("d/12.jpg", "x_34567.png"):
