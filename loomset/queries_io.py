@@ -46,6 +46,12 @@ def _part(spark, sf_dir) -> DataFrame:
     return read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))
 
 
+def _dealt(spark, sf_dir) -> DataFrame:
+    """The parts in ranges of ids, so many a task that each can write files for them."""
+    rows = _part(spark, sf_dir)
+    return rows.repartitionByRange(max(1, -(-rows.count() // 5_000)), "id")
+
+
 @query("SELECT p_partkey AS id, p_name AS name, p_size::VARCHAR AS size FROM part WHERE p_partkey % 3 = 0 UNION ALL SELECT p_partkey, lower(p_name), NULL FROM part WHERE p_partkey % 3 <> 0")
 def source_parquet_union(spark, sf_dir):
     """Files of different types and columns, a missing one skipped."""
@@ -129,7 +135,7 @@ def inventory_by_extension(spark, sf_dir):
 def pair_files(spark, sf_dir):
     """Image and sidecar of an item written together; any file with a digit stem counts."""
     at = state.scratch(spark, "pairs")
-    rows = _part(spark, sf_dir).select(values.shard_name(F.col("id"), 50).alias("shard"), "id", F.lit(".png").alias("ext"), F.encode("name", "UTF-8").alias("content"), F.lit("{}").alias("json"))
+    rows = _dealt(spark, sf_dir).select(values.shard_name(F.col("id"), 50).alias("shard"), "id", F.lit(".png").alias("ext"), F.encode("name", "UTF-8").alias("content"), F.lit("{}").alias("json"))
     outputs.write_pairs(rows, _store, at).count()
     found = files.inventory(spark, at, True)
     return files.shard_ids(found, "any").join(files.shard_ids(found), ["id", "shard"]).join(files.shard_ids(found, "json"), ["id", "shard"])

@@ -30,11 +30,13 @@ def write_sidecars(df: DataFrame, fetch_open: Callable[[str], object], folder: s
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fs = fetch_open(folder)
+        fs, made = fetch_open(folder), None
         for batch in batches:
             sizes = []
             for shard, item, text in zip(batch["shard"], batch["id"], batch["json"]):
-                fs.create_dir(f"{folder}/{shard}", recursive=True)
+                if shard != made:
+                    fs.create_dir(f"{folder}/{shard}", recursive=True)
+                    made = shard
                 at, data = f"{folder}/{shard}/{item}.json", text.encode()
                 with fs.open_output_stream(at + ".tmp") as out:
                     out.write(data)
@@ -49,10 +51,12 @@ def write_pairs(df: DataFrame, fetch_open: Callable[[str], object], folder: str)
     """Image and sidecar of an item: both temporary files first, then both renames."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fs = fetch_open(folder)
+        fs, made = fetch_open(folder), None
         for batch in batches:
             for shard, item, ext, content, text in zip(batch["shard"], batch["id"], batch["ext"], batch["content"], batch["json"]):
-                fs.create_dir(f"{folder}/{shard}", recursive=True)
+                if shard != made:
+                    fs.create_dir(f"{folder}/{shard}", recursive=True)
+                    made = shard
                 targets = {f"{folder}/{shard}/{item}{ext}": bytes(content), f"{folder}/{shard}/{item}.json": text.encode()}
                 for at, data in targets.items():
                     with fs.open_output_stream(at + ".tmp") as out:
