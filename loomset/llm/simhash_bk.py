@@ -46,9 +46,11 @@ shard sends the lightest forest, fewest bits first, over the components of its s
 links, then that of the pairs left, ``FORESTS`` in all: so many pairs a variant at
 most, however many are near, and each pair left out closes as many separate cycles
 of pairs with fewer bits. Texts of the pairs between different components are
-gathered once and their 64-bit shingle hashes joined to the pairs. Losing a link
-takes estimates that rank as many false pairs before it across the same gap; recall
-and precision are measured in the README.
+gathered once and their 64-bit shingle hashes joined to the pairs. Variants with a
+pair that was left out are then searched again among themselves, and every pair of
+theirs that is still between different components is compared as well, in pieces of
+bounded size: no pair is dropped. If few of them are alike, these are as many as the
+pairs of near texts. Recall and precision are measured in the README.
 
 Defined cases: null or empty text has fingerprint zero, linked like any other;
 a text of fewer words than a shingle is one shingle; null ids get the component
@@ -299,14 +301,17 @@ def _links(fp: np.ndarray, tree: np.ndarray, shard: np.ndarray, radius: int) ->
     return spanning(*map(np.concatenate, zip(*held)))
 
 
-def _variant_links(table: np.ndarray, shard: np.ndarray, fp: np.ndarray, tree: np.ndarray, node: np.ndarray, second: list[np.ndarray], masks: list[int], radius: int, similarity: float, exact: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The same between variants: rows sorted by shard and fp, several per fp; and which are sure.
+def _variant_links(table: np.ndarray, shard: np.ndarray, fp: np.ndarray, tree: np.ndarray, node: np.ndarray, second: list[np.ndarray], masks: list[int], radius: int, similarity: float, exact: bool, forests: int = FORESTS, root: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The same between variants: rows sorted by shard and fp, several per fp; and 1 for
+    those that are sure, 0 for pairs to compare, -1 for a node (with itself) that has
+    pairs which the forests leave out. With ``root`` all pairs between different roots
+    are to compare.
 
     Two fps within the radius may meet in several tables: the first one counts.
     """
     inside = np.flatnonzero(tree)
     if not len(inside):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        return
 
     def groups(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         new = np.ones(len(rows), bool)
@@ -321,6 +326,9 @@ def _variant_links(table: np.ndarray, shard: np.ndarray, fp: np.ndarray, tree: n
     sizes, prints = (second[0], np.stack(second[1:]).view(np.uint64)) if second else (np.zeros(len(fp), np.int64), np.zeros((0, len(fp)), np.uint64))
     label = np.arange(len(fp))
     few_bits, most = (most_bits(similarity, -SURE), most_bits(similarity, DOUBT)) if exact else (most_bits(similarity),) * 2
+    if root is not None:
+        few_bits, label = -1, np.unique(root, return_inverse=True)[1]
+    left_out = np.zeros(len(fp), bool)
     doubt = [(label[:0], label[:0], label[:0].astype(np.uint64))]
 
     def compare(q: np.ndarray, r: np.ndarray) -> None:
@@ -352,17 +360,27 @@ def _variant_links(table: np.ndarray, shard: np.ndarray, fp: np.ndarray, tree: n
             np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
             while (label[label] != label).any():
                 label[:] = label[label]
-        if len(doubt) > 4_000 or sum(len(x) for x, *_ in doubt) > _OPEN_PAIRS:
+        if root is None and full():
             doubt[:] = [light()]
 
+    def full() -> bool:
+        return len(doubt) > 4_000 or sum(len(x) for x, *_ in doubt) > _OPEN_PAIRS
+
+    def all_pairs() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        x, y, _ = map(np.concatenate, zip(*doubt))
+        del doubt[1:]
+        return node[x], node[y], np.zeros(len(x), np.int8)
+
     def light() -> tuple[np.ndarray, ...]:
         x, y, weight = map(np.concatenate, zip(*doubt))
         left, taken = np.arange(len(x)), []
-        for _ in range(FORESTS):
+        for _ in range(forests):
             found = lightest(x[left], y[left], weight[left], label)
             taken.append(left[found])
             left = np.delete(left, found)
-        keep = np.concatenate(taken)
+        left = left[label[x[left]] != label[y[left]]]
+        left_out[x[left]] = left_out[y[left]] = True
+        keep = np.concatenate([left[:0], *taken])
         return x[keep], y[keep], weight[keep]
 
     for qs, ns in Forest(members, shard[inside[n_at]]).search(query, shard[asking[q_at]], radius):
@@ -386,25 +404,34 @@ def _variant_links(table: np.ndarray, shard: np.ndarray, fp: np.ndarray, tree: n
             begin, start, width = (np.repeat(v[cut:stop], wide) for v in (q_at[a], n_at[b], n_size[b]))
             compare(asking[begin + off // width], inside[start + off % width])
             cut = stop
+            if root is not None and full():
+                yield all_pairs()
         for i, j in zip(qs[~few].tolist(), ns[~few].tolist()):
             rows, others = asking[q_at[i] : q_at[i] + q_size[i]], inside[n_at[j] : n_at[j] + n_size[j]]
             for u in range(0, len(rows), 512):
                 for v in range(0, len(others), 1024):
                     compare(rows[u : u + 512, None], others[None, v : v + 1024])
+                    if root is not None and full():
+                        yield all_pairs()
+    if root is not None:
+        yield all_pairs()
+        return
     off = label != np.arange(len(label))
     a, b = spanning(node[off], node[label[off]])
     x, y, _ = light()
-    return np.concatenate([a, node[x]]), np.concatenate([b, node[y]]), np.arange(len(a) + len(x)) < len(a)
+    alone = np.unique(node[left_out])
+    yield np.concatenate([a, node[x], alone]), np.concatenate([b, node[y], alone]), np.repeat(np.array([1, 0, -1], np.int8), [len(a), len(x), len(alone)])
 
 
-def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS, similarity: float = 0.8, exact: bool = False) -> DataFrame:
+def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS, similarity: float = 0.8, exact: bool = False, forests: int = FORESTS) -> DataFrame:
     """(a, b): edges that span the links of at most ``radius`` bits between distinct
     fps; or, with a column ``node``, (a, b, sure) between the nodes of such fps whose
     second prints, if they have any, agree with that similarity. All are sure unless
-    ``exact``; there those that aren't are the pairs to compare."""
+    ``exact``; there those that aren't (0) are the pairs to compare, and -1 marks nodes
+    with pairs left out. With a column ``root`` too, all pairs of different roots."""
     n = distinct.count()
-    extra = [c for c in ["node", *PRINT] if c in distinct.columns]
-    named = "node" in extra
+    extra = [c for c in ["node", "root", *PRINT] if c in distinct.columns]
+    named, rooted = "node" in extra, "root" in extra
     if named:
         # longer keys in more tables once the mean shard would pass 64 rows, or 512
         # where the step is to three free blocks: tables then cost more disk than trees cost time
@@ -435,7 +462,7 @@ def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_RO
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left: list[np.ndarray] = []
 
-        def solve(cols: list[np.ndarray]) -> pa.RecordBatch:
+        def solve(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             t, key, cut, fp, tree, *second = cols
             new = np.ones(len(t), bool)
             new[1:] = (t[1:] != t[:-1]) | (key[1:] != key[:-1]) | (cut[1:] != cut[:-1])
@@ -443,10 +470,12 @@ def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_RO
             many = np.bincount(shard)[shard] > 1
             if named:
                 node, *second = (v[many] for v in second)
-                a, b, sure = _variant_links(t[many], shard[many], fp[many], tree[many], node, second, masks, radius, similarity, exact)
-                return pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b), "sure": pa.array(sure)})
+                root = second.pop(0) if rooted else None
+                for a, b, sure in _variant_links(t[many], shard[many], fp[many], tree[many], node, second, masks, radius, similarity, exact, forests, root):
+                    yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b), "sure": pa.array(sure)})
+                return
             a, b = _links(fp[many], tree[many], shard[many], radius)
-            return pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
 
         for batch in batches:
             cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5 + len(extra))]
@@ -455,14 +484,14 @@ def shard_edges(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_RO
                 same = (left[0] == left[0][-1]) & (left[1] == left[1][-1]) & (left[2] == left[2][-1])
                 stop = int(np.argmax(same))  # rows are sorted: the last shard may go on
                 if stop:
-                    yield solve([x[:stop] for x in left])
+                    yield from solve([x[:stop] for x in left])
                     left = [x[stop:] for x in left]
         if left and len(left[0]):
-            yield solve(left)
+            yield from solve(left)
 
     parts = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), n * len(masks) // 2_000_000)
     placed = dealt.repartition(parts, "t", "key", "cut").sortWithinPartitions("t", "key", "cut", "fp")
-    return placed.mapInArrow(run, "a long, b long, sure boolean" if named else "a long, b long")
+    return placed.mapInArrow(run, "a long, b long, sure byte" if named else "a long, b long")
 
 
 def _classes(distinct: DataFrame, radius: int, shard_rows: int) -> DataFrame:
@@ -491,10 +520,16 @@ def _confirmed(texts: DataFrame, variants: DataFrame, links: DataFrame, shingle:
 
     ``texts`` are (key, text), ``variants`` (node, key): any text of a variant stands for it.
     """
-    sure = materialise(connected_components(links.where("sure").select("a", "b")), "sure_components")
-    doubt = links.where("NOT sure").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    sure = materialise(connected_components(links.where("sure = 1").select("a", "b")), "sure_components")
+    named = variants.select("node").join(sure, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return _joined_alike(texts, variants, links.where("sure = 0"), sure, named, shingle, similarity)
+
+
+def _joined_alike(texts: DataFrame, variants: DataFrame, doubt: DataFrame, known: DataFrame, named: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """``named`` (node, root) after the links among the pairs ``doubt`` (a, b); ``known``: the rows of it that have another root."""
+    doubt = doubt.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     for end in "ab":
-        root = sure.select(F.col("node").alias(end), F.col("root").alias(f"_{end}"))
+        root = known.select(F.col("node").alias(end), F.col("root").alias(f"_{end}"))
         doubt = doubt.join(root, end, "left").withColumn(f"_{end}", F.coalesce(f"_{end}", end))
     doubt = materialise(doubt.where("_a != _b"), "doubtful_links")
     ends = doubt.select(F.col("a").alias("node")).unionAll(doubt.select(F.col("b").alias("node"))).distinct()
@@ -510,11 +545,21 @@ def _confirmed(texts: DataFrame, variants: DataFrame, links: DataFrame, shingle:
     alike = both >= similarity * (F.size("set_a") + F.size("set_b") - both) - 1e-9
     more = materialise(doubt.where(alike).select(F.col("_a").alias("a"), F.col("_b").alias("b")), "confirmed_links")
     joined = connected_components(more).select(F.col("node").alias("root"), F.col("root").alias("_root"))
-    named = variants.select("node").join(sure, "node", "left").withColumn("root", F.coalesce("root", "node"))
     return named.join(joined, "root", "left").select("node", F.coalesce("_root", "root").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text", shard_rows: int = SHARD_ROWS, verify_shingle: int = 0, similarity: float = 0.8, families: int = 1, distinct: bool = False, exact: bool = False) -> DataFrame:
+def _with_rest(texts: DataFrame, variants: DataFrame, fps: list[str], links: DataFrame, roots: DataFrame, radius: int, shard_rows: int, shingle: int, similarity: float) -> DataFrame:
+    """``roots`` after the links among all pairs that forests left out: they are between marked nodes."""
+    marked = materialise(links.where("sure = -1").select(F.col("a").alias("node")).distinct(), "left_out")
+    if not marked.limit(1).count():
+        return roots
+    roots = materialise(roots, "roots")
+    some = materialise(variants.join(marked, "node").join(roots, "node"), "left_out_variants")
+    pairs = [materialise(shard_edges(some.select(F.col(fp).alias("fp"), "node", "root", *PRINT), radius, shard_rows, similarity, True), "left_out_pairs") for fp in fps]
+    return _joined_alike(texts, variants, reduce(DataFrame.unionByName, pairs), roots, roots, shingle, similarity)
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text", shard_rows: int = SHARD_ROWS, verify_shingle: int = 0, similarity: float = 0.8, families: int = 1, distinct: bool = False, exact: bool = False, forests: int = FORESTS) -> DataFrame:
     """(doc_id, fingerprint as 16 hex digits, component_id) per row; with
     ``verify_shingle`` links also need that similarity of the second print, and
     with ``exact`` that of the sets of shingles."""
@@ -540,9 +585,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col:
     links = []
     for fp in fps:
         some = variants.select(F.col(fp).alias("fp"), "node", *second)
-        links.append(materialise(shard_edges(some, radius, shard_rows, similarity, exact), "links"))
+        links.append(materialise(shard_edges(some, radius, shard_rows, similarity, exact, forests), "links"))
     links = reduce(DataFrame.unionByName, links)
-    roots = _confirmed(docs.select(key.alias("key"), text.alias("text")), variants, links, verify_shingle, similarity) if exact else connected_components(links)
+    if exact:
+        texts = docs.select(key.alias("key"), text.alias("text"))
+        roots = _confirmed(texts, variants, links, verify_shingle, similarity)
+        roots = _with_rest(texts, variants, fps, links, roots, radius, shard_rows, verify_shingle, similarity)
+    else:
+        roots = connected_components(links.select("a", "b"))
     rooted = variants.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = least_by(rooted, "root", "own", "component_id")
     named = rooted.join(smallest, "root").select(*variant, "component_id")

@@ -722,6 +722,33 @@ def test_exact_links_of_a_large_group(spark):
     assert large < 390 and max(list(got.values()).count(c) for c in got.values()) >= 0.95 * large
 
 
+@pytest.mark.parametrize("forests", [0, 1, simhash_bk.FORESTS])
+def test_pairs_that_forests_leave_out_are_compared(spark, forests):
+    """However few pairs the shards propose, every pair in reach of 0.8 or more is a link."""
+    rng = np.random.default_rng(23)
+    words = [f"w{k}" for k in range(4000)]
+    rows = []
+    for g in range(3):
+        base = list(rng.choice(words, 300))
+        for i in range(90):
+            text = list(base)
+            for at in rng.choice(300, int(rng.integers(2, 9)), replace=False):
+                text[at] = f"e{g}x{i}x{at}"
+            rows.append((100 * g + i, " ".join(text)))
+    prints = [simhash_bk.majority(list(set(simhash_bk._shingles(t, 1))), 2) for _, t in rows]
+    second = [simhash_bk.second_print(t, 5)[1] for _, t in rows]
+    sets = [set(simhash_bk._shingles(t, 5)) for _, t in rows]
+    label = [i for i, _ in rows]
+    for a in range(len(rows)):
+        for b in range(a):
+            if np.bitwise_count(prints[a] ^ prints[b]).min() <= 6 and np.bitwise_count(second[a] ^ second[b]).sum() <= simhash_bk.most_bits(0.8, simhash_bk.DOUBT):
+                both = len(sets[a] & sets[b])
+                if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both) and label[a] != label[b]:
+                    label = [min(label[a], label[b]) if x in (label[a], label[b]) else x for x in label]
+    got = {r.doc_id: r.component_id for r in simhash_bk.near_duplicates(frame(spark, rows), shingle=1, distinct=True, radius=6, verify_shingle=5, families=2, exact=True, forests=forests).collect()}
+    assert got == {i: c for (i, _), c in zip(rows, label)} and 20 < len(set(label)) < 250
+
+
 def test_merkle(spark):
     docs = frame(spark, EDGE)
     got = sorted(merkle.compare_with_next(docs).collect(), key=lambda r: (r.doc_id or -1, r.fingerprint))
