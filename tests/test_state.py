@@ -190,6 +190,11 @@ def test_compact_by_size_is_not_many_times_its_table(spark, tmp_path, monkeypatc
     assert sum(p.stat().st_size for p in tmp_path.rglob("*.parquet")) < 15_000 * 2 * 60  # 0.5 kB a row and copy before
 
 
+def test_required_columns_reads_its_table(spark):
+    got = QUERIES["required_columns"](spark, "/root/testdata/sf0.001")
+    assert "ReadSchema: struct<p_partkey:bigint" in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_compact_parquet_without_a_size(spark, tmp_path):
     rows = spark.range(0, 40_000, 1, 16).withColumn("h", F.sha2(F.col("id").cast("string"), 256))
     outputs.compact_parquet(rows, f"{tmp_path}/out", target_bytes=400_000)
